@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +32,11 @@ AGGREGATE, DUPLICATE, CDC, OTHER = "aggregate", "duplicate", "cdc", "not process
 class _Facts:
     """What the rules look at; sizes are those of the schema, never of the data."""
 
+    df: DataFrame
     rows: int
     types: dict[str, str]
     distinct: dict[str, int]
-    unique: set[str] = field(default_factory=set)
+    tested: dict[str, bool] = field(default_factory=dict)
 
     @property
     def times(self) -> list[str]:
@@ -42,29 +44,58 @@ class _Facts:
 
     @property
     def ids(self) -> list[str]:
-        return [c for c, k in self.types.items() if k in _KEY_TYPES and re.search(ID_PATTERN, bare_name(c))]
+        return [c for c in self.distinct if re.search(ID_PATTERN, bare_name(c))]
 
     def share(self, column: str) -> float:
-        return self.distinct[column] / self.rows if self.rows else 0.0
+        return min(1.0, self.distinct[column] / self.rows) if self.rows else 0.0
+
+    def unique(self, column: str) -> bool:
+        """Does the column identify rows? The sketch only decides whether the exact test is worth a job."""
+        if column not in self.tested:
+            self.tested[column] = self.share(column) > 0.9 and not (
+                self.df.groupBy(F.col(f"`{column}`").alias("_k"))
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .where((F.col("_n") > 1) | F.col("_k").isNull())
+                .limit(1)
+                .collect()
+            )
+        return self.tested[column]
 
     def named(self, names: tuple[str, ...], kinds: tuple[str, ...] | None = None) -> str | None:
         found = [c for c in self.types if c.lower() in names and (kinds is None or self.types[c] in kinds)]
         return min(found, key=lambda c: names.index(c.lower())) if found else None
 
 
-def _facts(df: DataFrame, id_share: float) -> _Facts:
-    types = dict(df.dtypes)
-    keys = [c for c, k in types.items() if k in _KEY_TYPES]
-    measures = [F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"_d{i}") for i, c in enumerate(keys)]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *measures).first()
-    facts = _Facts(row["_rows"], types, {c: row[f"_d{i}"] for i, c in enumerate(keys)})
-    for c in keys:  # the sketch only chooses which columns are worth an exact test
-        if facts.rows and facts.share(c) >= id_share - 0.1:
-            per_key = df.groupBy(F.col(f"`{c}`").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-            if not per_key.where((F.col("_n") > 1) | F.col("_k").isNull()).limit(1).collect():
-                facts.unique.add(c)
-                facts.distinct[c] = facts.rows
-    return facts
+def _all_facts(tables: Mapping[str, DataFrame]) -> dict[str, _Facts]:
+    """Row counts and approximate distinct counts of the columns that may be keys; other columns are not read.
+
+    All tables are counted in one job, one row per table.
+    """
+    shared = _shared_texts(tables)
+    keys, parts = {}, []
+    for t, df in tables.items():
+        keys[t] = [
+            c
+            for c, k in df.dtypes
+            if k in _KEY_TYPES
+            and (re.search(ID_PATTERN, bare_name(c)) or c.lower() in CASE_NAMES or bare_name(c) in shared)
+        ]
+        counts = [F.approx_count_distinct(F.col(f"`{c}`"), 0.02) for c in keys[t]]
+        distinct = F.array(*counts) if counts else F.array().cast("array<bigint>")
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), distinct.alias("distinct")).withColumn("table", F.lit(t)))
+    found = {r["table"]: r for r in reduce(DataFrame.unionByName, parts).collect()}
+    return {
+        t: _Facts(df, found[t]["rows"], dict(df.dtypes), dict(zip(keys[t], found[t]["distinct"])))
+        for t, df in tables.items()
+    }
+
+
+def _shared_texts(tables: Mapping[str, DataFrame]) -> set[str]:
+    """Names of text columns of tables without times that also occur in a table with times."""
+    timed = {t for t, df in tables.items() if any(k in _TIMES for _, k in df.dtypes)}
+    in_events = {bare_name(c) for t in timed for c, k in tables[t].dtypes if k == "string"}
+    elsewhere = {bare_name(c) for t, df in tables.items() if t not in timed for c, k in df.dtypes if k == "string"}
+    return in_events & elsewhere
 
 
 def classify_tables(
@@ -76,11 +107,11 @@ def classify_tables(
     (repeated until nothing changes), aggregate; what remains is not process data. Data is only read for
     counts; the rules run over column names and numbers.
     """
-    facts = {t: _facts(df, id_share) for t, df in tables.items()}
+    facts = _all_facts(tables)
     found: dict[str, tuple] = {}
     for t, f in facts.items():
         case, activity, ts = f.named(CASE_NAMES), f.named(ACTIVITY_NAMES, ("string",)), f.named(TIMESTAMP_NAMES, _TIMES)
-        if case and activity and ts and case in f.distinct and f.rows > max(1, f.distinct[case]) and case not in f.unique:
+        if case and activity and ts and case in f.distinct and not f.unique(case):
             found[t] = (LOG, False, case, activity, ts, "case, activity and time columns, several rows per case")
     for t, f in facts.items():
         original = _original_of(t, facts, found, duplicate_tolerance)
@@ -88,7 +119,7 @@ def classify_tables(
             found[t] = (DUPLICATE, False, None, None, None, f"same columns and size as {original}")
     for t, f in facts.items():
         pair = _old_new(f)
-        repeated = [c for c in f.ids if c not in f.unique and f.share(c) < id_share]
+        repeated = [c for c in f.ids if f.share(c) < id_share]
         if t not in found and pair and f.times and repeated:
             reason = f"old and new values in {pair[0]} and {pair[1]}, several rows per {repeated[0]}"
             found[t] = (CDC, False, repeated[0], pair[1], f.times[0], reason)
@@ -142,7 +173,7 @@ def _event_sources(facts: Mapping[str, _Facts], found: dict[str, tuple], id_shar
         strong = [c for c in f.ids if f.share(c) >= id_share]
         if t not in found and f.times and strong:
             stage = status(f)
-            snapshot = stage is not None and strong[0] in f.unique
+            snapshot = stage is not None and f.unique(strong[0])
             reason = f"{strong[0]} identifies rows, {len(f.times)} time columns"
             found[t] = (SOURCE, snapshot, strong[0], stage if snapshot else None, f.times[0], reason)
     changed = True
@@ -163,7 +194,11 @@ def _references(facts: Mapping[str, _Facts], found: dict[str, tuple]) -> None:
         changed = False
         linked = {bare_name(c): t for t, v in found.items() if v[0] in (SOURCE, LOG, REFERENCE, CDC) for c in facts[t].types}
         for t, f in facts.items():
-            key = next((c for c in f.types if c in f.unique and bare_name(c) in linked), None)
-            if t not in found and not f.times and key:
+            if t in found or f.times:
+                continue
+            texts = [c for c, k in f.types.items() if k == "string"]
+            named = [c for c in f.distinct if c in f.ids or len(texts) > 1]  # other keys need a description
+            key = next((c for c in named if bare_name(c) in linked and f.unique(c)), None)
+            if key:
                 found[t] = (REFERENCE, False, key, None, None, f"unique {key} is used by {linked[bare_name(key)]}")
                 changed = True

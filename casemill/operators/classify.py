@@ -52,7 +52,7 @@ class _Facts:
     def unique(self, column: str) -> bool:
         """Does the column identify rows? The sketch only decides whether the exact test is worth a job."""
         if column not in self.tested:
-            self.tested[column] = self.share(column) > 0.9 and not (
+            self.tested[column] = self.share(column) > 0.8 and not (
                 self.df.groupBy(F.col(f"`{column}`").alias("_k"))
                 .agg(F.count(F.lit(1)).alias("_n"))
                 .where((F.col("_n") > 1) | F.col("_k").isNull())
@@ -80,7 +80,7 @@ def _all_facts(tables: Mapping[str, DataFrame]) -> dict[str, _Facts]:
             if k in _KEY_TYPES
             and (re.search(ID_PATTERN, bare_name(c)) or c.lower() in CASE_NAMES or bare_name(c) in shared)
         ]
-        counts = [F.approx_count_distinct(F.col(f"`{c}`"), 0.02) for c in keys[t]]
+        counts = [F.approx_count_distinct(F.col(f"`{c}`")) for c in keys[t]]
         distinct = F.array(*counts) if counts else F.array().cast("array<bigint>")
         parts.append(df.agg(F.count(F.lit(1)).alias("rows"), distinct.alias("distinct")).withColumn("table", F.lit(t)))
     found = {r["table"]: r for r in reduce(DataFrame.unionByName, parts).collect()}

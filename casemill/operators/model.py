@@ -79,7 +79,8 @@ class _Graph:
         return self.starts.get(activity, 0) + sum(n for (_, b), n in self.edges.items() if b == activity)
 
     def without_noise(self, noise: float) -> _Graph:
-        best: dict[str, int] = {}
+        """Without edges much rarer than the strongest way (another activity or the end) out of their source."""
+        best = dict(self.ends)
         for (a, _), n in self.edges.items():
             best[a] = max(best.get(a, 0), n)
 

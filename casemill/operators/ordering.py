@@ -59,7 +59,7 @@ def measure_cases(
     if at_most is not None and at_most <= max_task_events:
         return CaseLoad(at_most, (), max_task_events, activities)
     counted = activities is None and ACTIVITY in df.columns
-    names = F.approx_count_distinct(ACTIVITY, 0.01) if counted else F.lit(None)
+    names = F.approx_count_distinct(ACTIVITY) if counted else F.lit(None)
     total, estimate = df.agg(F.count(F.lit(1)), names).first()
     activities = activities if estimate is None else estimate
     if total <= max_task_events:
@@ -169,7 +169,7 @@ def running(
 ) -> DataFrame:
     """Add running sums (or maxima) up to and including each event; hot cases go slice by slice."""
     fold = {"sum": F.sum, "max": F.max}[kind]
-    join = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + b, "max": F.greatest}[kind]
+    join = {"sum": lambda a, b: F.coalesce(a + b, a, b), "max": F.greatest}[kind]
     normal, hot = split_hot(df, load, key[0])
     w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = normal.withColumns({name: fold(value).over(w) for name, value in values.items()})

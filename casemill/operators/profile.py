@@ -40,7 +40,7 @@ def profile_table(df: DataFrame, exact: bool = False, sample: int = 5) -> DataFr
         ]
         if not exact:
             measures += [
-                F.approx_count_distinct(v, 0.01).alias(f"_d{i}"),
+                F.approx_count_distinct(v).alias(f"_d{i}"),
                 F.expr(f"approx_top_k(cast(`{c}` as string), {sample}, 1000)").alias(f"_s{i}"),
             ]
     kinds = dict(df.dtypes)

@@ -15,6 +15,13 @@ def column(df: DataFrame, text: str) -> Column:
     return F.col(f"`{text}`") if text in df.columns else F.expr(text)
 
 
+def type_of(df: DataFrame, text: str) -> str:
+    """The type of a column or expression; a plain column needs no analysis of a new plan."""
+    if text in df.columns:
+        return df.schema[text].dataType.simpleString()
+    return df.select(F.expr(text).alias("v")).schema["v"].dataType.simpleString()
+
+
 def order_columns(df: DataFrame) -> list[str]:
     """The order of events within a case: time, then source order, then event id (activity where no id exists)."""
     tail = [c for c in ("source_seq", "event_id") if c in df.columns]
@@ -50,7 +57,7 @@ def whole_seconds(ts: Column | str) -> Column:
 def as_timestamp(df: DataFrame, text: str) -> Column:
     """A timestamp from a timestamp, date or text column; unreadable text becomes null."""
     value = column(df, text)
-    kind = df.select(value.alias("v")).schema["v"].dataType.typeName()
+    kind = type_of(df, text)
     if kind == "string":
         return F.try_to_timestamp(value)
     if kind == "date":

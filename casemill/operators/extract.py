@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, as_timestamp, column, event_id, micros
+from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, as_timestamp, column, event_id, micros, type_of
 from casemill.operators.joins import balanced_join
 from casemill.operators.ordering import CaseLoad, measure_cases, neighbours
 from casemill.sources.config import EventSpec, SourceSpec
@@ -19,8 +19,8 @@ def _moment(df: DataFrame, event: EventSpec, timezone: str) -> Column:
     ts = as_timestamp(df, event.timestamp)
     if timezone.upper() in ("UTC", "ETC/UTC", "Z"):
         return ts
-    kind = df.select(ts.alias("v")).schema["v"].dataType.simpleString()
-    return F.to_utc_timestamp(ts.cast("timestamp"), timezone).cast(kind)
+    kind = type_of(df, event.timestamp)
+    return F.to_utc_timestamp(ts.cast("timestamp"), timezone).cast(kind if kind.startswith("timestamp") else "timestamp")
 
 
 def _pick(values: Sequence[Column], texts: Sequence[str]) -> Column:
@@ -59,7 +59,7 @@ def _event_fields(df: DataFrame, source: SourceSpec, attributes: Sequence[str])
 def _attribute_type(df: DataFrame, source: SourceSpec, name: str) -> str:
     """The type an attribute has in the events that map it (text where they differ)."""
     kinds = {
-        df.select(column(df, e.attributes[name]).alias("v")).schema["v"].dataType.simpleString()
+        type_of(df, e.attributes[name])
         for e in source.events
         if name in e.attributes
     }

@@ -196,17 +196,23 @@ def _graphs(state: DataFrame, load: CaseLoad) -> dict[int, _Graph]:
 
 
 def discover_model(
-    log: DataFrame, noise: float = 0.2, load: CaseLoad | None = None, max_activities: int = MAX_MODEL_ACTIVITIES
+    log: DataFrame,
+    noise: float = 0.2,
+    load: CaseLoad | None = None,
+    max_activities: int = MAX_MODEL_ACTIVITIES,
+    steps: DataFrame | None = None,
 ) -> ProcessTree:
     """A block-structured model of the log; behaviour rarer than ``noise`` does not stop a cut.
 
     Runs one small Spark job per level of the model. Raises when the log has more activities than a model
-    can usefully show.
+    can usefully show. ``steps`` is the result of ``variant_steps`` where the caller already has it.
     """
     events = usable(log)
-    check_alphabet(events, max_activities)
     load = load or measure_cases(events)
-    state = variant_steps(log, load).select(
+    if load.activities is None or load.activities > max_activities:
+        check_alphabet(events, max_activities)
+    steps = variant_steps(log, load) if steps is None else steps
+    state = steps.select(
         F.lit(0).alias("node"),
         F.col("first_case").alias("trace"),
         F.lit(0).cast("long").alias("seg"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, share_pct
+from casemill.operators.ordering import CaseLoad, measure_cases
 
 EVENT_COLUMNS = ("event_id", ACTIVITY, TIMESTAMP, "resource", "cost", "source_table")
 
@@ -74,28 +75,34 @@ def ocel_checks(ocel: Ocel) -> DataFrame:
     """(check, violations, passed): unique events and objects, links without event or object, events without
     link, ids with several types.
 
-    Links are reduced to counts per id before they meet the other tables.
+    Tables are not joined: rows and links of an id are counted side by side, one pre-aggregated shuffle for
+    events and one for objects.
     """
-    per_event = ocel.e2o.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"))
-    per_object = ocel.e2o.groupBy("object_id", "object_type").agg(F.count(F.lit(1)).alias("_n"))
-    ids = ocel.events.select("event_id")
-    known = ocel.objects.select("object_id", "object_type")
-    links = F.coalesce(F.sum("_n"), F.lit(0))
-    twice = F.count(F.lit(1)) > 1
-    found = [
-        ("duplicate event ids", ids.groupBy("event_id").agg(twice.alias("t")).where("t").agg(F.count(F.lit(1)))),
-        ("links without event", per_event.join(ids, "event_id", "left_anti").agg(links)),
-        ("links without object", per_object.join(known, ["object_id", "object_type"], "left_anti").agg(links)),
-        ("events without link", ids.join(per_event, "event_id", "left_anti").agg(F.count(F.lit(1)))),
-        (
-            "ids with several types",
-            known.distinct().groupBy("object_id").agg(twice.alias("t")).where("t").agg(F.count(F.lit(1))),
-        ),
-    ]
-    out = None
-    for name, count in found:
-        row = count.toDF("violations").select(F.lit(name).alias("check"), F.col("violations").cast("long"))
-        out = row if out is None else out.unionByName(row)
+
+    def side_by_side(rows: DataFrame, keys: list[str]) -> DataFrame:
+        mine = rows.select(*keys, F.lit(1).alias("_rows"), F.lit(0).alias("_links"))
+        links = ocel.e2o.select(*keys, F.lit(0).alias("_rows"), F.lit(1).alias("_links"))
+        return mine.unionByName(links).groupBy(*keys).agg(F.sum("_rows").alias("_rows"), F.sum("_links").alias("_links"))
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("long")
+
+    def listed(counts: DataFrame, names: Mapping[str, str]) -> DataFrame:
+        cells = [F.struct(F.lit(text).alias("check"), F.col(c).alias("violations")) for c, text in names.items()]
+        return counts.select(F.inline(F.array(*cells)))
+
+    events = side_by_side(ocel.events, ["event_id"]).agg(
+        F.count_if(F.col("_rows") > 1).alias("twice"),
+        total(F.when(F.col("_rows") == 0, F.col("_links"))).alias("no_event"),
+        total(F.when(F.col("_links") == 0, F.col("_rows"))).alias("no_link"),
+    )
+    per_id = side_by_side(ocel.objects, ["object_id", "object_type"]).groupBy("object_id").agg(
+        F.count_if(F.col("_rows") > 0).alias("_types"), F.sum(F.when(F.col("_rows") == 0, F.col("_links"))).alias("_lost")
+    )
+    objects = per_id.agg(total(F.col("_lost")).alias("no_object"), F.count_if(F.col("_types") > 1).alias("types"))
+    event_names = {"twice": "duplicate event ids", "no_event": "links without event", "no_link": "events without link"}
+    object_names = {"no_object": "links without object", "types": "ids with several types"}
+    out = listed(events, event_names).unionByName(listed(objects, object_names))
     return out.withColumn("passed", F.col("violations") == 0)
 
 
@@ -119,6 +126,13 @@ def flatten(ocel: Ocel, object_type: str | None = None) -> DataFrame:
     return ocel.events.join(cases, "event_id")
 
 
+def perspective_load(ocel: Ocel, object_type: str | None = None) -> CaseLoad:
+    """How the events of a perspective spread over its cases; needs the links only, not the join."""
+    kind = F.lit(object_type) if object_type is not None else default_perspective(ocel).scalar()
+    links = ocel.e2o.where(F.col("object_type") == kind).select(F.col("object_id").alias(CASE))
+    return measure_cases(links)
+
+
 def object_counts(ocel: Ocel) -> DataFrame:
     """(object_type, cnt): objects per type, most first."""
     counts = ocel.objects.groupBy("object_type").agg(F.count(F.lit(1)).alias("cnt"))

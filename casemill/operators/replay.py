@@ -170,16 +170,17 @@ def with_fitness(counts: DataFrame) -> DataFrame:
     )
 
 
-def _replayed(log: DataFrame, model: ProcessTree, load: CaseLoad) -> DataFrame:
-    return with_fitness(replay_variants(variant_steps(log, load), model, load.events))
-
+def replay(
+    log: DataFrame, model: ProcessTree, load: CaseLoad | None = None, steps: DataFrame | None = None
+) -> DataFrame:
+    """(case_id, produced, consumed, missing, remaining, fitness, fits) for every case.
 
-def replay(log: DataFrame, model: ProcessTree, load: CaseLoad | None = None) -> DataFrame:
-    """(case_id, produced, consumed, missing, remaining, fitness, fits) for every case."""
+    ``steps`` is the result of ``variant_steps`` where the caller already has it.
+    """
     load = load or measure_cases(usable(log))
-    results = _replayed(log, model, load).drop("length", "n")
-    cases = case_variants(log, load)
-    joined = balanced_join(cases, results, [("first_case", "first_case")], "inner")
+    steps = variant_steps(log, load) if steps is None else steps
+    results = cut_lineage(with_fitness(replay_variants(steps, model, load.events)).drop("length", "n"))
+    joined = balanced_join(case_variants(log, load), results, [("first_case", "first_case")], "inner")
     return joined.select(CASE, *COUNTS, "fitness", "fits")
 
 
@@ -188,11 +189,15 @@ def fitness(
 ) -> DataFrame:
     """(cases, average_trace_fitness, pct_fitting, status): averages are over cases.
 
-    Without a model one is discovered first. Status is good above an average of 0.8.
+    Without a model one is discovered first, from the same written table of variants that is replayed.
+    Status is good above an average of 0.8.
     """
     load = load or measure_cases(usable(log))
-    model = model or discover_model(log, noise, load)
-    per_variant = _replayed(log, model, load)
+    steps = variant_steps(log, load)
+    if model is None:
+        steps = cut_lineage(steps)
+        model = discover_model(log, noise, load, steps=steps)
+    per_variant = with_fitness(replay_variants(steps, model, load.events))
     cases = F.sum("n")
     average = F.sum(F.col("fitness") * F.col("n")) / cases
     fitting = F.coalesce(F.sum(F.when(F.col("fits"), F.col("n"))), F.lit(0)) * 100.0 / cases

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from casemill.functions.columns import ACTIVITY, CASE, mining_order, usable, variant_label
 from casemill.operators.joins import balanced_join
 from casemill.operators.ordering import CaseLoad, measure_cases, sequence, split_hot
+from casemill.session import cut_lineage
 
 SIGNATURE = ("length", "h1", "h2")
 MAX_SHOWN = 100_000  # longest variant that is shown as one array; longer ones are read with variant_steps
@@ -95,7 +96,10 @@ def variant_steps(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
 
 
 def case_variants(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
-    """(case_id, first_case): which variant, named by its first case, every case follows."""
+    """(case_id, first_case): which variant, named by its first case, every case follows.
+
+    The table of variants is written down before it is joined, so that its size check costs no second pass.
+    """
     signatures = case_signatures(log, load)
-    counts = _variant_counts(signatures).select(*SIGNATURE, "first_case")
+    counts = cut_lineage(_variant_counts(signatures).select(*SIGNATURE, "first_case"))
     return balanced_join(signatures, counts, [(s, s) for s in SIGNATURE], "inner").select(CASE, "first_case")

@@ -13,7 +13,7 @@ from casemill.functions.columns import METRICS
 from casemill.operators.enrich import enrich, match_rate
 from casemill.operators.extract import extract_source, mapping_stats, standardise_activities, union_events
 from casemill.operators.metrics import add_metrics
-from casemill.operators.ordering import CaseLoad, measure_cases
+from casemill.operators.ordering import MAX_TASK_EVENTS, CaseLoad, measure_cases
 from casemill.sources.config import EventLogConfig, SourceSpec, number_events, table_of
 
 Tables = Mapping[str, DataFrame] | None
@@ -28,7 +28,9 @@ def log_load(spark: SparkSession, cfg: EventLogConfig, tables: Tables = None) ->
     """How the events of a configured log spread over its cases."""
     names = {cfg.activity_overrides.get(e.activity, e.activity) for s in cfg.sources for e in s.events}
     bound = event_bound(spark, cfg, tables)
-    return measure_cases(raw_events(spark, cfg, tables), at_most=bound, activities=len(names))
+    if bound <= MAX_TASK_EVENTS:
+        return CaseLoad(bound, activities=len(names))
+    return measure_cases(raw_events(spark, cfg, tables), activities=len(names))
 
 
 def _with_enrichment_keys(spark: SparkSession, cfg: EventLogConfig, tables: Tables) -> list[SourceSpec]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casemill.operators import cases, conformance, dfg, variants
 from casemill.operators.model import discover_model
 from casemill.operators.replay import fitness, replay
+from casemill.session import cut_lineage
 
 from checks.logs import DAYS_SQL, LOG_SQL, PAIRS_SQL, RAW_SQL, clicks_by_day, o2c
 from checks.registry import check
@@ -206,7 +207,8 @@ def model(spark, sf):
 @check("h16_replay")
 def replayed(spark, sf):
     log, load = o2c(spark, sf)
-    return replay(log, discover_model(log, 0.2, load), load)
+    steps = cut_lineage(variants.variant_steps(log, load))
+    return replay(log, discover_model(log, 0.2, load, steps=steps), load, steps)
 
 
 @check("h17_fitness")

@@ -96,7 +96,8 @@ def flattened(spark, sf):
 SELECT src, tgt, count(*) AS freq FROM p WHERE tgt IS NOT NULL GROUP BY 1, 2""",
 )
 def flattened_dfg(spark, sf):
-    return dfg(oc.flatten(ocel(spark, sf), "Supplier"))
+    log = ocel(spark, sf)
+    return dfg(oc.flatten(log, "Supplier"), oc.perspective_load(log, "Supplier"))
 
 
 @check(

@@ -6,7 +6,6 @@ a fitting trace, so it is set aside and counted as remaining at once. That keeps
 
 from __future__ import annotations
 
-from collections import deque
 from dataclasses import dataclass, field
 
 
@@ -66,10 +65,13 @@ class Replayer:
     START = 1
     SINK = 2
 
-    def __init__(self, net: Net, max_search: int = 50_000):
+    def __init__(self, net: Net):
         self.net = net
-        self.max_search = max_search
         self._steps: dict = {}
+        self._makers: dict[int, list[int]] = {}
+        for i, (_, gives) in enumerate(net.silent):
+            for place in bits(gives):
+                self._makers.setdefault(place, []).append(i)
 
     def _fire(self, marking: int, takes: int, gives: int) -> tuple[int, tuple[int, int, int, int]]:
         missing = takes & ~marking
@@ -77,24 +79,37 @@ class Replayer:
         surplus = left & gives
         return left | gives, (gives.bit_count(), takes.bit_count(), missing.bit_count(), surplus.bit_count())
 
-    def _search(self, marking: int, good):
-        """The shortest silent path to a marking that is ``good``: (marking, counts) or None."""
-        zero = (0, 0, 0, 0)
-        if good(marking):
-            return marking, zero
-        seen, todo = {marking}, deque([(marking, zero)])
-        while todo and len(seen) < self.max_search:
-            at, counts = todo.popleft()
-            for takes, gives in self.net.silent:
-                if at & takes == takes:
-                    then, own = self._fire(at, takes, gives)
-                    if then not in seen:
-                        total = add(counts, own)
-                        if good(then):
-                            return then, total
-                        seen.add(then)
-                        todo.append((then, total))
-        return None
+    def _path(self, marking: int, place: int, wanted: frozenset = frozenset()) -> tuple[int, ...] | None:
+        """The fewest silent transitions, in firing order, that bring a token to ``place``.
+
+        The inputs of a join lie in separate branches of the tree, so the ways to them are looked for one by
+        one instead of trying all interleavings.
+        """
+        if marking >> place & 1:
+            return ()
+        best = None
+        for t in self._makers.get(place, ()):
+            order: list[int] | None = []
+            for before in bits(self.net.silent[t][0]):
+                way = None if before in wanted else self._path(marking, before, wanted | {place})
+                if way is None:
+                    order = None
+                    break
+                order += [x for x in way if x not in order]
+            if order is not None and (best is None or len(order) + 1 < len(best)):
+                best = (*order, t)
+        return best
+
+    def _reach(self, marking: int, place: int) -> tuple[int, tuple[int, int, int, int]]:
+        """Move silently until ``place`` has a token; without a way there, stay."""
+        at, counts = marking, (0, 0, 0, 0)
+        for t in self._path(marking, place) or ():
+            takes, gives = self.net.silent[t]
+            if at & takes != takes:
+                return marking, (0, 0, 0, 0)
+            at, own = self._fire(at, takes, gives)
+            counts = add(counts, own)
+        return at, counts
 
     def step(self, marking: int, activity: str) -> tuple[int, tuple[int, int, int, int]]:
         """Replay one activity; an unknown one misses and leaves a token of its own."""
@@ -105,8 +120,7 @@ class Replayer:
                 known = marking, (1, 1, 1, 1)
             else:
                 takes, gives = arc
-                found = self._search(marking, lambda m: m & takes == takes)
-                at, counts = found or (marking, (0, 0, 0, 0))
+                at, counts = self._reach(marking, takes.bit_length() - 1)
                 then, own = self._fire(at, takes, gives)
                 known = then, add(counts, own)
             self._steps[marking, activity] = known
@@ -122,11 +136,15 @@ class Replayer:
     def finish(self, marking: int) -> tuple[int, int, int, int]:
         """Reach the sink if silent steps lead there, and take its token; the first token counts as produced."""
         sink = self.SINK
-        found = self._search(marking, lambda m: m == sink) or self._search(marking, lambda m: m & sink)
-        at, counts = found or (marking, (0, 0, 0, 0))
+        at, counts = self._reach(marking, 1)
         rest = at & ~sink
         return add(counts, (1, 1, 0 if at & sink else 1, rest.bit_count()))
 
 
+def bits(marking: int) -> list[int]:
+    """The places of a marking."""
+    return [i for i in range(marking.bit_length()) if marking >> i & 1]
+
+
 def add(a: tuple, b: tuple) -> tuple:
     return tuple(x + y for x, y in zip(a, b))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, micros, mining_order, usable
 from casemill.operators.medians import exact_median
 from casemill.operators.ordering import MAX_ACTIVITIES, CaseLoad, measure_cases, sequence
+from casemill.session import cut_lineage
 
 
 def dfg(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
@@ -62,6 +63,8 @@ def dfg_layers(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = Tr
 
 def dfg_layout(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = True) -> DataFrame:
     """(activity, layer, x, y): layers two apart, activities of a layer centred around 0."""
+    if load is None or not load.small_alphabet:
+        check_alphabet(log)
     layers = dfg_layers(log, load, use_rank)
     place = F.row_number().over(Window.partitionBy("layer").orderBy(ACTIVITY)) - 1
     size = F.count(F.lit(1)).over(Window.partitionBy("layer"))
@@ -129,7 +132,8 @@ def performance_dfg(log: DataFrame, load: CaseLoad | None = None, median: bool =
     if load.small:
         middle = (F.percentile("_us", F.lit(0.5)) / 1e6).alias("median_seconds")
         return pairs.groupBy("src", "tgt").agg(*stats, middle)
-    middle = exact_median(pairs, ["src", "tgt"], "_us", "_m", single_pass=False)
+    pairs = cut_lineage(pairs)
+    middle = exact_median(pairs, ["src", "tgt"], "_us", "_m", single_pass=False, written=True)
     middle = middle.select("src", "tgt", (F.col("_m") / 1e6).alias("median_seconds"))
     return pairs.groupBy("src", "tgt").agg(*stats).join(middle, ["src", "tgt"])
 

@@ -23,14 +23,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> list[tuple]:
-    """Key values (nulls included) with more rows than one task should hold; fewer than HOT_SHARE of them."""
+def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> tuple[list[tuple], int]:
+    """Key values (nulls included) with more rows than one task should hold, and into how many parts the
+    largest of them should go.
+
+    A hot key exceeds 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE of them and as many parts.
+    """
     total = df.count()
     if total <= max_task_rows:
-        return []
+        return [], 1
     limit = max(max_task_rows, total // HOT_SHARE)
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit).collect()
-    return [tuple(row[k] for k in keys) for row in rows]
+    parts = max((-(-row["_rows"] // limit) for row in rows), default=1)
+    return [tuple(row[k] for k in keys) for row in rows], parts
 
 
 def _is_hot(columns: Sequence[Column], hot: Sequence[tuple]) -> Column:
@@ -63,15 +68,14 @@ def balanced_join(
     drop = [f"_k{i}" for i in range(len(on))]
     if fits_broadcast(renamed, max_rows):
         return left.join(F.broadcast(renamed), all_of(match), how).drop(*drop)
-    hot = hot_keys(left, [l for l, _ in on], max_task_rows)
+    hot, salts = hot_keys(left, [l for l, _ in on], max_task_rows)
     if not hot:
         return left.join(renamed, all_of(match), how).drop(*drop)
-    salts = 64
     left_hot = _is_hot([F.col(f"`{l}`") for l, _ in on], hot)
     right_hot = _is_hot([F.col(f"_k{i}") for i in range(len(on))], hot)
     left = left.withColumn(
         "_salt", F.when(left_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
     )
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    renamed = renamed.withColumn("_part", F.explode(F.when(right_hot, every).otherwise(F.array(F.lit(0)))))
+    last = F.when(right_hot, F.lit(salts - 1)).otherwise(F.lit(0))
+    renamed = renamed.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
     return left.join(renamed, all_of([*match, F.col("_salt") == F.col("_part")]), how).drop(*drop, "_salt", "_part")

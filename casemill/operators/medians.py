@@ -13,20 +13,24 @@ from casemill.session import cut_lineage
 _SHIFTS = (40, 20, 0)
 
 
-def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str, single_pass: bool) -> DataFrame:
+def exact_median(
+    df: DataFrame, by: Sequence[str], value: str, out: str, single_pass: bool, written: bool = False
+) -> DataFrame:
     """(by…, out): the median of a long column per group, as a double.
 
     ``single_pass`` uses the built-in percentile, which keeps a group's distinct values in one buffer; it is
     for inputs known to fit a task. Otherwise the two middle values are narrowed down in three rounds of
     counting by ever finer ranges of the value (2^40, 2^20, 1). Each round is a pre-aggregated count, so a
-    group of any size reduces to at most 2^23 counters in the first round and 2^20 in the others.
+    group of any size reduces to at most 2^23 counters in the first round and 2^20 in the others. The rounds
+    read the values from a written copy; ``written`` says that ``df`` already is one.
     """
     known = df.where(F.col(value).isNotNull())
     if single_pass:
         return known.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias(out))
     groups = list(by) or ["_all"]
     group_columns = [F.col(c) for c in by] or [F.lit(0).alias("_all")]
-    data = cut_lineage(known.select(*group_columns, F.col(value).cast("long").alias("_v")))
+    data = known.select(*group_columns, F.col(value).cast("long").alias("_v"))
+    data = data if written else cut_lineage(data)
     picked = _middle_ranges(data, groups)
     for above, shift in zip(_SHIFTS, _SHIFTS[1:]):
         inside = balanced_join(

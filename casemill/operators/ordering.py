@@ -9,7 +9,7 @@ and neighbours across the slice borders. Both ways give the same rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +37,11 @@ class CaseLoad:
         """Is the whole log no larger than what one task may hold?"""
         return self.events <= self.max_task_events
 
+    @property
+    def limit(self) -> int:
+        """The largest part of a case one task gets: a task's worth, or 1/HOT_SHARE of a very large log."""
+        return max(self.max_task_events, self.events // HOT_SHARE)
+
     @property
     def small_alphabet(self) -> bool:
         """Are the activity pairs known to be a small table?"""
@@ -62,12 +67,12 @@ def measure_cases(
     names = F.approx_count_distinct(ACTIVITY) if counted else F.lit(None)
     total, estimate = df.agg(F.count(F.lit(1)), names).first()
     activities = activities if estimate is None else estimate
-    if total <= max_task_events:
-        return CaseLoad(total, (), max_task_events, activities)
-    limit = max(max_task_events, total // HOT_SHARE)
+    load = CaseLoad(total, (), max_task_events, activities)
+    if load.small:
+        return load
     per_case = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = per_case.where(F.col("_n") > limit).collect()
-    return CaseLoad(total, tuple(row[key] for row in hot), max_task_events, activities)
+    hot = per_case.where(F.col("_n") > load.limit).collect()
+    return replace(load, hot=tuple(row[key] for row in hot))
 
 
 def split_hot(df: DataFrame, load: CaseLoad, key: str = CASE) -> tuple[DataFrame, DataFrame | None]:
@@ -110,7 +115,7 @@ def _slices(hot: DataFrame, key: Sequence[str], order: Sequence[str], load: Case
 
     The slice numbers are written down before they are used, so that a lost executor cannot change them.
     """
-    count = max(2, 2 * -(-load.events // load.max_task_events))
+    count = max(2, 2 * -(-load.events // load.limit))  # at most 2 * HOT_SHARE
     full_order = [*order, "_tie"]
     events = hot.withColumn("_tie", F.xxhash64(*hot.columns)).repartitionByRange(count, *key, *full_order)
     return cut_lineage(events.withColumn("_slice", F.spark_partition_id())), full_order

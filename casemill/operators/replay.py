@@ -27,7 +27,7 @@ from casemill.session import cut_lineage
 # The replay code travels with the task, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(net_module)
 
-CHUNK = 1_000_000  # steps of a variant that one row may hold
+CHUNK = 10_000  # steps of a variant that one row may hold; an Arrow batch has up to 10,000 rows
 MAX_MARKINGS = 2_000  # markings to try per chunk before chunks are taken one after the other
 FAN_IN = 256  # chunk results that are chained in one group
 COUNTS = ("produced", "consumed", "missing", "remaining")
@@ -43,10 +43,12 @@ def replay_variants(
     ``chunk`` everything is one lazy pass.
     """
     net = net_of(model)
+    labels = [*model.labels(), ""]  # an activity the model does not know has number -1 and finds the last entry
+    code = (F.array_position(F.array(*[F.lit(x) for x in labels[:-1]]), F.col(ACTIVITY)) - 1).cast("int").alias("code")
     key_type = steps.schema["first_case"].dataType.simpleString()
     part = F.floor((F.col("position") - 1) / chunk).cast("long")
     rows = steps.groupBy("first_case", "length", "n", part.alias("chunk")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("position", ACTIVITY))), lambda s: s[ACTIVITY]).alias("acts")
+        F.transform(F.array_sort(F.collect_list(F.struct("position", code))), lambda s: s["code"]).alias("acts")
     )
     short = rows.where(F.col("length") <= chunk).select("first_case", "length", "n", "acts")
 
@@ -55,7 +57,7 @@ def replay_variants(
         for batch in batches:
             counts = []
             for acts in batch["acts"]:
-                marking, seen = player.run(Replayer.START, acts)
+                marking, seen = player.run(Replayer.START, [labels[i] for i in acts])
                 counts.append(net_module.add(seen, player.finish(marking)))
             out = batch[["first_case", "length", "n"]].copy()
             out[list(COUNTS)] = pd.DataFrame(counts, columns=list(COUNTS), index=batch.index)
@@ -65,23 +67,23 @@ def replay_variants(
     if longest <= chunk or not steps.where(F.col("length") > chunk).limit(1).collect():
         return done
     long = cut_lineage(rows.where(F.col("length") > chunk))
-    return done.unionByName(_replay_long(long, net, key_type, max_markings))
+    return done.unionByName(_replay_long(long, net, labels, key_type, max_markings))
 
 
-def _replay_long(long: DataFrame, net: Net, key_type: str, max_markings: int) -> DataFrame:
+def _replay_long(long: DataFrame, net: Net, labels: list[str], key_type: str, max_markings: int) -> DataFrame:
     spark = long.sparkSession
     known = {Replayer.START}
     new = [Replayer.START]
     runs = []
     while new and len(known) <= max_markings:
-        runs.append(cut_lineage(_run_chunks(long, net, key_type, new)))
+        runs.append(cut_lineage(_run_chunks(long, net, labels, key_type, new)))
         ends = [int(r["end"], 16) for r in runs[-1].select("end").distinct().limit(max_markings + 1).collect()]
         new = sorted(set(ends) - known)
         known |= set(new)
     if len(known) <= max_markings:
         chained = _chain(reduce(DataFrame.unionByName, runs), key_type)
     else:
-        chained = _one_by_one(long, net, key_type)
+        chained = _one_by_one(long, net, labels, key_type)
     variants = long.select("first_case", "length", "n").distinct()
     ended = cut_lineage(variants.join(chained, "first_case"))
     player = Replayer(net)
@@ -93,7 +95,7 @@ def _replay_long(long: DataFrame, net: Net, key_type: str, max_markings: int) ->
     return ended.join(closing, "end").select("first_case", "length", "n", *total)
 
 
-def _run_chunks(long: DataFrame, net: Net, key_type: str, markings: list[int]) -> DataFrame:
+def _run_chunks(long: DataFrame, net: Net, labels: list[str], key_type: str, markings: list[int]) -> DataFrame:
     """(first_case, chunk, start, end, counts): every chunk from every given marking."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,8 +103,9 @@ def _run_chunks(long: DataFrame, net: Net, key_type: str, markings: list[int]) -
         for batch in batches:
             rows = []
             for case, chunk, acts in zip(batch["first_case"], batch["chunk"], batch["acts"]):
+                names = [labels[i] for i in acts]
                 for marking in markings:
-                    end, counts = player.run(marking, acts)
+                    end, counts = player.run(marking, names)
                     rows.append((case, chunk, format(marking, "x"), format(end, "x"), *counts))
             yield pd.DataFrame(rows, columns=["first_case", "chunk", "start", "end", *COUNTS])
 
@@ -136,7 +139,7 @@ def _chain(runs: DataFrame, key_type: str) -> DataFrame:
     return runs.where(F.col("start") == format(Replayer.START, "x")).select("first_case", "end", *COUNTS)
 
 
-def _one_by_one(long: DataFrame, net: Net, key_type: str) -> DataFrame:
+def _one_by_one(long: DataFrame, net: Net, labels: list[str], key_type: str) -> DataFrame:
     """The same as ``_chain`` for models with very many markings: one job per chunk number, all cases at once."""
     state = long.select("first_case").distinct().select(
         "first_case", F.lit(format(Replayer.START, "x")).alias("end"), *[F.lit(0).cast("long").alias(c) for c in COUNTS]
@@ -150,7 +153,7 @@ def _one_by_one(long: DataFrame, net: Net, key_type: str) -> DataFrame:
                 if r.acts is None:
                     rows.append((r.first_case, r.end, r.produced, r.consumed, r.missing, r.remaining))
                 else:
-                    end, counts = player.run(int(r.end, 16), r.acts)
+                    end, counts = player.run(int(r.end, 16), [labels[i] for i in r.acts])
                     seen = (r.produced, r.consumed, r.missing, r.remaining)
                     rows.append((r.first_case, format(end, "x"), *net_module.add(seen, counts)))
             yield pd.DataFrame(rows, columns=["first_case", "end", *COUNTS])

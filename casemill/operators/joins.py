@@ -14,12 +14,12 @@ BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Check rows and bytes of a side before it is sent to every executor; reads at most ``max_rows`` + 1 rows."""
+    """Count rows and bytes of a side before it is sent to every executor: one aggregation, nothing is shuffled."""
     width = F.lit(0)
     for field in df.schema.fields:
         wide = field.dataType.typeName() in ("string", "binary")
         width = width + (F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0)) if wide else F.lit(8))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casemill.operators import cases, conformance, dfg, variants
-from casemill.operators.model import discover_model
+from casemill.operators.model import SILENT, ProcessTree, block, discover_model, leaf
 from casemill.operators.replay import fitness, replay
 from casemill.session import cut_lineage
 
@@ -217,6 +217,67 @@ def fit(spark, sf):
     return fitness(log, noise=0.2, load=load)
 
 
+@check(
+    "h15_model_fits_its_log",
+    f"WITH {RAW_SQL} SELECT count(DISTINCT case_id) AS cases, count(DISTINCT case_id) AS fitting FROM raw",
+)
+def fits_own_log(spark, sf):
+    """Without noise removal every case fits the discovered model."""
+    log, load = o2c(spark, sf)
+    steps = cut_lineage(variants.variant_steps(log, load))
+    cases_ = replay(log, discover_model(log, 0.0, load, steps=steps), load, steps)
+    return cases_.agg(F.count(F.lit(1)).alias("cases"), F.count_if("fits").alias("fitting"))
+
+
+_ORDER, _SHIP, _RETURN = leaf("Create Order"), leaf("Ship Item"), leaf("Return Item")
+_IN_ANY_ORDER = ProcessTree(
+    "parallel",
+    None,
+    (
+        _ORDER,
+        ProcessTree("exclusive", None, (SILENT, ProcessTree("loop", None, (_RETURN, SILENT)))),
+        ProcessTree("loop", None, (_SHIP, SILENT)),
+    ),
+)
+_ORDER_FIRST = block(
+    "sequence",
+    [
+        _ORDER,
+        ProcessTree(
+            "loop", None, (block("sequence", [_SHIP, ProcessTree("exclusive", None, (SILENT, _RETURN))]), SILENT)
+        ),
+    ],
+)
+_ORDER_FIRST_SQL = f"""{RAW_SQL}, traces AS (SELECT case_id, string_agg(activity, ',' ORDER BY event_timestamp, source_seq, event_id)
+  AS trace FROM raw GROUP BY 1),
+judged AS (SELECT case_id, regexp_full_match(trace, 'Create Order(,Ship Item(,Return Item)?)+') AS fits FROM traces)"""
+
+
+@check(
+    "h16_replay_in_any_order",
+    f"""WITH {RAW_SQL} SELECT case_id, count(*) FILTER (activity = 'Create Order') = 1
+  AND count(*) FILTER (activity = 'Ship Item') > 0 AS fits FROM raw GROUP BY 1""",
+)
+def any_order(spark, sf):
+    log, load = o2c(spark, sf)
+    return replay(log, _IN_ANY_ORDER, load).select("case_id", "fits")
+
+
+@check("h16_replay_order_first", f"WITH {_ORDER_FIRST_SQL} SELECT * FROM judged")
+def order_first(spark, sf):
+    log, load = o2c(spark, sf)
+    return replay(log, _ORDER_FIRST, load).select("case_id", "fits")
+
+
+@check(
+    "h17_fitness_order_first",
+    f"""WITH {_ORDER_FIRST_SQL} SELECT count(*) AS cases, round(count(*) FILTER (fits) * 100.0 / count(*), 4) AS pct_fitting FROM judged""",
+)
+def order_first_fitness(spark, sf):
+    log, load = o2c(spark, sf)
+    return fitness(log, _ORDER_FIRST, load=load).select("cases", F.round("pct_fitting", 4).alias("pct_fitting"))
+
+
 _KEPT_SQL = f"""{_EDGES_SQL}, kept AS (SELECT src, tgt FROM (SELECT *, max(freq) OVER (PARTITION BY src) AS m FROM edges) WHERE freq >= 0.2 * m),
 marked AS (SELECT p.*, p.tgt IS NOT NULL AND k.src IS NULL AS bad FROM pairs p LEFT JOIN kept k USING (src, tgt))"""
 

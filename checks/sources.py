@@ -17,10 +17,10 @@ from casemill.operators.profile import (
     profile_table,
     value_distribution,
 )
-from casemill.sources.config import EnrichmentSpec, EventLogConfig, EventSpec, SourceSpec, check_config, parse_config
-from casemill.sources.tables import discover_logs, load_log, normalise_log, save_log
+from casemill.sources.config import check_config, parse_config
+from casemill.sources.tables import describe_columns, discover_logs, list_tables, load_log, normalise_log, save_log
 
-from checks.logs import LINES, LOG_SQL, O2C, OCEL_SQL, ORDERS, o2c, ocel, table, tables
+from checks.logs import LOG_SQL, OCEL_SQL, o2c, ocel, table, tables
 from checks.registry import check
 
 
@@ -35,6 +35,25 @@ def _scratch_schema(spark) -> str:
     return name
 
 
+@check("a01_list_tables", "SELECT * FROM (VALUES ('nation'), ('o2c')) t(table_name)")
+def listed(spark, sf):
+    schema = _scratch_schema(spark)
+    save_log(o2c(spark, sf)[0], f"{schema}.o2c")
+    save_log(table(spark, sf, "nation"), f"{schema}.nation")
+    return list_tables(spark, schema)
+
+
+@check(
+    "a03_describe_columns",
+    """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+  CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type
+FROM (DESCRIBE SELECT * FROM lineitem)""",
+)
+def described(spark, sf):
+    return describe_columns(table(spark, sf, "lineitem"))
+
+
 @check("a02_discover_logs", "SELECT * FROM (VALUES ('o2c', 'traditional'), ('o2c_ocel_events', 'ocel')) t(table_name, kind)")
 def discover(spark, sf):
     schema = _scratch_schema(spark)

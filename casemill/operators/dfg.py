@@ -37,34 +37,34 @@ def activity_counts(log: DataFrame) -> DataFrame:
     return usable(log).groupBy(ACTIVITY).agg(F.count(F.lit(1)).alias("n"))
 
 
-def check_alphabet(log: DataFrame, max_activities: int = MAX_ACTIVITIES) -> int:
-    """The number of activities; raises when there are too many for a graph to be a small table."""
-    n = usable(log).select(ACTIVITY).distinct().limit(max_activities + 1).count()
-    if n > max_activities:
+def alphabet(log: DataFrame, max_activities: int = MAX_ACTIVITIES) -> list[str]:
+    """The activities in order; raises when there are too many for a graph to be a small table."""
+    rows = usable(log).select(ACTIVITY).distinct().limit(max_activities + 1).collect()
+    if len(rows) > max_activities:
         raise ValueError(f"more than {max_activities} activities; a process graph needs fewer")
-    return n
+    return sorted(r[ACTIVITY] for r in rows)
 
 
 def dfg_layers(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = True) -> DataFrame:
     """(activity, layer): the median rank of an activity, rounded half to even.
 
     Without ``event_rank`` (object-centric events) or with ``use_rank=False`` the layer is the place in the
-    alphabet, from 0. The alphabet is checked to be small before it is ordered in one task.
+    alphabet, from 0. The alphabet is read once and raises when it is too large for a drawing.
     """
     events = usable(log)
     if use_rank and "event_rank" in log.columns:
         load = load or measure_cases(events)
         median = exact_median(events, [ACTIVITY], "event_rank", "_m", single_pass=load.small)
         return median.select(ACTIVITY, F.bround("_m").cast("long").alias("layer"))
-    check_alphabet(log)
-    place = F.row_number().over(Window.orderBy(ACTIVITY)) - 1
-    return events.select(ACTIVITY).distinct().select(ACTIVITY, place.cast("long").alias("layer"))
+    places = [(name, i) for i, name in enumerate(alphabet(log))]
+    return log.sparkSession.createDataFrame(places, "activity string, layer long")
 
 
 def dfg_layout(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = True) -> DataFrame:
     """(activity, layer, x, y): layers two apart, activities of a layer centred around 0."""
-    if load is None or not load.small_alphabet:
-        check_alphabet(log)
+    by_rank = use_rank and "event_rank" in log.columns
+    if by_rank and (load is None or not load.small_alphabet):
+        alphabet(log)
     layers = dfg_layers(log, load, use_rank)
     place = F.row_number().over(Window.partitionBy("layer").orderBy(ACTIVITY)) - 1
     size = F.count(F.lit(1)).over(Window.partitionBy("layer"))

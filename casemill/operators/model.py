@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, usable
 from casemill.functions.graphs import groups, reachability
-from casemill.operators.dfg import check_alphabet
+from casemill.operators.dfg import alphabet
 from casemill.operators.joins import balanced_join
 from casemill.operators.ordering import CaseLoad, measure_cases, neighbours, running
 from casemill.operators.variants import variant_steps
@@ -210,7 +210,7 @@ def discover_model(
     events = usable(log)
     load = load or measure_cases(events)
     if load.activities is None or load.activities > max_activities:
-        check_alphabet(events, max_activities)
+        alphabet(events, max_activities)
     steps = variant_steps(log, load) if steps is None else steps
     state = steps.select(
         F.lit(0).alias("node"),

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.logs import NAMES
+from checks.registry import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -23,14 +24,14 @@ def plain(rows):
 
 def test_every_sql_has_a_query():
     assert entry.oracle_sql().keys() <= entry.queries().keys()
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"h15_discover_model", "h16_replay", "h17_fitness"}
+    assert set(QUERIES) - set(SQL) == {"h15_discover_model", "h16_replay", "h17_fitness"}
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, sf, db, name):
     df = entry.queries()[name](spark, sf)
     relation = db.sql(entry.oracle_sql()[name])

@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
     Unlike a checkpoint it stays columnar, so later steps read only the columns they need, and its rows are
@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
+from casemill.llm.minhash import near_duplicates
 from casemill.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -21,5 +26,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_positional_index, op9_best_fit_packing,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op8_positional_index, op9_best_fit_packing,)}
 SQL: dict[str, str] = {}

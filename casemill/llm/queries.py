@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import chat, quality, secrets
+from casemill.llm import chat, quality, secrets, toxicity
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
 from casemill.llm.minhash import near_duplicates
@@ -60,6 +60,11 @@ def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -68,5 +73,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op4_secret_markov, op5_quality_trees, op8_positional_index, op9_best_fit_packing,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing,)}
 SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL}

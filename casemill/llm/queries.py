@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import chat, quality, secrets, toxicity
+from casemill.llm import chat, language, quality, secrets, toxicity
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
 from casemill.llm.minhash import near_duplicates
@@ -50,6 +50,11 @@ FROM texts
 """
 
 
+def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 def op4_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.train(docs))
@@ -73,5 +78,5 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op3_language_profiles, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing,)}
 SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casemill.llm import chat, language, quality, secrets, toxicity
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
+from casemill.llm.embeddings import near_duplicate_vectors
 from casemill.llm.minhash import near_duplicates
 from casemill.llm.packing import pack
 
@@ -78,5 +79,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op3_language_profiles, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing,)}
+def op10_hnsw_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op3_language_profiles, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing, op10_hnsw_embeddings)}
 SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import chat, language, quality, secrets, toxicity
+from casemill.llm import chat, language, licences, quality, secrets, toxicity
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
 from casemill.llm.embeddings import near_duplicate_vectors
@@ -71,6 +71,11 @@ def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_licence_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
@@ -83,5 +88,19 @@ def op10_hnsw_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_dart_minhash, op2_chat_formatting, op3_language_profiles, op4_secret_markov, op5_quality_trees, op6_toxicity_lexicon, op8_positional_index, op9_best_fit_packing, op10_hnsw_embeddings)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_dart_minhash,
+        op2_chat_formatting,
+        op3_language_profiles,
+        op4_secret_markov,
+        op5_quality_trees,
+        op6_toxicity_lexicon,
+        op7_licence_regression,
+        op8_positional_index,
+        op9_best_fit_packing,
+        op10_hnsw_embeddings,
+    )
+}
 SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL}

@@ -9,10 +9,11 @@ thrown, and twice as many for documents with a coordinate left empty, so the wor
 ``k log k``, not their product.
 
 Candidates agree in all coordinates of a band. Exact copies (the same words in order) are one class from the start.
-Then buckets are worked off in rounds: a few pivots of every bucket are compared with the members that are not yet
-in their component, by the exact similarity of the shingles; pivots are done then, and a bucket is done when its
-members are in one component or none is left. So a bucket of true copies costs a comparison per member, no pair of
-different components that share a bucket is skipped, and the first rounds bound what is emitted at a time.
+Then buckets are worked off: twice, one pivot of every bucket is compared with the members that are not yet in its
+component, by the exact similarity of the shingles, which settles a bucket of true copies with a comparison per member.
+What is left are buckets with members of several components, without the pivots. They are cut into blocks of a bounded
+size, and every two blocks of a bucket meet in one task, which compares what is in different components by a product
+of matrices and emits only links that join two of them. So no pair of a bucket is skipped, and none but links is emitted.
 
 A text of fewer than five words, but not none, has one shingle. Texts without words are copies of each other if
 equal; null texts are copies of nothing. Rows that repeat an id and its text share a class. An empty table gives an
@@ -37,7 +38,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 20
 ROWS = 6
-GROWTH = 8  # pivots of a bucket: 1, then up to 8, 64, ...
+STARS = 2  # rounds with a pivot for each bucket
+BLOCK = 512  # members of a bucket that are compared with as many others in one task
+_COLUMNS = 4096
 
 
 def _salt(k: int) -> np.uint64:
@@ -234,27 +237,92 @@ def _labels(docs: DataFrame, classes: DataFrame, similarity: float, shingle: int
 
     labels = spark.createDataFrame([], "class_no long, component long")
     members = members.withColumn("component", F.col("class_no"))
-    pivots_each = 1
-    while True:
-        mixed = members.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
-        members = stored(members.join(mixed.where("_l != _h").select("bucket"), "bucket"), "members")
+    for _ in range(STARS):
+        members = _mixed(members)
         if members.isEmpty():
             return labels
-        slot = F.pmod(F.xxhash64("class_no"), F.lit(pivots_each))
-        pivots = members.groupBy("bucket", slot.alias("_slot")).agg(
+        pivots = members.groupBy("bucket").agg(
             F.min("class_no").alias("a"), F.min_by("n", "class_no").alias("na"),
             F.min_by("component", "class_no").alias("ca"),
         )
-        pivots = pivots.drop("_slot")
         pairs = members.join(pivots, "bucket").where("component != ca").where(
             F.least("n", "na") >= similarity * F.greatest("n", "na") - 1e-9
         )
-        pairs = pairs.select(F.least("a", "class_no").alias("a"), F.greatest("a", "class_no").alias("b")).distinct()
-        found = stored(_similar(pairs, sets, similarity), "similar")
-        if not found.isEmpty():
-            known = labels.select(F.col("class_no").alias("a"), F.col("component").alias("b"))
-            labels = stored(components(known.unionByName(found)).withColumnRenamed("node", "class_no"), "labels")
-        done = pivots.select("bucket", F.col("a").alias("class_no"))
-        members = members.select("bucket", "class_no", "n").join(done, ["bucket", "class_no"], "left_anti")
+        pairs = pairs.select("a", F.col("class_no").alias("b")).distinct()
+        labels = _joined(labels, stored(_similar(pairs, sets, similarity), "similar"))
+        members = members.select("bucket", "class_no", "n").join(
+            pivots.select("bucket", F.col("a").alias("class_no")), ["bucket", "class_no"], "left_anti"
+        )
         members = members.join(labels, "class_no", "left").withColumn("component", F.coalesce("component", "class_no"))
-        pivots_each *= GROWTH
+    members = _mixed(members)
+    if members.isEmpty():
+        return labels
+    return _joined(labels, stored(_in_blocks(members, sets, similarity), "similar"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of buckets that have members of several components."""
+    ends = members.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
+    return stored(members.join(ends.where("_l != _h").select("bucket"), "bucket"), "members")
+
+
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after the links found (a, b)."""
+    if found.isEmpty():
+        return labels
+    known = labels.select(F.col("class_no").alias("a"), F.col("component").alias("b"))
+    return stored(components(known.unionByName(found)).withColumnRenamed("node", "class_no"), "labels")
+
+
+def _in_blocks(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join different components of a bucket's members (bucket, class_no, n, component)."""
+    size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(size, "bucket").select(
+        "bucket", "class_no", "component", F.pmod(F.xxhash64("class_no"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    )
+    placed = placed.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class_no",
+        "component",
+    ).join(sets, "class_no")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("class_no").combine_chunks()
+        name, component, block = (group.column(c).to_numpy() for c in ("class_no", "component", "block"))
+        lists = group.column("elements").chunk(0)
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        own = np.repeat(np.arange(len(name)), sizes)
+        _, element, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        column = np.cumsum(times > 1) - 1  # elements of one member alone have none
+        own, element = own[times[element] > 1], column[element[times[element] > 1]]
+        order = np.argsort(element, kind="stable")
+        own, element = own[order], element[order]
+        values, counts = np.unique(component, return_counts=True)
+        few = np.flatnonzero(component != values[counts.argmax()])  # the others are in one component
+        both = np.zeros((len(few), len(name)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            a, b = np.searchsorted(element, [start, start + _COLUMNS])
+            part = np.zeros((len(name), _COLUMNS), np.float32)
+            part[own[a:b], element[a:b] - start] = 1
+            both += part[few] @ part.T
+        both = both.astype(np.float64)
+        alike = both >= similarity * (sizes[few][:, None] + sizes - both) - 1e-9
+        alike &= component[few][:, None] != component
+        if len(np.unique(block)) > 1 and group.column("i")[0] != group.column("j")[0]:
+            alike &= block[few][:, None] != block
+        parent = {int(c): int(c) for c in values}
+
+        def top(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        links = []
+        for x, y in zip(*np.nonzero(alike)):
+            p, q = top(int(component[few[x]])), top(int(component[y]))
+            if p != q:
+                parent[p] = q
+                links.append((int(name[few[x]]), int(name[y])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return placed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")

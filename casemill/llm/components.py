@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # large star: larger neighbours point at the smallest of the neighbourhood
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
+        large = large.where("a != b")
         # small star: smaller neighbours, and the node, point at the smallest
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

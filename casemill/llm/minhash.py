@@ -9,11 +9,11 @@ thrown, and twice as many for documents with a coordinate left empty, so the wor
 ``k log k``, not their product.
 
 Candidates agree in all coordinates of a band. Exact copies (the same words in order) are one class from the start.
-Then buckets are worked off: twice, one pivot of every bucket is compared with the members that are not yet in its
-component, by the exact similarity of the shingles, which settles a bucket of true copies with a comparison per member.
-What is left are buckets with members of several components, without the pivots. They are cut into blocks of a bounded
-size, and every two blocks of a bucket meet in one task, which compares what is in different components by a product
-of matrices and emits only links that join two of them. So no pair of a bucket is skipped, and none but links is emitted.
+Then one pivot of every bucket is compared with all its members by the exact similarity of the shingles, which settles
+a bucket of true copies with a comparison per member. What is left are buckets with members that are not all linked to
+one pivot. They are cut into blocks of a bounded size, and every two blocks of a bucket meet in one task, which compares
+what is not yet joined by a product of matrices and emits only links that join. So no pair of a bucket is skipped, and
+none but links is emitted.
 
 A text of fewer than five words, but not none, has one shingle. Texts without words are copies of each other if
 equal; null texts are copies of nothing. Rows that repeat an id and its text share a class. An empty table gives an
@@ -38,7 +38,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 20
 ROWS = 6
-STARS = 2  # rounds with a pivot for each bucket
 BLOCK = 512  # members of a bucket that are compared with as many others in one task
 _COLUMNS = 4096
 
@@ -226,7 +225,6 @@ def near_duplicates(
 
 def _labels(docs: DataFrame, classes: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """(class_no, component) of the classes that are linked with another one."""
-    spark = docs.sparkSession
     banded = classes.select("class_no", "n", F.posexplode("bands").alias("band", "hash"))
     banded = banded.select(F.xxhash64("band", "hash").alias("bucket"), "class_no", "n")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("bucket")
@@ -235,47 +233,25 @@ def _labels(docs: DataFrame, classes: DataFrame, similarity: float, shingle: int
     texts = docs.join(needed, docs["id"].eqNullSafe(needed["id"])).drop("id")
     sets = stored(elements(texts, shingle).groupBy("class_no").agg(F.first("elements").alias("elements")), "elements")
 
-    labels = spark.createDataFrame([], "class_no long, component long")
-    members = members.withColumn("component", F.col("class_no"))
-    for _ in range(STARS):
-        members = _mixed(members)
-        if members.isEmpty():
-            return labels
-        pivots = members.groupBy("bucket").agg(
-            F.min("class_no").alias("a"), F.min_by("n", "class_no").alias("na"),
-            F.min_by("component", "class_no").alias("ca"),
-        )
-        pairs = members.join(pivots, "bucket").where("component != ca").where(
-            F.least("n", "na") >= similarity * F.greatest("n", "na") - 1e-9
-        )
-        pairs = pairs.select("a", F.col("class_no").alias("b")).distinct()
-        labels = _joined(labels, stored(_similar(pairs, sets, similarity), "similar"))
-        members = members.select("bucket", "class_no", "n").join(
-            pivots.select("bucket", F.col("a").alias("class_no")), ["bucket", "class_no"], "left_anti"
-        )
-        members = members.join(labels, "class_no", "left").withColumn("component", F.coalesce("component", "class_no"))
-    members = _mixed(members)
-    if members.isEmpty():
-        return labels
-    return _joined(labels, stored(_in_blocks(members, sets, similarity), "similar"))
-
-
-def _mixed(members: DataFrame) -> DataFrame:
-    """The members of buckets that have members of several components."""
-    ends = members.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
-    return stored(members.join(ends.where("_l != _h").select("bucket"), "bucket"), "members")
-
-
-def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """Labels after the links found (a, b)."""
-    if found.isEmpty():
-        return labels
-    known = labels.select(F.col("class_no").alias("a"), F.col("component").alias("b"))
-    return stored(components(known.unionByName(found)).withColumnRenamed("node", "class_no"), "labels")
+    pivots = members.groupBy("bucket").agg(F.min("class_no").alias("a"), F.min_by("n", "class_no").alias("na"))
+    pairs = members.join(pivots, "bucket").where("class_no != a").where(
+        F.least("n", "na") >= similarity * F.greatest("n", "na") - 1e-9
+    )
+    links = stored(_similar(pairs.select("a", F.col("class_no").alias("b")).distinct(), sets, similarity), "similar")
+    # Members that share a pivot are joined already; the pivots are done.
+    joined = links.groupBy(F.col("b").alias("class_no")).agg(F.min("a").alias("component"))
+    rest = members.select("bucket", "class_no").join(
+        pivots.select("bucket", F.col("a").alias("class_no")), ["bucket", "class_no"], "left_anti"
+    )
+    rest = rest.join(joined, "class_no", "left").withColumn("component", F.coalesce("component", "class_no"))
+    ends = rest.groupBy("bucket").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
+    rest = stored(rest.join(ends.where("_l != _h").select("bucket"), "bucket"), "members")
+    links = links.unionByName(stored(_in_blocks(rest, sets, similarity), "similar"))
+    return components(links).withColumnRenamed("node", "class_no")
 
 
 def _in_blocks(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that join different components of a bucket's members (bucket, class_no, n, component)."""
+    """Links (a, b) that join different components of a bucket's members (bucket, class_no, component)."""
     size = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(size, "bucket").select(
         "bucket", "class_no", "component", F.pmod(F.xxhash64("class_no"), F.col("blocks")).cast("int").alias("block"),

@@ -20,7 +20,8 @@ def dfg(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
 
 
 def start_end(log: DataFrame) -> DataFrame:
-    """(activity, kind, n): first and last activities of the cases; no sort, only partial minima and maxima."""
+    """(activity, kind, n): first and last activities of the cases, from partial minima and maxima per case (a sort aggregate,
+    as the order has text in it)."""
     at = F.struct(*mining_order(log))
     ends = usable(log).groupBy(CASE).agg(
         F.min_by(ACTIVITY, at).alias("start"), F.max_by(ACTIVITY, at).alias("end")
@@ -38,10 +39,10 @@ def activity_counts(log: DataFrame) -> DataFrame:
 
 
 def alphabet(log: DataFrame, max_activities: int = MAX_ACTIVITIES) -> list[str]:
-    """The activities in order; raises when there are too many for a graph to be a small table."""
+    """The activities in order, on the driver; raises when there are more than a caller can hold there."""
     rows = usable(log).select(ACTIVITY).distinct().limit(max_activities + 1).collect()
     if len(rows) > max_activities:
-        raise ValueError(f"more than {max_activities} activities; a process graph needs fewer")
+        raise ValueError(f"more than {max_activities} activities")
     return sorted(r[ACTIVITY] for r in rows)
 
 
@@ -49,22 +50,19 @@ def dfg_layers(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = Tr
     """(activity, layer): the median rank of an activity, rounded half to even.
 
     Without ``event_rank`` (object-centric events) or with ``use_rank=False`` the layer is the place in the
-    alphabet, from 0. The alphabet is read once and raises when it is too large for a drawing.
+    alphabet, from 0.
     """
     events = usable(log)
     if use_rank and "event_rank" in log.columns:
         load = load or measure_cases(events)
         median = exact_median(events, [ACTIVITY], "event_rank", "_m", single_pass=load.small)
         return median.select(ACTIVITY, F.bround("_m").cast("long").alias("layer"))
-    places = [(name, i) for i, name in enumerate(alphabet(log))]
-    return log.sparkSession.createDataFrame(places, "activity string, layer long")
+    names = events.select(ACTIVITY).distinct()  # one task numbers the distinct activities
+    return names.select(ACTIVITY, (F.row_number().over(Window.orderBy(ACTIVITY)) - 1).cast("long").alias("layer"))
 
 
 def dfg_layout(log: DataFrame, load: CaseLoad | None = None, use_rank: bool = True) -> DataFrame:
     """(activity, layer, x, y): layers two apart, activities of a layer centred around 0."""
-    by_rank = use_rank and "event_rank" in log.columns
-    if by_rank and (load is None or not load.small_alphabet):
-        alphabet(log)
     layers = dfg_layers(log, load, use_rank)
     place = F.row_number().over(Window.partitionBy("layer").orderBy(ACTIVITY)) - 1
     size = F.count(F.lit(1)).over(Window.partitionBy("layer"))
@@ -125,7 +123,7 @@ def performance_dfg(log: DataFrame, load: CaseLoad | None = None, median: bool =
         (F.avg("_us") / 1e6).alias("mean_seconds"),
         (F.min("_us") / 1e6).alias("min_seconds"),
         (F.max("_us") / 1e6).alias("max_seconds"),
-        (F.sum("_us") / 1e6).alias("sum_seconds"),
+        (F.sum(F.col("_us").cast("decimal(19, 0)")).cast("double") / 1e6).alias("sum_seconds"),  # beyond a long
     ]
     if not median:
         return pairs.groupBy("src", "tgt").agg(*stats)

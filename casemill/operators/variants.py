@@ -16,7 +16,6 @@ from casemill.operators.ordering import CaseLoad, measure_cases, sequence, split
 from casemill.session import cut_lineage
 
 SIGNATURE = ("length", "h1", "h2")
-MAX_SHOWN = 100_000  # longest variant that is shown as one array; longer ones are read with variant_steps
 
 
 def case_signatures(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
@@ -36,11 +35,14 @@ def _variant_counts(signatures: DataFrame) -> DataFrame:
     return signatures.groupBy(*SIGNATURE).agg(F.count(F.lit(1)).alias("n"), F.min(CASE).alias("first_case"))
 
 
-def variants(log: DataFrame, k: int | None = 10, load: CaseLoad | None = None) -> DataFrame:
+def variants(
+    log: DataFrame, k: int | None = 10, load: CaseLoad | None = None, max_shown: int | None = None
+) -> DataFrame:
     """(rank, variant, label, length, n, first_case): the k most frequent variants, or all of them.
 
-    Ties go to the variant with the smaller first case. ``variant`` is an array of activities; it is null
-    for sequences over MAX_SHOWN events, whose steps ``variant_steps`` gives row by row.
+    Ties go to the variant with the smaller first case. ``variant`` is an array of all its activities, which one row
+    has to hold; a caller that does not want long ones gives ``max_shown``, above which it is null (the label stays),
+    and reads them row by row with ``variant_steps``.
     """
     events = usable(log)
     load = load or measure_cases(events)
@@ -51,33 +53,33 @@ def variants(log: DataFrame, k: int | None = 10, load: CaseLoad | None = None) -
         counts = counts.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     else:
         counts = counts.withColumn("rank", F.lit(None).cast("int"))
-    normal, _ = split_hot(events, load)
-    chosen = counts.where(F.col("length") <= MAX_SHOWN).select(F.col("first_case").alias("_c"))
-    chosen = F.broadcast(chosen) if k is not None and k <= 1000 else chosen
+    shown = counts if max_shown is None else counts.where(F.col("length") <= max_shown)
+    few = k is not None and k <= 1000
     at = mining_order(log)
-    steps = normal.join(chosen, F.col(CASE) == F.col("_c"), "left_semi").groupBy(CASE).agg(
+    steps = _of_cases(events, shown, few).groupBy(CASE).agg(
         F.array_sort(F.collect_list(F.struct(*at, F.col(ACTIVITY).alias("_a")))).alias("_s")
     )
-    shown = steps.select(
-        F.col(CASE).alias("_c"), F.transform("_s", lambda s: s["_a"]).alias("variant")
-    )
-    heads = _heads(events, load, log)
+    shown = steps.select(F.col(CASE).alias("_c"), F.transform("_s", lambda s: s["_a"]).alias("variant"))
     out = counts.join(shown, F.col("first_case") == F.col("_c"), "left")
-    label = F.when(F.col("variant").isNotNull(), variant_label("variant"))
-    if heads is not None:
+    label = variant_label("variant")
+    if max_shown is not None:
+        heads = _heads(sequence(log, [], load), counts.where(F.col("length") > max_shown), few)
         out = out.join(heads, F.col("first_case") == F.col("_hc"), "left")
-        label = F.coalesce(label, F.concat(F.array_join("_head", " -> "), F.lit("...")))
+        head = F.concat(F.array_join("_head", " -> "), F.when(F.col("length") > 3, F.lit("...")).otherwise(""))
+        label = F.when(F.col("variant").isNotNull(), label).otherwise(head)
     return out.select("rank", "variant", label.alias("label"), "length", "n", "first_case")
 
 
-def _heads(events: DataFrame, load: CaseLoad, log: DataFrame) -> DataFrame | None:
-    """The first three activities of every hot case (there are fewer than HOT_SHARE of them)."""
-    _, hot = split_hot(events, load)
-    if hot is None:
-        return None
-    ranked = sequence(hot, [], load).where(F.col("_rank") <= 3)
+def _of_cases(events: DataFrame, chosen: DataFrame, few: bool) -> DataFrame:
+    cases = chosen.select(F.col("first_case").alias("_c"))
+    return events.join(F.broadcast(cases) if few else cases, F.col(CASE) == F.col("_c"), "left_semi")
+
+
+def _heads(ranked: DataFrame, chosen: DataFrame, few: bool) -> DataFrame:
+    """The first three activities of the chosen variants' first cases."""
+    first = _of_cases(ranked.where(F.col("_rank") <= 3), chosen, few)
     head = F.transform(F.array_sort(F.collect_list(F.struct("_rank", ACTIVITY))), lambda s: s[ACTIVITY])
-    return ranked.groupBy(F.col(CASE).alias("_hc")).agg(head.alias("_head"))
+    return first.groupBy(F.col(CASE).alias("_hc")).agg(head.alias("_head"))
 
 
 def variant_steps(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
@@ -90,7 +92,7 @@ def variant_steps(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
     normal, hot = split_hot(ranked, load)
     out = normal.join(counts, F.col(CASE) == F.col("first_case"))
     if hot is not None:
-        few = counts.where(F.col("first_case").isin(list(load.hot)))
+        few = counts.join(load.hot.select(F.col(load.hot.columns[0]).alias("first_case")), "first_case", "left_semi")
         out = out.unionByName(hot.join(F.broadcast(few), F.col(CASE) == F.col("first_case")))
     return out.select("first_case", "position", ACTIVITY, "length", "n")
 

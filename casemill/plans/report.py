@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, MANDATORY, METRICS
 from casemill.operators.enrich import coverage
-from casemill.operators.ordering import MAX_ACTIVITIES
 from casemill.operators.quality import quality_gates
 from casemill.sources.config import EventLogConfig
 
@@ -17,12 +16,11 @@ from casemill.sources.config import EventLogConfig
 def report(spark: SparkSession, cfg: EventLogConfig, log: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """(position, item, value): process, output, counts, columns, coverage, gates and the tables used or left out.
 
-    Activities are listed by name up to MAX_ACTIVITIES of them.
+    All activities are listed by name.
     """
     per_case = log.groupBy(CASE).agg(F.count(F.lit(1)).alias("n"))
-    names = log.select(ACTIVITY).where(F.col(ACTIVITY).isNotNull()).distinct().limit(MAX_ACTIVITIES + 1)
+    names = log.select(ACTIVITY).where(F.col(ACTIVITY).isNotNull()).distinct()
     listed = F.array_join(F.array_sort(F.collect_list(ACTIVITY)), ", ")
-    listed = F.when(F.count(F.lit(1)) > MAX_ACTIVITIES, f"more than {MAX_ACTIVITIES}").otherwise(listed)
     enriched = [e.prefix + c for e in cfg.enrichment for c in e.columns]
     extra = [c for c in log.columns if c not in (*MANDATORY, *METRICS, *enriched, "source_seq", "event_id")]
     used = [s.table for s in cfg.sources] + [e.table for e in cfg.enrichment]

@@ -67,7 +67,12 @@ def _attribute_type(df: DataFrame, source: SourceSpec, name: str) -> str:
 
 
 def _row_id(df: DataFrame, source: SourceSpec) -> list[Column]:
-    return [column(df, k) for k in source.key] or [F.xxhash64(*df.columns)]
+    """What names a row: its key, or else 128 bits of hashes of all its columns (rows that are equal share them)."""
+    if source.key:
+        return [column(df, k) for k in source.key]
+    fields = [(f"`{f.name}`", "map" in f.dataType.simpleString()) for f in df.schema.fields]
+    values = [F.col(name).cast("string") if is_map else F.col(name) for name, is_map in fields]
+    return [F.xxhash64(*values), F.xxhash64(F.lit(1), *values)]
 
 
 def extract_source(df: DataFrame, source: SourceSpec, keep_null_ts: bool = False) -> DataFrame:

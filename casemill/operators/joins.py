@@ -7,44 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.operators.ordering import HOT_SHARE, MAX_TASK_EVENTS, all_of
+from casemill.operators.ordering import MAX_TASK_EVENTS, all_of
+from casemill.session import cut_lineage
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Count rows and bytes of a side before it is sent to every executor: one aggregation, nothing is shuffled."""
+    """Count rows and bytes of a side before it is sent to every executor: one aggregation, nothing is shuffled.
+
+    Arrays, maps and structs count as many bytes as their text has.
+    """
     width = F.lit(0)
     for field in df.schema.fields:
-        wide = field.dataType.typeName() in ("string", "binary")
-        width = width + (F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0)) if wide else F.lit(8))
+        kind, value = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("array", "map", "struct", "variant"):
+            value = value.cast("string")
+        wide = kind in ("string", "binary", "array", "map", "struct", "variant")
+        width = width + (F.coalesce(F.octet_length(value), F.lit(0)) if wide else F.lit(8))
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> tuple[list[tuple], int]:
-    """Key values (nulls included) with more rows than one task should hold, and into how many parts the
-    largest of them should go.
-
-    A hot key exceeds 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE of them and as many parts.
-    """
-    total = df.count()
-    if total <= max_task_rows:
-        return [], 1
-    limit = max(max_task_rows, total // HOT_SHARE)
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit).collect()
-    parts = max((-(-row["_rows"] // limit) for row in rows), default=1)
-    return [tuple(row[k] for k in keys) for row in rows], parts
-
-
-def _is_hot(columns: Sequence[Column], hot: Sequence[tuple]) -> Column:
-    if len(columns) == 1:
-        values = [h[0] for h in hot if h[0] is not None]
-        return columns[0].isNull() | (columns[0].isin(values) if values else F.lit(False))
-    texts = ["\x1f".join("~" if v is None else str(v) for v in h) for h in hot]
-    text = F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("~")) for c in columns])
-    return text.isin(texts)
+def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> DataFrame | None:
+    """(_h0, _h1, ..., _parts): keys (nulls included) with more rows than one task should hold, and into how many
+    parts they should go, as a written table; None if there are none. ``df`` is read once."""
+    counts = df.groupBy(*[F.col(f"`{k}`").alias(f"_h{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > max_task_rows)
+    hot = cut_lineage(hot.withColumn("_parts", F.ceil(F.col("_n") / max_task_rows).cast("int")).drop("_n"))
+    return None if hot.isEmpty() else hot
 
 
 def balanced_join(
@@ -57,8 +49,9 @@ def balanced_join(
 ) -> DataFrame:
     """Join ``left`` and ``right`` on equal keys; the right key columns are dropped.
 
-    A right side of checked size is broadcast. Otherwise the join shuffles, and left rows of hot keys are
-    salted over several partitions, with the right rows of those keys repeated per salt.
+    Runs a job at call time to measure the sides. A right side of checked size is broadcast. Otherwise the join
+    shuffles, and left rows of hot keys are spread over several partitions, with the right rows of those keys repeated
+    for each. Where a hot row goes is drawn once and written down, so equal rows part and a lost executor changes nothing.
     """
     renamed = right.select(
         *[F.col(f"`{r}`").alias(f"_k{i}") for i, (_, r) in enumerate(on)],
@@ -68,14 +61,16 @@ def balanced_join(
     drop = [f"_k{i}" for i in range(len(on))]
     if fits_broadcast(renamed, max_rows):
         return left.join(F.broadcast(renamed), all_of(match), how).drop(*drop)
-    hot, salts = hot_keys(left, [l for l, _ in on], max_task_rows)
-    if not hot:
+    hot = hot_keys(left, [l for l, _ in on], max_task_rows)
+    if hot is None:
         return left.join(renamed, all_of(match), how).drop(*drop)
-    left_hot = _is_hot([F.col(f"`{l}`") for l, _ in on], hot)
-    right_hot = _is_hot([F.col(f"_k{i}") for i in range(len(on))], hot)
-    left = left.withColumn(
-        "_salt", F.when(left_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    last = F.when(right_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    renamed = renamed.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    return left.join(renamed, all_of([*match, F.col("_salt") == F.col("_part")]), how).drop(*drop, "_salt", "_part")
+    names = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
+    is_hot = all_of([F.col(f"`{l}`").eqNullSafe(F.col(f"_h{i}")) for i, (l, _) in enumerate(on)])
+    cold = left.join(names, is_hot, "left_anti").join(renamed, all_of(match), how).drop(*drop)
+    own = [f"_h{i}" for i in range(len(on))]
+    spread = left.join(names, is_hot).withColumn("_salt", F.floor(F.rand() * F.col("_parts")).cast("int"))
+    spread = cut_lineage(spread.drop(*own, "_parts"))
+    theirs = all_of([F.col(f"_k{i}").eqNullSafe(F.col(f"_h{i}")) for i in range(len(on))])
+    repeated = renamed.join(names, theirs).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    joined = spread.join(repeated.drop(*own, "_parts"), all_of([*match, F.col("_salt") == F.col("_part")]), how)
+    return cold.unionByName(joined.drop(*drop, "_salt", "_part"))

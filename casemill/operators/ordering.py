@@ -20,7 +20,7 @@ from casemill.session import cut_lineage
 
 MAX_TASK_EVENTS = 5_000_000  # events of one case that a single task may hold
 MAX_ACTIVITIES = 1000  # up to here, a table of activity pairs is small enough to broadcast
-HOT_SHARE = 10_000  # a hot case exceeds 1/HOT_SHARE of the log, so there are fewer than HOT_SHARE of them
+BROADCAST_KEYS = 500_000  # up to so many hot cases, their names are broadcast
 
 
 @dataclass(frozen=True)
@@ -28,20 +28,17 @@ class CaseLoad:
     """How the events spread over the cases."""
 
     events: int
-    hot: tuple = ()
+    hot: DataFrame | None = None  # the cases with more events than one task should hold, one written row each
     max_task_events: int = MAX_TASK_EVENTS
     activities: int | None = None  # an upper bound or a close estimate, where known
+    hot_cases: int = 0
+    hot_events: int = 0
 
     @property
     def small(self) -> bool:
         """Is the whole log no larger than what one task may hold?"""
         return self.events <= self.max_task_events
 
-    @property
-    def limit(self) -> int:
-        """The largest part of a case one task gets: a task's worth, or 1/HOT_SHARE of a very large log."""
-        return max(self.max_task_events, self.events // HOT_SHARE)
-
     @property
     def small_alphabet(self) -> bool:
         """Are the activity pairs known to be a small table?"""
@@ -58,29 +55,30 @@ def measure_cases(
     """Count the log and, only when it exceeds one task, find its hot cases.
 
     ``at_most`` and ``activities`` are upper bounds the caller already knows (for example from file footers
-    and the configuration). The hot cases come to the driver: each one exceeds 1/HOT_SHARE of the log, which
-    bounds their number.
+    and the configuration). The names of the hot cases are written as a table and stay there.
     """
     if at_most is not None and at_most <= max_task_events:
-        return CaseLoad(at_most, (), max_task_events, activities)
+        return CaseLoad(at_most, None, max_task_events, activities)
     counted = activities is None and ACTIVITY in df.columns
     names = F.approx_count_distinct(ACTIVITY) if counted else F.lit(None)
     total, estimate = df.agg(F.count(F.lit(1)), names).first()
     activities = activities if estimate is None else estimate
-    load = CaseLoad(total, (), max_task_events, activities)
+    load = CaseLoad(total, None, max_task_events, activities)
     if load.small:
         return load
-    per_case = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = per_case.where(F.col("_n") > load.limit).collect()
-    return replace(load, hot=tuple(row[key] for row in hot))
+    per_case = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = cut_lineage(per_case.where(F.col("_n") > max_task_events))
+    many, events = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    return replace(load, hot=hot.select("_hot"), hot_cases=many, hot_events=events) if many else load
 
 
 def split_hot(df: DataFrame, load: CaseLoad, key: str = CASE) -> tuple[DataFrame, DataFrame | None]:
     """(events of ordinary cases, events of hot cases or None)."""
-    if not load.hot:
+    if load.hot is None:
         return df, None
-    is_hot = F.col(key).isin(list(load.hot))
-    return df.where(~is_hot | F.col(key).isNull()), df.where(is_hot)
+    names = F.broadcast(load.hot) if load.hot_cases <= BROADCAST_KEYS else load.hot
+    same = F.col(key) == F.col("_hot")
+    return df.join(names, same, "left_anti"), df.join(names, same, "left_semi")
 
 
 def neighbours(
@@ -110,21 +108,27 @@ def neighbours(
     return out if hot is None else out.unionByName(_sliced_neighbours(hot, key, order, carry, load))
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """The columns that can be hashed: all but maps and what holds maps."""
+    return [f"`{f.name}`" for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+
+
 def _slices(hot: DataFrame, key: Sequence[str], order: Sequence[str], load: CaseLoad) -> tuple[DataFrame, list[str]]:
     """Events of hot cases in slices of their full order, and that order.
 
     The slice numbers are written down before they are used, so that a lost executor cannot change them.
     """
-    count = max(2, 2 * -(-load.events // load.limit))  # at most 2 * HOT_SHARE
+    count = max(2, 2 * -(-load.hot_events // load.max_task_events))
     full_order = [*order, "_tie"]
-    events = hot.withColumn("_tie", F.xxhash64(*hot.columns)).repartitionByRange(count, *key, *full_order)
+    events = hot.withColumn("_tie", F.xxhash64(*_hashable(hot))).repartitionByRange(count, *key, *full_order)
     return cut_lineage(events.withColumn("_slice", F.spark_partition_id())), full_order
 
 
-def _with_slice_table(events: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
+def _with_slice_table(events: DataFrame, table: DataFrame, key: Sequence[str], load: CaseLoad) -> DataFrame:
     # One row per slice and key: at most the slices plus the hot keys. With a compound key their number can
-    # follow the data, so only the plain case key is broadcast.
-    return events.join(F.broadcast(table) if len(key) == 1 else table, [*key, "_slice"])
+    # follow the data, so only the plain case key is broadcast, and only while there are few.
+    few = len(key) == 1 and 3 * load.hot_events // load.max_task_events + load.hot_cases <= BROADCAST_KEYS
+    return events.join(F.broadcast(table) if few else table, [*key, "_slice"])
 
 
 def _sliced_neighbours(
@@ -155,7 +159,7 @@ def _sliced_neighbours(
         }
     )
     first, last = F.col("_here") == 1, F.col("_last_here")
-    return _with_slice_table(inner, ends, key).select(
+    return _with_slice_table(inner, ends, key, load).select(
         *hot.columns,
         (F.col("_here") + F.col("_before")).alias("_rank"),
         "_size",
@@ -186,7 +190,7 @@ def running(
     totals = totals.select(*key, "_slice", *[fold(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in values])
     here = Window.partitionBy(*key, "_slice").orderBy(*full_order).rowsBetween(Window.unboundedPreceding, 0)
     inner = events.withColumns({n: fold(v).over(here) for n, v in values.items()})
-    joined = _with_slice_table(inner, totals, key)
+    joined = _with_slice_table(inner, totals, key, load)
     return out.unionByName(joined.select(*hot.columns, *[join(F.col(f"_b_{n}"), F.col(n)).alias(n) for n in values]))
 
 
@@ -200,15 +204,15 @@ def over_case(df: DataFrame, values: Mapping[str, Column], load: CaseLoad, key:
     """Add per-case aggregates to every event.
 
     Ordinary cases use a window, in which rows without a case are spread by their content. Hot cases are
-    aggregated with map-side partials and come back as a broadcast table of at most HOT_SHARE rows.
+    aggregated with map-side partials and come back as a table of one row each.
     """
     normal, hot = split_hot(df, load, key)
-    w = Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*df.columns)))
+    w = Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*_hashable(df))))
     out = normal.withColumns({name: agg.over(w) for name, agg in values.items()})
     if hot is None:
         return out
     totals = hot.groupBy(key).agg(*[agg.alias(name) for name, agg in values.items()])
-    return out.unionByName(hot.join(F.broadcast(totals), key))
+    return out.unionByName(hot.join(F.broadcast(totals) if load.hot_cases <= BROADCAST_KEYS else totals, key))
 
 
 def all_of(conditions: Sequence[Column]) -> Column:

@@ -34,8 +34,9 @@ PLAIN = CaseLoad(900, activities=4)
 
 
 def test_measure_finds_the_hot_case(log, hot):
-    assert hot.hot == ("hot",) and hot.events == 900 and not hot.small
-    assert measure_cases(log).hot == ()
+    assert [r[0] for r in hot.hot.collect()] == ["hot"] and hot.events == 900 and not hot.small
+    assert hot.hot_cases == 1 and hot.hot_events == log.where("case_id = 'hot'").count()
+    assert measure_cases(log).hot is None
     assert measure_cases(log, at_most=10).events == 10
 
 
@@ -97,7 +98,11 @@ def test_variant_of_a_hot_case_has_label_and_steps(log, hot):
     found = {r["first_case"]: r for r in variants.variants(log, None, hot).collect()}
     plain = {r["first_case"]: r for r in variants.variants(log, None, PLAIN).collect()}
     assert found.keys() == plain.keys()
-    assert found["hot"]["variant"] is None and found["hot"]["label"] == plain["hot"]["label"]
+    assert found["hot"]["variant"] == plain["hot"]["variant"] and found["hot"]["label"] == plain["hot"]["label"]
+    short = {r["first_case"]: r for r in variants.variants(log, None, PLAIN, max_shown=2).collect()}
+    for case, r in plain.items():
+        assert short[case]["label"] == r["label"] and short[case]["length"] == r["length"]
+        assert short[case]["variant"] == (r["variant"] if r["length"] <= 2 else None)
     assert all(found[c]["variant"] == plain[c]["variant"] for c in found if c != "hot")
 
 
@@ -151,10 +156,35 @@ def test_salted_join_equals_plain_join(spark, how, keys):
     salted = balanced_join(left, right.select(*names, "v"), [(n, n) for n in names], how, max_rows=1, max_task_rows=50)
     plain = left.join(right.select(*names, "v"), names, how).select(*small.columns)
     assert rows(small) == rows(plain) == rows(salted.select(*small.columns))
-    hot, parts = hot_keys(left, names, 50)
-    assert hot and parts > 1
+    assert all(r["_parts"] > 1 for r in hot_keys(left, names, 50).collect())
+    assert hot_keys(left, names, 500) is None
 
 
 def test_broadcast_check_counts_rows_and_bytes(spark):
     wide = spark.createDataFrame([("x" * 1000,)] * 50, "t string")
     assert fits_broadcast(wide) and not fits_broadcast(wide, max_rows=10) and not fits_broadcast(wide, max_bytes=1000)
+
+
+def test_broadcast_check_counts_arrays_and_maps(spark):
+    wide = spark.range(1000).select(F.array_repeat(F.col("id").cast("double") + 0.25, 100).alias("a"))
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=200_000)
+    maps = spark.range(1000).select(F.create_map(F.col("id"), F.array_repeat(F.lit("x"), 100)).alias("m"))
+    assert not fits_broadcast(maps, max_bytes=100_000)
+
+
+def test_equal_rows_of_a_hot_key_part(spark):
+    left = spark.createDataFrame([(True, "k")] * 1000 + [(False, "k")], "f boolean, k string")
+    right = spark.createDataFrame([(True, "k", 1), (False, "k", 2)], "f boolean, k string, v int")
+    out = balanced_join(left, right, [("f", "f"), ("k", "k")], max_rows=1, max_task_rows=50)
+    assert sorted((r["f"], r["v"]) for r in out.groupBy("f", "v").count().collect()) == [(False, 2), (True, 1)]
+    assert out.count() == 1001
+    assert [r["_parts"] for r in hot_keys(left, ["f", "k"], 50).collect()] == [20]
+
+
+def test_columns_that_cannot_be_hashed(log, hot):
+    """Hot cases are sliced also when the log has a map column."""
+    mapped = log.withColumn("m", F.create_map(F.lit("a"), F.col("event_id")))
+    order = ["event_timestamp", "event_id"]
+    a = neighbours(mapped, ["case_id"], order, ["activity"], PLAIN)
+    b = neighbours(mapped, ["case_id"], order, ["activity"], hot).select(*a.columns)
+    assert rows(a) == rows(b)

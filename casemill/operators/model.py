@@ -21,7 +21,7 @@ from casemill.operators.ordering import CaseLoad, measure_cases, neighbours, run
 from casemill.operators.variants import variant_steps
 from casemill.session import cut_lineage
 
-MAX_MODEL_ACTIVITIES = 200
+MAX_MODEL_ACTIVITIES = 2_000  # default of ``max_activities``: their squared number of counts comes to the driver
 _START, _END = "\x02start", "\x03end"
 _TRACE = ["trace", "node", "seg"]
 
@@ -49,6 +49,42 @@ class ProcessTree:
 SILENT = ProcessTree("silent")
 
 
+def allowed_pairs(tree: ProcessTree) -> set[tuple[str, str]]:
+    """The pairs of activities that directly follow each other in some trace of the model."""
+    return _footprint(tree)[3]
+
+
+def _footprint(tree: ProcessTree) -> tuple[bool, set, set, set]:
+    """(can be empty, first activities, last activities, pairs)."""
+    if tree.kind == "leaf":
+        return False, {tree.label}, {tree.label}, set()
+    if tree.kind == "silent":
+        return True, set(), set(), set()
+    parts = [_footprint(c) for c in tree.children]
+    pairs = set().union(*[p[3] for p in parts])
+    if tree.kind == "exclusive":
+        return any(p[0] for p in parts), set().union(*[p[1] for p in parts]), set().union(*[p[2] for p in parts]), pairs
+    if tree.kind == "parallel":
+        labels = [c.labels() for c in tree.children]
+        for i, mine in enumerate(labels):
+            for theirs in labels[:i]:
+                pairs |= {(a, b) for a in mine for b in theirs} | {(b, a) for a in mine for b in theirs}
+        return all(p[0] for p in parts), set().union(*[p[1] for p in parts]), set().union(*[p[2] for p in parts]), pairs
+    if tree.kind == "loop":
+        (empty, first, last, _), redo = parts
+        pairs |= {(a, b) for a in last for b in redo[1]} | {(a, b) for a in redo[2] for b in first}
+        pairs |= {(a, b) for a in last for b in first} if redo[0] else set()
+        pairs |= {(a, b) for a in redo[2] for b in redo[1]} if empty else set()
+        return empty, first | (redo[1] if empty else set()), last | (redo[2] if empty else set()), pairs
+    empty, first, last = True, set(), set()
+    for e, f, end, _ in parts:  # sequence
+        pairs |= {(a, b) for a in last for b in f}
+        first |= f if empty else set()
+        last = end | (last if e else set())
+        empty = empty and e
+    return empty, first, last, pairs
+
+
 def leaf(label: str) -> ProcessTree:
     return ProcessTree("leaf", label)
 
@@ -204,13 +240,12 @@ def discover_model(
 ) -> ProcessTree:
     """A block-structured model of the log; behaviour rarer than ``noise`` does not stop a cut.
 
-    Runs one small Spark job per level of the model. Raises when the log has more activities than a model
-    can usefully show. ``steps`` is the result of ``variant_steps`` where the caller already has it.
+    Runs one small Spark job per level of the model, at call time. The counts of activity pairs come to the driver, so
+    it raises when the log has more than ``max_activities`` activities, by exact count. ``steps`` is the result of ``variant_steps`` where the caller already has it.
     """
     events = usable(log)
     load = load or measure_cases(events)
-    if load.activities is None or load.activities > max_activities:
-        alphabet(events, max_activities)
+    alphabet(events, max_activities)
     steps = variant_steps(log, load) if steps is None else steps
     state = steps.select(
         F.lit(0).alias("node"),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casemill.operators import cases, conformance, dfg, variants
-from casemill.operators.model import SILENT, ProcessTree, block, discover_model, leaf
+from casemill.operators.model import SILENT, ProcessTree, allowed_pairs, block, discover_model, leaf
+from casemill.operators.ordering import measure_cases
 from casemill.operators.replay import fitness, replay
 from casemill.session import cut_lineage
 
-from checks.logs import DAYS_SQL, LOG_SQL, PAIRS_SQL, RAW_SQL, clicks_by_day, o2c
+from checks.logs import CLICKS_SQL, DAYS_SQL, LOG_SQL, PAIRS_SQL, RAW_SQL, clicks, clicks_by_day, o2c
 from checks.registry import check
 
 _EDGES_SQL = f"{PAIRS_SQL}, edges AS (SELECT src, tgt, count(*) AS freq FROM pairs WHERE tgt IS NOT NULL GROUP BY 1, 2)"
@@ -229,6 +230,17 @@ def fits_own_log(spark, sf):
     return cases_.agg(F.count(F.lit(1)).alias("cases"), F.count_if("fits").alias("fitting"))
 
 
+@check("h15_model_allows_its_log", f"WITH {_EDGES_SQL} SELECT src, tgt, freq, TRUE AS allowed FROM edges")
+def allows_own_log(spark, sf):
+    """Without noise removal the discovered model allows every pair of the directly-follows graph."""
+    log, load = o2c(spark, sf)
+    pairs = [(a, b, True) for a, b in sorted(allowed_pairs(discover_model(log, 0.0, load)))]
+    allowed = spark.createDataFrame(pairs, "src string, tgt string, allowed boolean")
+    return dfg.dfg(log, load).join(F.broadcast(allowed), ["src", "tgt"], "left").select(
+        "src", "tgt", "freq", F.coalesce("allowed", F.lit(False)).alias("allowed")
+    )
+
+
 _ORDER, _SHIP, _RETURN = leaf("Create Order"), leaf("Ship Item"), leaf("Return Item")
 _IN_ANY_ORDER = ProcessTree(
     "parallel",
@@ -278,6 +290,99 @@ def order_first_fitness(spark, sf):
     return fitness(log, _ORDER_FIRST, load=load).select("cases", F.round("pct_fitting", 4).alias("pct_fitting"))
 
 
+_ORDER_SHIP = block("sequence", [_ORDER, _SHIP])
+# Replay on the net source -Create Order-> middle -Ship Item-> sink, one event at a time; the places are the bits 1, 4, 2.
+_TOKENS_SQL = f"""RECURSIVE {RAW_SQL}, ev AS (SELECT case_id, activity, count(*) OVER (PARTITION BY case_id) AS len,
+  row_number() OVER (PARTITION BY case_id ORDER BY event_timestamp, source_seq, event_id) AS i FROM raw),
+arcs AS (SELECT * FROM (VALUES ('Create Order', 1, 4), ('Ship Item', 4, 2)) AS v(activity, takes, gives)),
+r AS (SELECT DISTINCT case_id, CAST(0 AS BIGINT) AS i, 1 AS marking, 0 AS p, 0 AS c, 0 AS m, 0 AS q FROM raw
+  UNION ALL
+  SELECT r.case_id, ev.i, CASE WHEN takes IS NULL THEN marking ELSE (marking & ~takes) | gives END, p + 1, c + 1,
+    m + CASE WHEN takes IS NULL OR (marking & takes) = 0 THEN 1 ELSE 0 END,
+    q + CASE WHEN takes IS NULL OR ((marking & ~takes) & gives) <> 0 THEN 1 ELSE 0 END
+  FROM r JOIN ev ON ev.case_id = r.case_id AND ev.i = r.i + 1 LEFT JOIN arcs ON arcs.activity = ev.activity),
+counts AS (SELECT r.case_id, CAST(p + 1 AS BIGINT) AS produced, CAST(c + 1 AS BIGINT) AS consumed,
+  CAST(m + CASE WHEN (marking & 2) = 0 THEN 1 ELSE 0 END AS BIGINT) AS missing,
+  CAST(q + bit_count(marking & ~2) AS BIGINT) AS remaining
+  FROM r JOIN (SELECT DISTINCT case_id, len FROM ev) AS l ON l.case_id = r.case_id AND l.len = r.i),
+judged AS (SELECT *, 1 - (missing / consumed + remaining / produced) / 2 AS fitness, missing = 0 AND remaining = 0 AS fits
+  FROM counts)"""
+
+
+@check(
+    "h16_token_counts",
+    f"""WITH {_TOKENS_SQL} SELECT case_id, produced, consumed, missing, remaining, round(fitness, 6) AS fitness, fits FROM judged""",
+)
+def token_counts(spark, sf):
+    log, load = o2c(spark, sf)
+    return replay(log, _ORDER_SHIP, load).withColumn("fitness", F.round("fitness", 6))
+
+
+@check(
+    "h17_token_fitness",
+    f"""WITH {_TOKENS_SQL} SELECT count(*) AS cases, round(avg(fitness), 6) AS average_trace_fitness,
+  round(count(*) FILTER (fits) * 100.0 / count(*), 4) AS pct_fitting,
+  CASE WHEN avg(fitness) > 0.8 THEN 'good' ELSE 'warning' END AS status FROM judged""",
+)
+def token_fitness(spark, sf):
+    log, load = o2c(spark, sf)
+    out = fitness(log, _ORDER_SHIP, load=load)
+    return out.withColumns({c: F.round(c, d) for c, d in (("average_trace_fitness", 6), ("pct_fitting", 4))})
+
+
+def _sliced_clicks(spark, sf):
+    """The clicks with so small a bound for a task that long cases are sliced."""
+    log, _ = clicks(spark, sf)
+    return log, measure_cases(log, max_task_events=75)
+
+
+_CLICK_PAIRS_SQL = f"""{CLICKS_SQL}, pairs AS (SELECT case_id, activity AS src, lead(activity) OVER w AS tgt,
+  epoch_us(lead(event_timestamp) OVER w) - epoch_us(event_timestamp) AS us
+  FROM clicks WINDOW w AS (PARTITION BY case_id ORDER BY event_timestamp, event_id))"""
+
+
+@check(
+    "h01_dfg_sliced",
+    f"WITH {_CLICK_PAIRS_SQL} SELECT src, tgt, count(*) AS freq FROM pairs WHERE tgt IS NOT NULL GROUP BY 1, 2",
+)
+def sliced_graph(spark, sf):
+    return dfg.dfg(*_sliced_clicks(spark, sf))
+
+
+@check(
+    "h11_variants_sliced",
+    f"""WITH {CLICKS_SQL}, {_variants_sql('clicks', _DAY_ORDER)} SELECT variant, label, length, n, first_case FROM variants""",
+)
+def sliced_variants(spark, sf):
+    log, load = _sliced_clicks(spark, sf)
+    out = variants.variants(log, None, load)
+    return out.select(F.array_join("variant", ",").alias("variant"), "label", "length", "n", "first_case")
+
+
+@check(
+    "h13_performance_sliced",
+    f"""WITH {_CLICK_PAIRS_SQL} SELECT src, tgt, count(*) AS n, round(avg(us) / 1e6, 3) AS mean_seconds,
+  round(min(us) / 1e6, 3) AS min_seconds, round(max(us) / 1e6, 3) AS max_seconds, round(sum(us) / 1e6, 3) AS sum_seconds,
+  round(quantile_cont(us, 0.5) / 1e6, 3) AS median_seconds FROM pairs WHERE tgt IS NOT NULL GROUP BY 1, 2""",
+)
+def sliced_performance(spark, sf):
+    out = dfg.performance_dfg(*_sliced_clicks(spark, sf))
+    return out.withColumns({c: F.round(c, 3) for c in out.columns if c.endswith("_seconds")})
+
+
+@check(
+    "h16_replay_sliced",
+    f"""WITH {CLICKS_SQL}, firsts AS (SELECT case_id, arg_min(activity, (event_timestamp, event_id)) AS first,
+  count(*) AS n FROM clicks GROUP BY 1)
+SELECT case_id, first = (SELECT min(activity) FROM clicks) AND n = 1 AS fits FROM firsts""",
+)
+def sliced_replay(spark, sf):
+    """On a model of one step, the first activity by name."""
+    log, load = _sliced_clicks(spark, sf)
+    first = log.agg(F.min("activity")).first()[0]
+    return replay(log, leaf(first), load).select("case_id", "fits")
+
+
 _KEPT_SQL = f"""{_EDGES_SQL}, kept AS (SELECT src, tgt FROM (SELECT *, max(freq) OVER (PARTITION BY src) AS m FROM edges) WHERE freq >= 0.2 * m),
 marked AS (SELECT p.*, p.tgt IS NOT NULL AND k.src IS NULL AS bad FROM pairs p LEFT JOIN kept k USING (src, tgt))"""
 

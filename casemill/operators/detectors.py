@@ -49,15 +49,24 @@ def rows_missing_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(F.greatest(*[F.col(f"`{c}`").isNull().cast("int") for c in [*columns, columns[0]]]) == 1)
 
 
-def key_variants(df: DataFrame, key: str) -> DataFrame:
-    """(normalised, spellings, rows): keys written in several ways, or not in their normal form."""
+def key_variants(df: DataFrame, key: str, reference: DataFrame | None = None, ref_key: str | None = None) -> DataFrame:
+    """(normalised, spellings, rows): keys written in several ways, or with outer blanks.
+
+    With a ``reference``, also keys that it has only in another spelling.
+    """
     spelled = df.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").cast("string").alias("_raw"))
-    spelled = spelled.agg(F.count(F.lit(1)).alias("_n"))
-    grouped = spelled.groupBy(normalise_key("_raw").alias("normalised")).agg(
-        F.count(F.lit(1)).alias("spellings"),
-        F.sum("_n").alias("rows"),
+    spelled = spelled.agg(F.count(F.lit(1)).alias("_n")).withColumn("_odd", F.col("_raw") != F.trim("_raw"))
+    spelled = spelled.withColumn("_norm", normalise_key("_raw"))
+    if reference is not None:
+        listed = reference.select(F.col(f"`{ref_key or key}`").cast("string").alias("_listed")).dropna().distinct()
+        norms = listed.select(normalise_key("_listed").alias("_known")).distinct()
+        spelled = balanced_join(spelled, listed.withColumn("_same", F.lit(True)), [("_raw", "_listed")])
+        spelled = balanced_join(spelled, norms.withColumn("_there", F.lit(True)), [("_norm", "_known")])
+        spelled = spelled.withColumn("_odd", F.col("_odd") | (F.col("_there").isNotNull() & F.col("_same").isNull()))
+    grouped = spelled.groupBy(F.col("_norm").alias("normalised")).agg(
+        F.count(F.lit(1)).alias("spellings"), F.sum("_n").alias("rows"), F.bool_or("_odd").alias("_odd")
     )
-    return grouped.where(F.col("spellings") > 1)
+    return grouped.where((F.col("spellings") > 1) | F.col("_odd")).drop("_odd")
 
 
 def out_of_order(

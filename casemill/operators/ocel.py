@@ -174,10 +174,14 @@ def load_ocel(spark: SparkSession, events_table: str) -> Ocel:
     missing = [t for t in (events_table, objects, links) if not spark.catalog.tableExists(t)]
     if missing:
         raise ValueError(f"missing tables: {', '.join(missing)}")
-    return Ocel(spark.table(events_table), spark.table(objects), spark.table(links))
+    e2o = spark.table(links)
+    first = [c for c in ("event_id", "object_id", "object_type") if c in e2o.columns]
+    return Ocel(spark.table(events_table), spark.table(objects), e2o.select(*first, *[c for c in e2o.columns if c not in first]))
 
 
 def save_ocel(ocel: Ocel, base: str) -> None:
-    """Write the three tables under ``base`` plus their suffixes."""
-    for df, suffix in ((ocel.events, EVENTS_SUFFIX), (ocel.objects, OBJECTS_SUFFIX), (ocel.e2o, LINKS_SUFFIX)):
+    """Write the three tables under ``base`` plus their suffixes, links in a folder per object type."""
+    for df, suffix in ((ocel.events, EVENTS_SUFFIX), (ocel.objects, OBJECTS_SUFFIX)):
         df.write.mode("overwrite").format("parquet").saveAsTable(base + suffix)
+    links = ocel.e2o.write.mode("overwrite").format("parquet").partitionBy("object_type")
+    links.saveAsTable(base + LINKS_SUFFIX)

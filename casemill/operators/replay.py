@@ -21,7 +21,7 @@ from casemill.functions.net import Net, Replayer, net_of
 from casemill.operators.joins import balanced_join
 from casemill.operators.model import ProcessTree, discover_model
 from casemill.operators.ordering import CaseLoad, measure_cases
-from casemill.operators.variants import case_variants, variant_steps
+from casemill.operators.variants import case_signatures, case_variants, variant_steps
 from casemill.session import cut_lineage
 
 # The replay code travels with the task, so workers need no copy of this package.
@@ -183,9 +183,10 @@ def replay(
     ``steps`` is the result of ``variant_steps`` where the caller already has it.
     """
     load = load or measure_cases(usable(log))
-    steps = variant_steps(log, load) if steps is None else steps
+    signatures = cut_lineage(case_signatures(log, load))
+    steps = variant_steps(log, load, signatures) if steps is None else steps
     results = cut_lineage(with_fitness(replay_variants(steps, model, load.events)).drop("length", "n"))
-    joined = balanced_join(case_variants(log, load), results, [("first_case", "first_case")], "inner")
+    joined = balanced_join(case_variants(log, load, signatures), results, [("first_case", "first_case")], "inner")
     return joined.select(CASE, *COUNTS, "fitness", "fits")
 
 

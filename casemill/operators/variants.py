@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, mining_order, usable, variant_label
-from casemill.operators.joins import balanced_join
-from casemill.operators.ordering import CaseLoad, measure_cases, sequence, split_hot
+from casemill.operators.joins import balanced_join, fits_broadcast
+from casemill.operators.ordering import BROADCAST_KEYS, CaseLoad, measure_cases, sequence, split_hot
 from casemill.session import cut_lineage
 
 SIGNATURE = ("length", "h1", "h2")
@@ -82,26 +82,37 @@ def _heads(ranked: DataFrame, chosen: DataFrame, few: bool) -> DataFrame:
     return first.groupBy(F.col(CASE).alias("_hc")).agg(head.alias("_head"))
 
 
-def variant_steps(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
-    """(first_case, position, activity, length, n): all variants in long form, positions from 1."""
+def variant_steps(
+    log: DataFrame, load: CaseLoad | None = None, signatures: DataFrame | None = None
+) -> DataFrame:
+    """(first_case, position, activity, length, n): all variants in long form, positions from 1.
+
+    With the written result of ``case_signatures``, only the variants' first cases are ranked.
+    """
     events = usable(log)
     load = load or measure_cases(events)
-    ranked = sequence(log, [], load).select(CASE, F.col("_rank").alias("position"), ACTIVITY)
-    counts = _variant_counts(_signatures(ranked.withColumnRenamed("position", "_rank")))
+    if signatures is None:
+        ranked = sequence(log, [], load).select(CASE, F.col("_rank").alias("position"), ACTIVITY)
+        counts = _variant_counts(_signatures(ranked.withColumnRenamed("position", "_rank")))
+    else:
+        counts = cut_lineage(_variant_counts(signatures))
+        first = _of_cases(events, counts, fits_broadcast(counts.select("first_case")))
+        ranked = sequence(first, [], load).select(CASE, F.col("_rank").alias("position"), ACTIVITY)
     counts = counts.select("first_case", "length", "n")
     normal, hot = split_hot(ranked, load)
     out = normal.join(counts, F.col(CASE) == F.col("first_case"))
     if hot is not None:
-        few = counts.join(load.hot.select(F.col(load.hot.columns[0]).alias("first_case")), "first_case", "left_semi")
-        out = out.unionByName(hot.join(F.broadcast(few), F.col(CASE) == F.col("first_case")))
+        few = counts.join(load.hot.select(F.col("_hot").alias("first_case")), "first_case", "left_semi")
+        few = F.broadcast(few) if load.hot_cases <= BROADCAST_KEYS else few
+        out = out.unionByName(hot.join(few, F.col(CASE) == F.col("first_case")))
     return out.select("first_case", "position", ACTIVITY, "length", "n")
 
 
-def case_variants(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
+def case_variants(log: DataFrame, load: CaseLoad | None = None, signatures: DataFrame | None = None) -> DataFrame:
     """(case_id, first_case): which variant, named by its first case, every case follows.
 
     The table of variants is written down before it is joined, so that its size check costs no second pass.
     """
-    signatures = case_signatures(log, load)
+    signatures = case_signatures(log, load) if signatures is None else signatures
     counts = cut_lineage(_variant_counts(signatures).select(*SIGNATURE, "first_case"))
     return balanced_join(signatures, counts, [(s, s) for s in SIGNATURE], "inner").select(CASE, "first_case")

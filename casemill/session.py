@@ -26,19 +26,24 @@ def local_session(app: str = "casemill", cpus: int | str = "*", partitions: int
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share for written intermediate tables.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a scratch folder; a cluster without it is an error, since a machine-local folder dies with
-    its executor.
+    It is the one the session names in ``spark.checkpoint.dir``. Only a local session without that setting gets a
+    scratch folder; a cluster without it is an error, since a machine-local folder dies with its executor.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="casemill-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

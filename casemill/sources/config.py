@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 import yaml
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,7 +160,9 @@ def check_config(
     for source, df in sources:
         try:
             column_type = df.select(column(df, source.case_id)).schema[0].dataType.simpleString()
-            rows.append((1, source.table, True, f"{source.case_id}: {column_type}"))
+            others = [(s, d) for s, d in sources if s is not source]
+            useful = _groups_rows(df, source) or any(_share_a_case(df, source, d, s) for s, d in others)
+            rows.append((1, source.table, useful, f"{source.case_id}: {column_type}"))
         except Exception as error:  # an unreadable expression is the finding itself
             rows.append((1, source.table, False, str(error).splitlines()[0]))
             continue
@@ -201,6 +204,24 @@ def check_config(
     return spark.createDataFrame(rows, "rule int, source string, passed boolean, detail string")
 
 
+def _groups_rows(df: DataFrame, source: SourceSpec) -> bool:
+    """Can a case have several events of this source?"""
+    if len(source.events) > 1:
+        return True
+    keys = df.select(column(df, source.case_id).alias("_k")).where(F.col("_k").isNotNull())
+    return not keys.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty()
+
+
+def _share_a_case(df: DataFrame, source: SourceSpec, other: DataFrame, spec: SourceSpec) -> bool:
+    """Does a case of one source occur in the other?"""
+    try:
+        theirs = other.select(column(other, spec.case_id).cast("string").alias("_k"))
+    except AnalysisException:  # rule 1 of the other source says so
+        return False
+    mine = df.select(column(df, source.case_id).cast("string").alias("_k"))
+    return not mine.join(theirs, "_k", "left_semi").isEmpty()
+
+
 def is_readable_name(name: str) -> bool:
     """Is this activity name for people ("Create Purchase Order"), not a code ("PO_CREATED")?"""
     return bool(re.search(r"[A-Za-z]", name)) and "_" not in name and not re.fullmatch(r"[A-Z0-9.\-]{2,}", name)

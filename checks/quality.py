@@ -10,9 +10,13 @@ from casemill.operators.cases import largest_cases
 from casemill.operators.classify import classify_tables
 from casemill.operators.enrich import enrich
 from casemill.plans.report import report
+from casemill.plans.run import build_and_save, complete_log
+from casemill.session import cut_lineage
+from casemill.sources.config import EnrichmentSpec
 
-from checks.logs import LOG_SQL, O2C, RAW_SQL, SNAPSHOT_SQL, o2c, o2c_events, snapshot, table, tables
+from checks.logs import LOG_SQL, O2C, RAW_SQL, SNAPSHOT_SQL, clicks, o2c, o2c_events, snapshot, table, tables
 from checks.registry import check
+from checks.sources import scratch_schema
 
 
 @check(
@@ -132,7 +136,8 @@ def rows_missing(spark, sf):
     "f12_key_variants",
     """WITH t AS (SELECT CASE WHEN s_suppkey % 10 = 0 AND l_linenumber < 4 THEN lower(s_name) || ' ' ELSE s_name END AS k
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
-SELECT upper(trim(k)) AS normalised, count(DISTINCT k) AS spellings, count(*) AS "rows" FROM t GROUP BY 1 HAVING count(DISTINCT k) > 1""",
+SELECT upper(trim(k)) AS normalised, count(DISTINCT k) AS spellings, count(*) AS "rows" FROM t GROUP BY 1
+HAVING count(DISTINCT k) > 1 OR bool_or(k <> trim(k))""",
 )
 def spellings(spark, sf):
     lines = enrich(table(spark, sf, "lineitem"), table(spark, sf, "supplier"), {"l_suppkey": "s_suppkey"}, ["s_name"])
@@ -214,9 +219,7 @@ def after_approval(spark, sf):
     return dt.activity_after(o2c(spark, sf)[0], "Return Item", "Create Order")
 
 
-@check(
-    "f19_report",
-    f"""WITH {RAW_SQL} SELECT 2 AS position, 'events' AS item, CAST(count(*) AS VARCHAR) AS value FROM raw
+_REPORT_SQL = f"""WITH {RAW_SQL} SELECT 2 AS position, 'events' AS item, CAST(count(*) AS VARCHAR) AS value FROM raw
 UNION ALL SELECT 3, 'cases', CAST(count(DISTINCT case_id) AS VARCHAR) FROM raw
 UNION ALL SELECT 4, 'largest case', CAST(max(n) AS VARCHAR) FROM (SELECT count(*) AS n FROM raw GROUP BY case_id)
 UNION ALL SELECT 5, 'activities', string_agg(DISTINCT activity, ', ' ORDER BY activity) FROM raw
@@ -227,13 +230,42 @@ UNION ALL SELECT * FROM (VALUES (0, 'process', 'order_to_cash'), (1, 'output', '
   (11, 'gate: distinct_activities', 'passed'), (11, 'gate: events', 'passed'), (11, 'gate: events_per_case', 'passed'),
   (11, 'gate: null_activities', 'passed'), (11, 'gate: null_case_ids', 'passed'), (11, 'gate: null_timestamps', 'passed'),
   (12, 'tables used', 'orders, lineitem'),
-  (13, 'skipped: documents', 'not process data: no time column and no link to an event source')) v""",
-)
+  (13, 'skipped: documents', 'not process data: no time column and no link to an event source')) v"""
+
+
+@check("f19_report", _REPORT_SQL)
 def summary(spark, sf):
     classes = classify_tables(tables(spark, sf, "orders", "lineitem", "documents"))
     return report(spark, O2C, o2c(spark, sf)[0], classes)
 
 
+@check("p01_build_and_save", _REPORT_SQL)
+def built(spark, sf):
+    """From source tables to the report on the saved log."""
+    sources = tables(spark, sf, "orders", "lineitem")
+    classes = classify_tables(tables(spark, sf, "orders", "lineitem", "documents"))
+    with scratch_schema(spark) as schema:
+        return cut_lineage(build_and_save(spark, O2C, sources, f"{schema}.o2c_event_log", classes=classes))
+
+
+@check(
+    "p02_complete_log",
+    """SELECT user_id AS case_id, event_type AS activity, ts AS event_timestamp, event_id, c_mktsegment AS segment_c_mktsegment,
+  CAST(row_number() OVER w AS INTEGER) AS event_rank, date_diff('second', lag(ts) OVER w, ts) AS time_since_prev_seconds,
+  CAST(7 AS BIGINT) AS case_event_count
+FROM events LEFT JOIN customer ON c_custkey = user_id WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+)
+def completed(spark, sf):
+    """A log that already exists, with one of its metrics (which is left as it is)."""
+    log = clicks(spark, sf)[0].withColumn("case_event_count", F.lit(7).cast("long"))
+    log = log.withColumn("event_timestamp", F.col("event_timestamp").cast("string"))
+    spec = EnrichmentSpec("customer", "case_id", ("c_mktsegment",), "c_custkey", "segment_")
+    with scratch_schema(spark) as schema:
+        out = complete_log(spark, log, [spec], tables(spark, sf, "customer"), table=f"{schema}.clicks")
+        out = out.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+        return cut_lineage(out.drop("value"))
+
+
 @check(
     "f20_compare_logs",
     f"""WITH {RAW_SQL} SELECT 'full' AS build, count(*) AS events, count(DISTINCT case_id) AS cases,

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ from casemill.operators.profile import (
     profile_table,
     value_distribution,
 )
+from casemill.session import cut_lineage, shared_folder
 from casemill.sources.config import check_config, parse_config
 from casemill.sources.tables import describe_columns, discover_logs, list_tables, load_log, normalise_log, save_log
 
@@ -24,23 +25,23 @@ from checks.logs import LOG_SQL, OCEL_SQL, o2c, ocel, table, tables
 from checks.registry import check
 
 
-def _scratch_schema(spark) -> str:
-    """A new schema whose tables lie in the shared checkpoint folder."""
+@contextmanager
+def scratch_schema(spark):
+    """A schema whose tables lie in the shared folder, dropped with them when it has been read."""
     name = "casemill_" + uuid.uuid4().hex[:8]
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        spark.sql(f"CREATE SCHEMA {name}")
-    else:
-        spark.sql(f"CREATE SCHEMA {name} LOCATION '{os.path.join(folder, name)}'")
-    return name
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{shared_folder(spark)}/{name}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
 
 
 @check("a01_list_tables", "SELECT * FROM (VALUES ('nation'), ('o2c')) t(table_name)")
 def listed(spark, sf):
-    schema = _scratch_schema(spark)
-    save_log(o2c(spark, sf)[0], f"{schema}.o2c")
-    save_log(table(spark, sf, "nation"), f"{schema}.nation")
-    return list_tables(spark, schema)
+    with scratch_schema(spark) as schema:
+        save_log(o2c(spark, sf)[0], f"{schema}.o2c")
+        save_log(table(spark, sf, "nation"), f"{schema}.nation")
+        return list_tables(spark, schema)
 
 
 @check(
@@ -56,12 +57,12 @@ def described(spark, sf):
 
 @check("a02_discover_logs", "SELECT * FROM (VALUES ('o2c', 'traditional'), ('o2c_ocel_events', 'ocel')) t(table_name, kind)")
 def discover(spark, sf):
-    schema = _scratch_schema(spark)
     log, _ = o2c(spark, sf)
-    save_log(log, f"{schema}.o2c")
-    save_ocel(ocel(spark, sf), f"{schema}.o2c")
-    save_log(table(spark, sf, "nation"), f"{schema}.nation")
-    return discover_logs(spark, schema)
+    with scratch_schema(spark) as schema:
+        save_log(log, f"{schema}.o2c")
+        save_ocel(ocel(spark, sf), f"{schema}.o2c")
+        save_log(table(spark, sf, "nation"), f"{schema}.nation")
+        return discover_logs(spark, schema)
 
 
 @check(
@@ -89,9 +90,10 @@ def normalise(spark, sf):
     f"WITH {LOG_SQL} SELECT case_id, activity, event_timestamp, CAST(event_rank AS DOUBLE) AS event_rank, event_id FROM log",
 )
 def save_and_load(spark, sf):
-    schema = _scratch_schema(spark)
-    save_log(o2c(spark, sf)[0], f"{schema}.o2c")
-    return load_log(spark, f"{schema}.o2c").select("case_id", "activity", "event_timestamp", "event_rank", "event_id")
+    with scratch_schema(spark) as schema:
+        save_log(o2c(spark, sf)[0], f"{schema}.o2c")
+        log = load_log(spark, f"{schema}.o2c")
+        return cut_lineage(log.select("case_id", "activity", "event_timestamp", "event_rank", "event_id"))
 
 
 _YAML = """
@@ -286,6 +288,6 @@ def templates(spark, sf):
     f"WITH {OCEL_SQL} SELECT object_type, count(*) AS cnt FROM e2o GROUP BY 1",
 )
 def sibling_load(spark, sf):
-    schema = _scratch_schema(spark)
-    save_ocel(ocel(spark, sf), f"{schema}.o2c")
-    return object_types(load_ocel(spark, f"{schema}.o2c_ocel_events"))
+    with scratch_schema(spark) as schema:
+        save_ocel(ocel(spark, sf), f"{schema}.o2c")
+        return cut_lineage(object_types(load_ocel(spark, f"{schema}.o2c_ocel_events")))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.session import cut_lineage
+from casemill.session import shared_folder
 
 PART_BYTES = 8 << 20  # text that a task works on at a time
 
@@ -18,14 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        cut_lineage(spark.range(1))  # sets the folder, or fails on a cluster that names none
-    return context.getCheckpointDir()
-
-
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 

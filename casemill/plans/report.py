@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from casemill.functions.columns import ACTIVITY, CASE, MANDATORY, METRICS
 from casemill.operators.enrich import coverage
 from casemill.operators.quality import quality_gates
+from casemill.session import cut_lineage
 from casemill.sources.config import EventLogConfig
 
 
 def report(spark: SparkSession, cfg: EventLogConfig, log: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """(position, item, value): process, output, counts, columns, coverage, gates and the tables used or left out.
 
-    All activities are listed by name.
+    All activities are listed by name. The log is read three times: for its counts per case and activity, which are
+    written at call time, for the gates, and for the coverage.
     """
-    per_case = log.groupBy(CASE).agg(F.count(F.lit(1)).alias("n"))
-    names = log.select(ACTIVITY).where(F.col(ACTIVITY).isNotNull()).distinct()
+    counts = cut_lineage(log.groupBy(CASE, ACTIVITY).agg(F.count(F.lit(1)).alias("n")))
+    per_case = counts.groupBy(CASE).agg(F.sum("n").alias("n"))
+    names = counts.select(ACTIVITY).where(F.col(ACTIVITY).isNotNull()).distinct()
     listed = F.array_join(F.array_sort(F.collect_list(ACTIVITY)), ", ")
     enriched = [e.prefix + c for e in cfg.enrichment for c in e.columns]
     extra = [c for c in log.columns if c not in (*MANDATORY, *METRICS, *enriched, "source_seq", "event_id")]

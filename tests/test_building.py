@@ -24,6 +24,7 @@ from casemill.plans.build import build_event_log, propose_enrichments, propose_e
 from casemill.plans.report import report
 from casemill.sources.config import (
     EnrichmentSpec,
+    EventLogConfig,
     EventSpec,
     SourceSpec,
     check_config,
@@ -283,3 +284,38 @@ def test_normalise_keeps_all_rows(spark):
     assert [(r["case_id"], r["event_timestamp"], r["cost"]) for r in out] == [
         ("a", None, None), ("b", dt.datetime(2024, 1, 2), 5.5),
     ]
+
+
+def test_case_key_must_group_or_link(spark):
+    """Rule 1: a key that names every row once and occurs nowhere else makes no cases."""
+    alone = spark.createDataFrame([(i, f"2024-01-0{i}") for i in range(1, 5)], "id long, at string")
+    other = spark.createDataFrame([(9, "2024-01-01")], "id long, at string")
+    one, two = (SourceSpec(t, "id", (EventSpec("Step " + t.upper(), "at"),)) for t in "ab")
+
+    def passed(sources, **tables):
+        found = check_config(spark, EventLogConfig("x", "x", sources), tables).where("rule = 1").collect()
+        return {r["source"]: r["passed"] for r in found}
+
+    assert passed((one,), a=alone) == {"a": False}
+    assert passed((one,), a=alone.union(alone)) == {"a": True}
+    assert passed((one, two), a=alone, b=other) == {"a": False, "b": False}
+    assert passed((one, two), a=alone, b=alone) == {"a": True, "b": True}
+
+
+def test_rows_without_a_key(spark):
+    """Ids from all columns, maps too; equal rows share one."""
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (1, {"a": 2})], "id long, m map<string,int>")
+    df = df.withColumn("at", F.lit("2024-01-01"))
+    ids = [r["event_id"] for r in extract_event(df, "id", EventSpec("Go", "at"), "t", []).collect()]
+    assert len(set(ids)) == 2 and len(ids) == 3
+
+
+def test_broken_config_and_gates_stop_the_build(spark, tables, cfg):
+    from casemill.operators.quality import GateFailure
+    from casemill.plans.run import ConfigFailure, build_and_save, complete_log
+
+    bad = EventLogConfig("x", "x", (SourceSpec("purchase_orders", "nothing", (EventSpec("Go", "created_at"),)),))
+    with pytest.raises(ConfigFailure, match="rule 1"):
+        build_and_save(spark, bad, tables)
+    with pytest.raises(GateFailure):
+        complete_log(spark, spark.createDataFrame([("c", "a", "2024-01-01")], "case_id string, activity string, event_timestamp string"))

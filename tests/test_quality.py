@@ -137,3 +137,12 @@ def test_pii(spark):
 def test_templates(p2p_log):
     got = {r["template"]: r["hits"] for r in match_templates(p2p_log).collect()}
     assert got["procure_to_pay"] == max(got.values()) and got["procure_to_pay"] >= 4
+
+
+def test_keys_out_of_their_normal_form(spark):
+    typed = spark.createDataFrame([("ACME ",), ("ACME ",), ("beta",), ("GAMMA",), ("delta",), (None,)], "k string")
+    found = {r["normalised"]: (r["spellings"], r["rows"]) for r in dt.key_variants(typed, "k").collect()}
+    assert found == {"ACME": (1, 2)}
+    listed = spark.createDataFrame([("BETA",), ("GAMMA",)], "name string")
+    found = {r["normalised"]: r["rows"] for r in dt.key_variants(typed, "k", listed, "name").collect()}
+    assert found == {"ACME": 2, "BETA": 1}

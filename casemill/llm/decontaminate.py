@@ -251,7 +251,8 @@ def _documents(row: dict, windows: Windows, near: int) -> pa.RecordBatch:
     item, start, end = item[order], start[order], end[order]
     doc = shard.document(start)
     phrases: list[list[dict]] = [[] for _ in range(n)]
-    for d, i, a, b in zip(doc.tolist(), item.tolist(), (start - shard.first[doc]).tolist(), (end - shard.first[doc]).tolist()):
+    begins = shard.first[doc]
+    for d, i, a, b in zip(doc.tolist(), item.tolist(), (start - begins).tolist(), (end - begins).tolist()):
         last = phrases[d][-1] if phrases[d] else None
         if last and last["item_id"] == i and a <= last["to"]:
             last["to"] = max(last["to"], b)

@@ -120,7 +120,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Profiles:
     chosen = known.select("doc_id", F.col("lang"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(share), "lang"  # a row for each language
     )
-    part = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
+    part = F.pmod(F.xxhash64("doc_id", "text", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
     sums = chosen.where(part < F.col("_share")).select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     sums = sums.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))

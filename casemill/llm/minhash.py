@@ -124,12 +124,13 @@ def _keys(text: pa.Array, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def sketch(docs: DataFrame, id_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, k1, k2, n, bands) per document: its exact class, how many shingles it has, its band hashes."""
+    """(id, t, k1, k2, n, bands) per document: a hash of its text, its exact class, how many shingles it has, its band
+    hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text"):
-            w = words(batch.column(1))
-            k1, k2, null = _keys(batch.column(1), w)
+            w = words(batch.column(2))
+            k1, k2, null = _keys(batch.column(2), w)
             sh = shingles(w, shingle)
             signature = signatures(*weighted(sh), len(batch), bands * rows).reshape(len(batch), bands, rows)
             band = np.zeros((len(batch), bands), np.uint64)
@@ -142,12 +143,16 @@ def sketch(docs: DataFrame, id_col: str, shingle: int, bands: int, rows: int) ->
                 pa.array(band[sh.counts > 0].reshape(-1).view(np.int64)),
             )
             yield pa.record_batch(
-                [batch.column(0), pa.array(k1, mask=null), pa.array(k2, mask=null), pa.array(sh.counts), lists],
-                names=["id", "k1", "k2", "n", "bands"],
+                [*batch.columns[:2], pa.array(k1, mask=null), pa.array(k2, mask=null), pa.array(sh.counts), lists],
+                names=["id", "t", "k1", "k2", "n", "bands"],
             )
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "id long, k1 long, k2 long, n long, bands array<long>")
+    return _source(docs, id_col).mapInArrow(run, "id long, t long, k1 long, k2 long, n long, bands array<long>")
+
+
+def _source(docs: DataFrame, id_col: str) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
 def elements(docs: DataFrame, shingle: int) -> DataFrame:
@@ -201,12 +206,12 @@ def near_duplicates(
     marks = stored(sketch(docs, id_col, shingle, bands, rows), "marks")
     classes = marks.where(F.col("k1").isNotNull()).groupBy("k1", "k2")
     classes = classes.agg(
-        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"),
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "t")).alias("first"),
+        F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"),
     )
+    classes = classes.select("k1", "k2", "first.id", "first.t", "copies", "n", "bands")
     classes = stored(classes.withColumn("class_no", F.monotonically_increasing_id()), "classes")
-    labels = _labels(docs.select(F.col(id_col).cast("long").alias("id"), F.col("text").cast("string")), classes,
-                     similarity, shingle)
+    labels = _labels(_source(docs, id_col), classes, similarity, shingle)
     named = classes.select("k1", "k2", "id", "copies", "class_no").join(labels, "class_no", "left")
     named = named.withColumn("component", F.coalesce("component", "class_no"))
     groups = named.groupBy("component").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size"))
@@ -229,8 +234,9 @@ def _labels(docs: DataFrame, classes: DataFrame, similarity: float, shingle: int
     banded = banded.select(F.xxhash64("band", "hash").alias("bucket"), "class_no", "n")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("bucket")
     members = stored(banded.join(shared, "bucket"), "members")
-    needed = members.select("class_no").distinct().join(classes.select("class_no", "id", "k1", "k2"), "class_no")
-    texts = docs.join(needed, docs["id"].eqNullSafe(needed["id"])).drop("id")
+    needed = members.select("class_no").distinct().join(classes.select("class_no", "id", "t", "k1", "k2"), "class_no")
+    # The first document of each class; documents without an id are told apart by their texts.
+    texts = docs.join(needed, docs["id"].eqNullSafe(needed["id"]) & (docs["t"] == needed["t"])).drop("id", "t")
     sets = stored(elements(texts, shingle).groupBy("class_no").agg(F.first("elements").alias("elements")), "elements")
 
     pivots = members.groupBy("bucket").agg(F.min("class_no").alias("a"), F.min_by("n", "class_no").alias("na"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import by_bytes, held_out, utf8
+from casemill.llm.common import by_bytes, held_out, stored, utf8
 from casemill.llm.words import Words, shingles, words
 
 TRAIN_ROWS = 20_000  # labelled documents that the trees learn from, about
@@ -169,10 +169,23 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, b
 def sample_labels(labels: DataFrame, column: str, rows: int) -> DataFrame:
     """(doc_id, y) of labelled documents that may be learned from, ``rows`` of them in expectation."""
     known = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    share = rows / max(known.count(), 1)
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(column)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return known.select("doc_id", F.col(column).cast("int").alias("y"))
+    known = known.select("doc_id", F.col(column).cast("int").alias("y")).distinct()
+    return _share(known, ["doc_id"], rows)
+
+
+def _share(df: DataFrame, key: list[str], rows: int) -> DataFrame:
+    """About ``rows`` rows, chosen by a hash of ``key``; all if there are no more."""
+    share = rows / max(df.count(), 1)
+    return df if share >= 1 else df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """(doc_id, text, y) of about ``rows`` labelled documents at most; repeated rows count once, so an id or a text that
+    fills a large part of the table does not fill the sample."""
+    chosen = F.broadcast(sample_labels(labels, column, rows))  # bounded by the size of the sample
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = stored(texts.dropDuplicates(["doc_id", "text", "y"]), "labelled")
+    return _share(texts, ["text", "doc_id"], 2 * rows)
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int = TRAIN_ROWS) -> Trees:
@@ -183,8 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int
             x = statistics(batch.column(2))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(list(x))], names=["doc_id", "y", "x"])
 
-    chosen = F.broadcast(sample_labels(labels, column, rows))  # bounded by the size of the sample
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = labelled_texts(docs, labels, column, rows)
     rows_read = texts.select(F.col("doc_id").cast("long"), "y", "text").mapInArrow(
         measure, "doc_id long, y int, x array<double>"
     ).collect()  # numbers of the sample only
@@ -195,7 +207,6 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int
 
 def scorer(trees: Trees):
     """A column function: the score of a text."""
-    shared = trees
 
     @F.pandas_udf("double")
     def score(texts):
@@ -203,7 +214,7 @@ def scorer(trees: Trees):
 
         out = []
         for batch in by_bytes([pa.record_batch([pa.array(texts, pa.string())], names=["text"])], "text"):
-            out.append(shared.score(statistics(batch.column(0))))
+            out.append(trees.score(statistics(batch.column(0))))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     return score

@@ -86,7 +86,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS, smoothing: float = 0.5) -> np
     text = F.col("text").cast("string")
     share = rows / max(docs.count(), 1)
     if share < 1:
-        docs = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)))
+        docs = docs.where(F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 20)) < int(share * (1 << 20)))
     sums = docs.select(text.alias("text")).mapInArrow(count, "random long, pair long, n long")
     counts = np.full((2, _N, _N), smoothing)
     for random, pair, n in sums.groupBy("random", "pair").agg(F.sum("n")).collect():

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm.common import by_bytes, held_out, stored
-from casemill.llm.quality import sample_labels
+from casemill.llm.quality import labelled_texts
 
 TRAIN_ROWS = 20_000  # labelled documents that the lexicon is learned from, about
 LEXICON = 5_000  # entries at most
@@ -199,8 +199,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 1e-3
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", rows: int = TRAIN_ROWS) -> Lexicon:
     """Learn from at most about ``rows`` labelled documents outside the held-out fold."""
-    chosen = F.broadcast(sample_labels(labels, column, rows))  # bounded by the size of the sample
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = labelled_texts(docs, labels, column, rows)
     texts = stored(texts.dropDuplicates(["text", "y"]), "labelled")  # copies of a document teach no more than one
     seen = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = seen.get(1, 0), sum(n for y, n in seen.items() if y != 1)

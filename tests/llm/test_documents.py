@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from casemill.llm import decontaminate, language, licences, minhash, packing, quality, queries, secrets, toxicity
@@ -91,6 +92,22 @@ def test_op1_odd_rows(odd):
     assert minhash.near_duplicates(odd.limit(0)).collect() == []
 
 
+def test_op1_documents_without_ids(spark):
+    rows = [(None, f"text number {i // 2} of many with no id but some words " * 3 + ("more" if i % 2 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == 200 and {r["class_id"] for r in got} == {None} and {r["class_size"] for r in got} == {2}
+
+
+def test_samples_stay_bounded(spark):
+    """An id that has most of the rows, and a label that is there very often, do not fill the sample."""
+    docs = spark.range(600).select(F.lit(3).alias("doc_id"), F.concat(F.lit("a text "), F.col("id") % 300).alias("text"))
+    docs = docs.unionByName(spark.range(600).select("id", F.lit("x").alias("text")).toDF("doc_id", "text"))
+    known = spark.range(900).select((F.col("id") % 9).alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.labelled_texts(docs, known, "quality", 40).count() <= 120
+    assert quality.labelled_texts(docs, known, "quality", 1000).count() <= 309
+
+
 def test_op3_held_out_accuracy(spark, sf, documents):
     got = queries.op3_language_profiles(spark, sf).join(documents.select("doc_id", "lang"), "doc_id")
     got = got.where("held_out and lang is not null").collect()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casemill.operators import ocel as oc
 from casemill.operators.dfg import dfg, dfg_layers
 
-from checks.logs import LOG_SQL, OBJECTS, OCEL_SQL, RAW_SQL, object_events, ocel, table
+from checks.logs import OBJECTS, OCEL_SQL, RAW_SQL, object_events, ocel, table
 from checks.registry import check
 
 

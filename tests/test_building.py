@@ -23,7 +23,6 @@ from casemill.operators.metrics import add_metrics
 from casemill.plans.build import build_event_log, propose_enrichments, propose_events
 from casemill.plans.report import report
 from casemill.sources.config import (
-    EnrichmentSpec,
     EventLogConfig,
     EventSpec,
     SourceSpec,

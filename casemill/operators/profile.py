@@ -120,7 +120,7 @@ def key_relationships(
 
     Columns are compared when they look like keys, have the same type and the same name after a one-letter
     prefix; ``pairs`` names other comparisons. ``containment`` is the share of left keys found on the right.
-    Every column is counted per key first, so a frequent key is one row in the comparison.
+    Every table is read once and every column counted per key first, so a frequent key is one row in the comparison.
     """
     keys = {
         (t, c): (kind, bare_name(c))
@@ -136,26 +136,35 @@ def key_relationships(
             [], "l_table string, l_col string, r_table string, r_col string, containment double, cardinality string"
         )
 
-    def counted(table: str, col: str, name: str) -> DataFrame:
-        key = F.col(f"`{col}`")
-        return tables[table].where(key.isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias(name))
-
+    columns = list(dict.fromkeys(c for w in wanted for c in (w[:2], w[2:])))
+    number = {c: i for i, c in enumerate(columns)}
     parts = []
-    for lt, lc, rt, rc in wanted:
-        both = counted(lt, lc, "l").join(counted(rt, rc, "r"), "k", "left")
-        one_l, one_r = F.max("l") == 1, F.coalesce(F.max("r"), F.lit(0)) <= 1
-        cardinality = (
-            F.when(one_l & one_r, "1:1").when(one_l, "1:N").when(one_r, "N:1").otherwise("N:M")
-        )
-        parts.append(
-            both.agg(
-                F.round(F.count("r") / F.count(F.lit(1)), 4).alias("containment"), cardinality.alias("cardinality")
-            ).select(
-                F.lit(lt).alias("l_table"), F.lit(lc).alias("l_col"), F.lit(rt).alias("r_table"), F.lit(rc).alias("r_col"),
-                "containment", "cardinality",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    for table in dict.fromkeys(t for t, _ in columns):
+        cells = [
+            F.struct(F.lit(number[t, c]).alias("col"), F.col(f"`{c}`").cast("string").alias("k"))
+            for t, c in columns
+            if t == table
+        ]
+        parts.append(tables[table].select(F.inline(F.array(*cells))).where(F.col("k").isNotNull()))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("k", "col").agg(F.count(F.lit(1)).alias("n"))
+    # Per key value, how often each column has it: at most one entry per column.
+    keys_of = counted.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("col", "n"))).alias("m"))
+    sides = [
+        F.struct(F.lit(i).alias("pair"), F.col("m")[number[w[:2]]].alias("l"), F.col("m")[number[w[2:]]].alias("r"))
+        for i, w in enumerate(wanted)
+    ]
+    both = keys_of.select(F.inline(F.filter(F.array(*sides), lambda s: s["l"].isNotNull())))
+    one_l, one_r = F.max("l") == 1, F.coalesce(F.max("r"), F.lit(0)) <= 1
+    cardinality = F.when(one_l & one_r, "1:1").when(one_l, "1:N").when(one_r, "N:1").otherwise("N:M")
+    found = both.groupBy("pair").agg(
+        F.round(F.count("r") / F.count(F.lit(1)), 4).alias("containment"), cardinality.alias("cardinality")
+    )
+    named = counted.sparkSession.createDataFrame(
+        [(i, *w) for i, w in enumerate(wanted)], "pair int, l_table string, l_col string, r_table string, r_col string"
+    )
+    return named.join(found, "pair", "left").select(
+        "l_table", "l_col", "r_table", "r_col", "containment", F.coalesce("cardinality", F.lit("N:1")).alias("cardinality")
+    )
 
 
 def pii_scan(df: DataFrame) -> DataFrame:

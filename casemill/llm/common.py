@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from casemill.session import shared_folder
 
-PART_BYTES = 8 << 20  # text that a task works on at a time
+PART_BYTES = 4 << 20  # text that a task works on at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,6 +26,7 @@ from casemill.llm.words import Words, shingles, words
 TRAIN_ROWS = 20_000  # labelled documents that the trees learn from, about
 TREES, DEPTH, BINS, RATE, LEAST = 120, 4, 64, 0.1, 10
 THRESHOLD = 0.3
+PART = 2 << 20  # bytes of text described at a time; each takes some forty bytes of work space
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -192,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int
     """Trees for the chance of label 1, from at most about ``rows`` labelled documents outside the held-out fold."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", PART):
             x = statistics(batch.column(2))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(list(x))], names=["doc_id", "y", "x"])
 
@@ -208,14 +209,11 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int
 def scorer(trees: Trees):
     """A column function: the score of a text."""
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        out = []
-        for batch in by_bytes([pa.record_batch([pa.array(texts, pa.string())], names=["text"])], "text"):
-            out.append(trees.score(statistics(batch.column(0))))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        batch = pa.record_batch([texts], names=["text"])
+        parts = [trees.score(statistics(part.column(0))) for part in by_bytes([batch], "text", PART)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score
 

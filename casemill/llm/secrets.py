@@ -140,18 +140,18 @@ def redact(docs: DataFrame, model: np.ndarray, margin: float = MARGIN, mask: str
     """``docs`` with every span of their ``text``, overlapping ones joined, replaced by ``mask``; null stays null."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        def one(text):
-            if text is None:
-                return None
-            out, at = [], 0
-            for a, _, b in all_spans(text, shared.value, margin):
-                if a >= at:
-                    out += [text[at:a], mask]
-                at = max(at, b)
-            return "".join([*out, text[at:]])
-
-        return texts.map(one, na_action="ignore")
+    def one(text: str | None) -> str | None:
+        if text is None:
+            return None
+        out, at = [], 0
+        for a, _, b in all_spans(text, shared.value, margin):
+            if a >= at:
+                out += [text[at:a], mask]
+            at = max(at, b)
+        return "".join([*out, text[at:]])
+
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array((one(value.as_py()) for value in texts), pa.string())
 
     return docs.withColumn("text", clean(F.col("text").cast("string")))

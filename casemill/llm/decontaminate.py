@@ -1,11 +1,11 @@
 """Benchmark decontamination by a distributed positional inverted index (operator 8).
 
-The index is sharded by document: a shard holds some eight megabytes of text, and for each term the ascending
+The index is sharded by document: a shard holds some four megabytes of text, and for each term the ascending
 positions of its words. Building it moves no text between executors; the shards are written as a table. A search
 takes every window of every test item to every shard: the rarest of its terms in that shard gives candidate
 places, its list is moved by the term's offset, and the lists of the other terms are intersected in order of
-rarity. What is left are exact phrases. The same lists answer proximity: all terms of a window within some words of
-its rarest one.
+rarity. What is left are exact phrases. On request the same lists answer proximity: all terms of a window within some
+words of its rarest one in the shard. Contamination is a matter of phrases alone.
 
 Words are those of ``words.py``, compared by 64-bit hashes. Null and empty texts have no words, and their documents
 are neither hit nor contaminated. Repeated rows and ids are judged row by row. Empty tables give empty results or
@@ -166,7 +166,7 @@ class Windows:
         self.items = np.repeat(np.array(item_ids, np.int64), made)
 
 
-def _matches(shard: Shard, windows: Windows, near: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _matches(shard: Shard, windows: Windows, near: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(windows that match, where they begin, rarest places of proximity matches, their windows)."""
     number = shard.numbers(windows.hashes)
     known = np.flatnonzero(((number >= 0) | ~windows.inside).all(1) & (windows.lengths > 0))
@@ -186,27 +186,26 @@ def _matches(shard: Shard, windows: Windows, near: int) -> tuple[np.ndarray, np.
         w = np.repeat(rows, n)
         place = shard.places[np.arange(n.sum()) + np.repeat(shard.starts[terms[rows, 0]] - (np.cumsum(n) - n), n)]
         doc = shard.document(place)
-        low = np.maximum(shard.first[doc], place - near)
-        high = np.minimum(shard.first[doc + 1], place + near + 1)
+        low = np.maximum(shard.first[doc], place - (near or 0))
+        high = np.minimum(shard.first[doc + 1], place + (near or 0) + 1)
         start = place - order[w, 0]
         exact = (start >= shard.first[doc]) & (start + windows.lengths[known[w]] <= shard.first[doc + 1])
         for k in range(1, terms.shape[1]):
             more = k < windows.lengths[known[w]]
             term = terms[w, k]
-            keep = ~more | shard.has(term, low, high)
             target = start + order[w, k]
             exact &= ~more | shard.has(term, np.maximum(target, 0), np.maximum(target, 0) + 1)
-            keep |= exact  # a window longer than the proximity
+            keep = exact if near is None else exact | ~more | shard.has(term, low, high)
             w, place, start, exact, low, high = (x[keep] for x in (w, place, start, exact, low, high))
         out.append((known[w[exact]], start[exact], place, known[w]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int = NEAR) -> DataFrame:
+def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | None = NEAR) -> DataFrame:
     """Phrases of ``items`` (item_id, text) in the documents of an index, a row for each document.
 
     ``phrases``: which words (from, to) any window of an item covers, overlapping windows of an item in one. ``near``:
-    places of words around which a window has all its terms within ``near`` words. Items are searched in blocks of
+    places of words around which a window has all its terms within ``near`` words (none if that is None). Items are searched in blocks of
     ``BLOCK_BYTES``; every document meets every block.
     """
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
@@ -242,10 +241,11 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int = N
     )
 
 
-def _documents(row: dict, windows: Windows, near: int) -> pa.RecordBatch:
+def _documents(row: dict, windows: Windows, near: int | None) -> pa.RecordBatch:
     shard = Shard(row)
     n = len(row["doc_ids"])
     which, start, places, _ = _matches(shard, windows, near)
+    places = places if near is not None else places[:0]
     item, end = windows.items[which], start + windows.lengths[which]
     order = np.lexsort((end, start, item, shard.document(start)))
     item, start, end = item[order], start[order], end[order]
@@ -269,12 +269,12 @@ def _documents(row: dict, windows: Windows, near: int) -> pa.RecordBatch:
 
 
 def contamination(matches: DataFrame, share: int = SHARE) -> DataFrame:
-    """(doc_id, text_key, n_words, n_hit, n_items, items_sha256, n_near, contaminated) of the documents searched."""
+    """(doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated) of the documents searched."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits, counts, digests, near = [], [], [], []
-            for phrases, around in zip(batch.column("phrases").to_pylist(), batch.column("near").to_pylist()):
+            hits, counts, digests = [], [], []
+            for phrases in batch.column("phrases").to_pylist():
                 hit = end = 0
                 for a, b in sorted((p["from"], p["to"]) for p in phrases):
                     hit += max(0, b - max(a, end))
@@ -283,20 +283,17 @@ def contamination(matches: DataFrame, share: int = SHARE) -> DataFrame:
                 hits.append(hit)
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-                near.append(len(set(around)))
             n_words = batch.column("n_words").to_numpy()
             n_hit = np.array(hits, np.int64)
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(n_words), pa.array(n_hit),
-                 pa.array(counts, pa.int64()), pa.array(digests), pa.array(near, pa.int64()),
-                 pa.array((n_hit > 0) & (share * n_hit >= n_words))],
-                names=["doc_id", "text_key", "n_words", "n_hit", "n_items", "items_sha256", "n_near", "contaminated"],
+                 pa.array(counts, pa.int64()), pa.array(digests), pa.array((n_hit > 0) & (share * n_hit >= n_words))],
+                names=["doc_id", "text_key", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
     return matches.mapInArrow(
         judge,
-        "doc_id long, text_key long, n_words long, n_hit long, n_items long, items_sha256 string, n_near long,"
-        " contaminated boolean",
+        "doc_id long, text_key long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean",
     )
 
 
@@ -311,4 +308,4 @@ def item_terms(items: DataFrame, size: int = WINDOW) -> np.ndarray | None:
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """How much of each document stands in the test items; the index stores the terms that the items have."""
     index = stored(build_index(docs, item_terms(items)), "postings", "zstd")
-    return contamination(search(index, items))
+    return contamination(search(index, items, near=None))

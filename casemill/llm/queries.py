@@ -80,6 +80,34 @@ def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+OP8_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(words), 13) AS size, array_to_string(words[k:k + 12], ' ') AS phrase
+    FROM (SELECT item_id, words, unnest(generate_series(1, greatest(1, len(words) - 12))) AS k FROM items WHERE len(words) > 0)
+), places AS (
+    SELECT r, k, size, array_to_string(words[k:k + size - 1], ' ') AS phrase FROM (
+        SELECT r, words, size, unnest(generate_series(1, len(words) - size + 1)) AS k
+        FROM docs JOIN (SELECT DISTINCT size FROM windows) AS sizes ON len(words) >= size)
+), hits AS (
+    SELECT r, k, size, item_id FROM places JOIN windows USING (size, phrase)
+), covered AS (
+    SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(generate_series(k, k + size - 1)) AS w FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -88,6 +116,25 @@ def op10_hnsw_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+OP10_SQL = """
+WITH RECURSIVE unit AS (
+    SELECT vec_id, list_transform(v, lambda x: x / n) AS u
+    FROM (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n
+          FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
+    WHERE n > 0 AND isfinite(n) AND len(list_filter(u, lambda x: x IS NULL)) = 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit AS a JOIN unit AS b
+    ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u) AND list_inner_product(a.u, b.u) >= 0.95
+), reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, min(b) AS component_id, vec_id = min(b) AS kept
+FROM embeddings JOIN reached ON a = vec_id GROUP BY vec_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -103,4 +150,4 @@ QUERIES: dict[str, Query] = {
         op10_hnsw_embeddings,
     )
 }
-SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL}
+SQL: dict[str, str] = {"op2_chat_formatting": OP2_SQL, "op8_positional_index": OP8_SQL, "op10_hnsw_embeddings": OP10_SQL}

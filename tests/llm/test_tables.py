@@ -17,7 +17,7 @@ from tests.llm.conftest import CLASHING
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_against_sql(spark, sf, name):
     db = duckdb.connect()
-    for table in ("conversations", "documents"):
+    for table in ("conversations", "documents", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     got = queries.QUERIES[name](spark, sf)
     names = sorted(got.columns)

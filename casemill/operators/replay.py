@@ -176,14 +176,19 @@ def with_fitness(counts: DataFrame) -> DataFrame:
 
 
 def replay(
-    log: DataFrame, model: ProcessTree, load: CaseLoad | None = None, steps: DataFrame | None = None
+    log: DataFrame,
+    model: ProcessTree,
+    load: CaseLoad | None = None,
+    steps: DataFrame | None = None,
+    signatures: DataFrame | None = None,
 ) -> DataFrame:
     """(case_id, produced, consumed, missing, remaining, fitness, fits) for every case.
 
-    ``steps`` is the result of ``variant_steps`` where the caller already has it.
+    ``steps`` and ``signatures`` are the written results of ``variant_steps`` and ``case_signatures`` where the caller
+    already has them.
     """
     load = load or measure_cases(usable(log))
-    signatures = cut_lineage(case_signatures(log, load))
+    signatures = cut_lineage(case_signatures(log, load)) if signatures is None else signatures
     steps = variant_steps(log, load, signatures) if steps is None else steps
     results = cut_lineage(with_fitness(replay_variants(steps, model, load.events)).drop("length", "n"))
     joined = balanced_join(case_variants(log, load, signatures), results, [("first_case", "first_case")], "inner")
@@ -199,7 +204,7 @@ def fitness(
     Status is good above an average of 0.8.
     """
     load = load or measure_cases(usable(log))
-    steps = variant_steps(log, load)
+    steps = variant_steps(log, load, cut_lineage(case_signatures(log, load)))
     if model is None:
         steps = cut_lineage(steps)
         model = discover_model(log, noise, load, steps=steps)

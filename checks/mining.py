@@ -208,8 +208,9 @@ def model(spark, sf):
 @check("h16_replay")
 def replayed(spark, sf):
     log, load = o2c(spark, sf)
-    steps = cut_lineage(variants.variant_steps(log, load))
-    return replay(log, discover_model(log, 0.2, load, steps=steps), load, steps)
+    signatures = cut_lineage(variants.case_signatures(log, load))
+    steps = cut_lineage(variants.variant_steps(log, load, signatures))
+    return replay(log, discover_model(log, 0.2, load, steps=steps), load, steps, signatures)
 
 
 @check("h17_fitness")
@@ -225,8 +226,9 @@ def fit(spark, sf):
 def fits_own_log(spark, sf):
     """Without noise removal every case fits the discovered model."""
     log, load = o2c(spark, sf)
-    steps = cut_lineage(variants.variant_steps(log, load))
-    cases_ = replay(log, discover_model(log, 0.0, load, steps=steps), load, steps)
+    signatures = cut_lineage(variants.case_signatures(log, load))
+    steps = cut_lineage(variants.variant_steps(log, load, signatures))
+    cases_ = replay(log, discover_model(log, 0.0, load, steps=steps), load, steps, signatures)
     return cases_.agg(F.count(F.lit(1)).alias("cases"), F.count_if("fits").alias("fitting"))
 
 

@@ -40,6 +40,7 @@ BANDS = 20
 ROWS = 6
 BLOCK = 512  # members of a bucket that are compared with as many others in one task
 _COLUMNS = 4096
+PART = 1 << 20  # bytes of text hashed at a time; each takes about a hundred bytes of work space
 
 
 def _salt(k: int) -> np.uint64:
@@ -128,7 +129,7 @@ def sketch(docs: DataFrame, id_col: str, shingle: int, bands: int, rows: int) ->
     hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", PART):
             w = words(batch.column(2))
             k1, k2, null = _keys(batch.column(2), w)
             sh = shingles(w, shingle)
@@ -163,7 +164,7 @@ def elements(docs: DataFrame, shingle: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", PART):
             w = words(batch.column(0))
             k1, k2, _ = _keys(batch.column(0), w)
             doc, h, weight = weighted(shingles(w, shingle))

@@ -150,7 +150,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = "byte_bpe_5
     plan = sweep({row["length"]: row["n"] for row in totals}, capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = here.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = cut.join(offsets, ["part", "length"]).select(
+    # A row for each length of each partition: it grows with the corpus, so it is not broadcast.
+    ranked = cut.join(offsets.hint("merge"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank")
     )
     keys = (plan[:, 0] << 44) | plan[:, 1]

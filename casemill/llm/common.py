@@ -47,6 +47,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = PART_BY
                 stop += 1
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()  # workers live on, with what their largest batch took
 
 
 def byte_offsets(text: pa.Array):

@@ -368,3 +368,42 @@ def test_op9_sweep_is_best_fit():
                 gaps.remove(min(fitting))
             gaps.append((min(fitting) if fitting else capacity) - size)
         assert len(bins) == len(gaps)
+
+
+MIT_FILE = """Copyright (c) 2020 A. Nobody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+"""
+BSD_FILE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice
+"""
+GPL_FILE = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+
+
+def test_op7_wrapped_and_dual_notices(spark, documents):
+    texts = {
+        (("mit", 1),): MIT_FILE,
+        (("bsd", 0),): BSD_FILE,
+        (("gpl-3.0", 0),): GPL_FILE,
+        (("mit", 2),): MIT_FILE.replace("\n", "\r\n# "),
+        (("mit", 1), ("mit", 5), ("bsd", 8)): f"{MIT_FILE}\n{MIT_FILE}{BSD_FILE}",
+        (("bsd", 0), ("mit", 0)): "Released under the MIT License or the BSD License.",
+        (("gpl-2.0", 0), ("gpl-3.0", 0)): "This work is licensed under the GNU General Public License, version 2 or version 3.",
+        (("gpl-2.0", 0),): "This work is licensed under the GNU General Public License,\nversion 2.",
+        (("cc-by", 0), ("cc-by", 1)): "Licensed under CC BY 4.0.\nLicensed under CC BY 4.0.",
+        (): "Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this software and associated"
+        " documentation files.",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licences.scan(docs, licences.train(documents)).collect()}
+    for i, want in enumerate(texts):
+        assert sorted((n["family"], n["line"]) for n in got[i]["notices"]) == sorted(want)
+        assert got[i]["n_notices"] == len(want) and got[i]["families"] == ",".join(sorted({f for f, _ in want}))

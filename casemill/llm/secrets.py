@@ -1,8 +1,9 @@
 """Secrets in texts (operator 4): three plain patterns, and strings that look random to character Markov models.
 
 Two first-order models, one of random strings and one of ordinary identifiers, give the chance of every character
-after the one before it. A run of identifier characters is reported as kind ``model`` when its log-likelihood ratio
-exceeds a margin. Both models are trained from labelled samples: the values that the plain patterns find in a bounded
+after the one before it. In each run of identifier characters, less what the plain patterns found of it, every maximal
+stretch whose summed log-likelihood ratio reaches a margin is reported as kind ``model``, up to the next joint of the
+run on either side. Both models are trained from labelled samples: the values that the plain patterns find in a bounded
 number of documents are the random strings, all other runs in them the identifiers.
 
 Spans count code points and end before their end. A null text has none. Rows are scanned one by one, so repeated rows
@@ -35,6 +36,7 @@ KINDS = ("assign", "access", "hex", "model")
 TRAIN_DOCS = 20_000  # documents that the models are trained on, about
 MIN_RUN = 16
 MARGIN = 12.0  # nats by which a run must look rather random than ordinary
+JOINTS = "/_-"  # characters that join the parts of a run
 RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % MIN_RUN)
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _CODES = np.zeros(128, np.int64)  # 0 is the border of a run
@@ -92,22 +94,81 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS, smoothing: float = 0.5) -> np
     for random, pair, n in sums.groupBy("random", "pair").agg(F.sum("n")).collect():
         counts[random].reshape(-1)[pair] += n
     chance = np.log(counts[:, :, 1:] / counts[:, :, 1:].sum(2, keepdims=True))
-    return np.concatenate([np.zeros((_N, 1)), chance[1] - chance[0]], axis=1)
+    ratio = np.concatenate([np.zeros((_N, 1)), chance[1] - chance[0]], axis=1)
+    # Pairs with a joint that no sample has would count for the smaller sample; they say nothing.
+    joint = np.isin(np.arange(_N), _CODES[[ord(c) for c in JOINTS]])
+    ratio[(joint[:, None] | joint) & (counts == smoothing).all(0)] = 0.0
+    return ratio
 
 
-def likelihood_ratio(run: str, model: np.ndarray) -> float:
+def likelihood_ratios(run: str, model: np.ndarray) -> np.ndarray:
     codes = _CODES[np.frombuffer(run.encode(), np.uint8)]
-    return float(model[np.concatenate([[0], codes[:-1]]), codes].sum())
+    return model[np.concatenate([[0], codes[:-1]]), codes]
+
+
+def stretches(ratios: np.ndarray, margin: float) -> list[tuple[int, int]]:
+    """(start, end) of all maximal stretches whose ratios sum up to ``margin``, in one pass (Ruzzo and Tompa)."""
+    total = np.concatenate([[0.0], np.cumsum(ratios)])
+    if (total - np.minimum.accumulate(total)).max() < margin:
+        return []
+    total = total.tolist()
+    kept: list[tuple[int, int, int]] = []  # start, end, place of the last one before whose sum up to its start is less
+    for i in range(len(ratios)):
+        if total[i + 1] <= total[i]:
+            continue
+        start = i
+        while True:
+            before = len(kept) - 1
+            while before >= 0 and total[kept[before][0]] >= total[start]:
+                before = kept[before][2]
+            if before < 0 or total[kept[before][1]] >= total[i + 1]:
+                break
+            start = kept[before][0]
+            del kept[before:]
+        kept.append((start, i + 1, before))
+    return [(a, b) for a, b, _ in kept if total[b] - total[a] >= margin]
+
+
+def model_spans(text: str, start: int, end: int, model: np.ndarray, margin: float, run: tuple[int, int]):
+    """(start, end) of what the models hold for random in a piece of a run, up to the next joint on either side, so that
+    no end of a string is left over. A stretch of less than MIN_RUN characters is reported where it goes on in a plain
+    span, or where the whole piece has that length and passes."""
+    piece = text[start:end]
+    ratios = likelihood_ratios(piece, model)
+    random = stretches(ratios, margin)
+    whole = len(piece) >= MIN_RUN and ratios.sum() >= margin
+    found, done = [], 0
+    for i, (a, b) in enumerate(random):
+        high = random[i + 1][0] if i + 1 < len(random) else len(piece)
+        if piece[a] not in JOINTS:
+            a = max(done, *(piece.rfind(c, done, a) + 1 for c in JOINTS))
+        if piece[b - 1] not in JOINTS:
+            b = min((at for c in JOINTS if (at := piece.find(c, b, high)) >= 0), default=high)
+        done = b
+        goes_on = (a == 0 and start > run[0]) or (b == len(piece) and end < run[1])
+        if whole or goes_on or b - a >= MIN_RUN:
+            found.append((start + a, start + b))
+    return found
 
 
 def all_spans(text: str, model: np.ndarray, margin: float = MARGIN) -> list[tuple[int, int, int]]:
-    """The plain spans, and runs outside of them that the models hold for random."""
+    """The plain spans, and the stretches of what they leave of each run that the models hold for random."""
     found = base_spans(text)
-    more, covered = [], sorted((a, b) for a, _, b in found)
+    covered = sorted((a, b) for a, _, b in found)
+    more, at, reached = [], 0, 0  # reached: where the plain spans so far end
     for m in RUN.finditer(text):
-        if likelihood_ratio(m[0], model) >= margin and not any(a < m.end() and m.start() < b for a, b in covered):
-            more.append((m.start(), 3, m.end()))
-    return sorted(found + more)
+        run = m.span()
+        start = max(run[0], min(reached, run[1]))
+        while at < len(covered) and covered[at][0] < run[1]:
+            a, b = covered[at]
+            if a > start:
+                more += model_spans(text, start, a, model, margin, run)
+            start = max(start, min(b, run[1]))
+            reached = max(reached, b)
+            at += 1
+        if start < run[1]:
+            more += model_spans(text, start, run[1], model, margin, run)
+    return sorted(found + [(a, 3, b) for a, b in more])
 
 
 def scan(docs: DataFrame, model: np.ndarray, margin: float = MARGIN) -> DataFrame:

@@ -179,3 +179,37 @@ def test_pipeline_stages_with_odd_rows(spark, sf, odd, rows):
         elif name == "best-fit packing":
             assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
         docs = docs if name == "quality classifier" else out  # the trees may reject odd rows
+
+
+def test_op10_audit_of_queries_with_few_links(spark, monkeypatch):
+    """A dense group must not hide that links of small groups are missed; the last beam is an exact scan."""
+    rng = np.random.default_rng(8)
+    near = lambda n: (base := rng.normal(size=16)) + 0.03 * rng.normal(size=(n, 16))
+    vectors = np.concatenate([near(100), *[near(2) for _ in range(20)]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    marks = embeddings.unit_vectors(table, "vec_id", "embedding").select("dim", F.col("id").alias("class_no"), "unit")
+    classes = marks.withColumn("copies", F.lit(1).cast("long")).cache()
+    graphs = embeddings.build_graphs(classes, 2).cache()
+    whole = embeddings.search_all
+
+    def lossy(graphs, shards, queries, blocks, beam, cosine):
+        found = whole(graphs, shards, queries, blocks, beam, cosine)
+        return found if beam >= least else found.withColumn("n_classes", F.expr("if(class_no < 100, n_classes, 0L)"))
+
+    monkeypatch.setattr(embeddings, "search_all", lossy)
+    for least, want in ((0, 8), (32, 32), (10_000, 128)):
+        beam, shares = embeddings.audited_beam(graphs, 2, classes, 0.95, 8, 0.98, 1000)
+        assert beam == want and (min(shares.values()) >= 0.98) == (least < 10_000)
+    assert shares["links"] >= 0.98 > shares["few"] == 0
+
+
+def test_op10_widest_beam_is_an_exact_scan():
+    class Cut:
+        """A graph in which the search finds nothing."""
+
+        def search(self, queries, beam):
+            return np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0)
+
+    units = np.eye(5)[[0, 1, 0, 2, 1]]
+    q, node = embeddings._found(Cut(), units, units[:2], 5, 0.95)
+    assert sorted(zip(q.tolist(), node.tolist())) == [(0, 0), (0, 2), (1, 1), (1, 4)]

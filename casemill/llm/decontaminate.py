@@ -9,7 +9,8 @@ words of its rarest one in the shard. Contamination is a matter of phrases alone
 
 Words are those of ``words.py``, compared by 64-bit hashes. Null and empty texts have no words, and their documents
 are neither hit nor contaminated. Repeated rows and ids are judged row by row. Empty tables give empty results or
-clean documents. An item id that occurs on several rows counts once. Extra columns are ignored.
+clean documents. An item id that occurs on several rows counts once. Items without an id hit words and contaminate like
+others, but are left out of ``n_items`` and the list of ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -153,7 +154,7 @@ class Shard:
 class Windows:
     """All windows of some items: a row of ``size`` term hashes each, shorter ones filled up."""
 
-    def __init__(self, item_ids: list[int], texts: pa.Array, size: int = WINDOW):
+    def __init__(self, item_ids: list[int | None], texts: pa.Array, size: int = WINDOW):
         w = words(texts)
         counts = w.counts
         made = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
@@ -163,7 +164,9 @@ class Windows:
         self.inside = at < np.repeat(w.first[1:], made)[:, None]
         self.hashes = w.hashes[np.minimum(at, max(0, len(w.hashes) - 1))] if len(start) else at.astype(np.uint64)
         self.lengths = self.inside.sum(1)
-        self.items = np.repeat(np.array(item_ids, np.int64), made)
+        self.ids = [*sorted({i for i in item_ids if i is not None}), None]
+        number = {i: n for n, i in enumerate(self.ids)}
+        self.items = np.repeat(np.array([number[i] for i in item_ids], np.int64), made)  # places in ``ids``
 
 
 def _matches(shard: Shard, windows: Windows, near: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -208,14 +211,12 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | N
     places of words around which a window has all its terms within ``near`` words (none if that is None). Items are searched in blocks of
     ``BLOCK_BYTES``; every document meets every block.
     """
-    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     size_of = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size_of // BLOCK_BYTES))
     found = []
     for block in range(blocks):
-        chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).where(
-            F.col("item_id").isNotNull() & F.col("text").isNotNull()
-        )
+        chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = chosen.collect()  # about BLOCK_BYTES
         windows = Windows([r[0] for r in rows], pa.array([r[1] for r in rows], pa.string()), size)
         shared = index.sparkSession.sparkContext.broadcast(windows)
@@ -254,10 +255,11 @@ def _documents(row: dict, windows: Windows, near: int | None) -> pa.RecordBatch:
     begins = shard.first[doc]
     for d, i, a, b in zip(doc.tolist(), item.tolist(), (start - begins).tolist(), (end - begins).tolist()):
         last = phrases[d][-1] if phrases[d] else None
-        if last and last["item_id"] == i and a <= last["to"]:
+        item_id = windows.ids[i]
+        if last and last["item_id"] == item_id and a <= last["to"]:
             last["to"] = max(last["to"], b)
         else:
-            phrases[d].append({"item_id": i, "from": a, "to": b})
+            phrases[d].append({"item_id": item_id, "from": a, "to": b})
     around: list[list[int]] = [[] for _ in range(n)]
     places = np.unique(places)
     doc = shard.document(places)
@@ -279,7 +281,7 @@ def contamination(matches: DataFrame, share: int = SHARE) -> DataFrame:
                 for a, b in sorted((p["from"], p["to"]) for p in phrases):
                     hit += max(0, b - max(a, end))
                     end = max(end, b)
-                ids = sorted({str(p["item_id"]) for p in phrases})
+                ids = sorted({str(p["item_id"]) for p in phrases if p["item_id"] is not None})
                 hits.append(hit)
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())

@@ -287,6 +287,19 @@ def test_op8_odd_rows(spark, odd, monkeypatch, block_bytes):
     assert len(none) == len(ROWS) and not any(r["contaminated"] or r["n_hit"] for r in none)
 
 
+@pytest.mark.parametrize("block_bytes", [8 << 20, 20])
+def test_op8_items_without_ids_contaminate(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "x y z"), (3, "a b q")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c"), (None, "x y"), (7, "c d"), (-1, "d e")], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, items).collect()}
+    assert {d: (r["n_hit"], r["n_items"], r["contaminated"]) for d, r in got.items()} == {
+        1: (5, 2, True), 2: (2, 0, True), 3: (0, 0, False),
+    }
+    assert got[1]["items_sha256"] == hashlib.sha256(b"-1,7").hexdigest()
+    assert got[2]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
 def test_op8_full_index_and_proximity(spark):
     docs = spark.createDataFrame([(1, "a x b y c z"), (2, "c b a"), (3, "a b " + "q " * 40 + "c")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "a b c")], "item_id long, text string")

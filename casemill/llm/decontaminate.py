@@ -212,6 +212,7 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | N
     ``BLOCK_BYTES``; every document meets every block.
     """
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
+    items = stored(items.distinct(), "items")  # copies of a row would all fall into one block
     size_of = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size_of // BLOCK_BYTES))
     found = []
@@ -301,7 +302,7 @@ def contamination(matches: DataFrame, share: int = SHARE) -> DataFrame:
 
 def item_terms(items: DataFrame, size: int = WINDOW) -> np.ndarray | None:
     """The term hashes of the test items, or None if these are too large to be searched at once."""
-    texts = items.select(F.col("text").cast("string")).where(F.col("text").isNotNull())
+    texts = items.select(F.col("text").cast("string")).where(F.col("text").isNotNull()).distinct()
     if texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] > BLOCK_BYTES:
         return None
     return np.unique(words(pa.array([r[0] for r in texts.collect()], pa.string())).hashes)

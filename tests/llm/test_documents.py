@@ -300,6 +300,24 @@ def test_op8_items_without_ids_contaminate(spark, monkeypatch, block_bytes):
     assert got[2]["items_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_op8_blocks_hold_repeated_items_once(spark, monkeypatch):
+    """An item on most of the rows does not fill a block."""
+    sizes, init = [], decontaminate.Windows.__init__
+
+    def counted(self, item_ids, *rest):
+        sizes.append(len(item_ids))
+        init(self, item_ids, *rest)
+
+    monkeypatch.setattr(decontaminate.Windows, "__init__", counted)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 400)
+    rows = [(1, "one two three")] * 300 + [(k, f"item number {k}") for k in range(2, 60)]
+    docs = spark.createDataFrame([(1, "zero one two three")], "doc_id long, text string")
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    got = decontaminate.decontaminate(docs, items).collect()
+    assert [(r["n_hit"], r["n_items"]) for r in got] == [(3, 1)]
+    assert len(sizes) > 1 and sum(sizes) == 59 and max(sizes) < 59
+
+
 def test_op8_full_index_and_proximity(spark):
     docs = spark.createDataFrame([(1, "a x b y c z"), (2, "c b a"), (3, "a b " + "q " * 40 + "c")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "a b c")], "item_id long, text string")

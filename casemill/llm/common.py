@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.session import shared_folder
@@ -30,6 +30,27 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
+    """``rows`` with their ``number``, 0 to n-1 in ``order``, and n.
+
+    Rows are range-partitioned by ``order`` and, where that ties, by where they were read, sorted and written with
+    their place; a count per partition gives the numbers. No partition has to hold all rows that tie.
+    """
+    place, part, before = "__place", "__part", "__before"
+    ranged = rows.withColumn(place, F.monotonically_increasing_id()).repartitionByRange(*order, F.col(place))
+    table = stored(ranged.sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id()), "numbered")
+    table = table.withColumn(part, F.shiftright(place, 33))
+    counts = table.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.withColumn(
+        before, F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    ).select(part, F.coalesce(before, F.lit(0)).alias(before), "n")  # a row per partition
+    offsets = stored(offsets, "offsets")
+    n = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    number = F.col(before) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    table = table.join(F.broadcast(offsets.drop("n")), part)
+    return table.withColumn("number", number).drop(place, part, before), n
+
+
 def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     """Rows that no model may learn from: crc32 of the id as text divisible by the number of folds."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))

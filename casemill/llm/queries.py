@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemill.llm import chat, language, licences, quality, secrets, toxicity
+from casemill.llm import chat, language, licences, quality, secrets, sharding, toxicity
 from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
 from casemill.llm.embeddings import near_duplicate_vectors
@@ -165,6 +166,62 @@ FROM embeddings JOIN reached ON a = vec_id GROUP BY vec_id
 """
 
 
+def op11_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+# CRC-32 of a string, whose bytes are looked up in the table of the polynomial.
+_CRC_TABLE_SQL = """(SELECT list(c ORDER BY i) FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+                              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) AS b(i)))"""
+
+
+def _crc_sql(text: str, crc_table: str) -> str:
+    digits = f"string_split(hex(encode({text})), '')"
+    digit = lambda at: f"(instr('0123456789ABCDEF', digits[{at}]) - 1)"
+    return f"""(SELECT xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(len(digits) // 2),
+                                                    lambda i: 16 * {digit('2 * i + 1')} + {digit('2 * i + 2')})),
+            lambda c, b: xor(c >> 8, {crc_table}[(xor(c, b) & 255) + 1])))
+        FROM (SELECT CASE WHEN {text} = '' THEN [] ELSE {digits} END AS digits))"""
+
+
+def _network_sql(source: str) -> str:
+    """Columns r, n, low, high and p of ``source``, with p sent through the Feistel network."""
+    sql = f"SELECT r, n, low, high, p >> low AS l, p & ((1 << low) - 1) AS h FROM {source}"
+    for k, (a, b, c, d, _) in enumerate(sharding.round_keys(4, sharding.SEED)):
+        once = f"(((xor(h, {a}) * {b}) >> 20) & 2147483647)"
+        mixed = f"(((xor({once}, {c}) * {d}) >> 20) & ((1 << {'low' if k % 2 else 'high'}) - 1))"
+        sql = f"SELECT r, n, low, high, h AS l, xor(l, {mixed}) AS h FROM ({sql})"
+    return f"SELECT r, n, low, high, (l << low) | h AS p FROM ({sql})"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE crcs AS (
+    SELECT {_CRC_TABLE_SQL} AS t
+), facts AS MATERIALIZED (
+    SELECT doc_id, strlen(text) + 1 AS size, {_crc_sql("text", "t")} AS text_crc32
+    FROM (SELECT doc_id, coalesce(text, '') AS text, t FROM documents, crcs)
+), rows AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS r FROM facts
+), sizes AS (
+    SELECT count(*) AS n, greatest(2, len(bin(count(*) - 1))) AS bits FROM documents
+), numbers AS (
+    SELECT r, n, CAST(bits - bits // 2 AS BIGINT) AS low, CAST(bits // 2 AS BIGINT) AS high, r AS p FROM rows, sizes
+), walk AS (
+    {_network_sql("numbers")}
+    UNION ALL
+    {_network_sql("(SELECT * FROM walk WHERE p >= n)")}
+)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p % 8 AS INTEGER) AS shard, p // 8 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM rows JOIN (SELECT r, p FROM walk WHERE p < n) USING (r)
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -178,6 +235,7 @@ QUERIES: dict[str, Query] = {
         op8_positional_index,
         op9_best_fit_packing,
         op10_hnsw_embeddings,
+        op11_feistel_shards,
     )
 }
 SQL: dict[str, str] = {
@@ -185,4 +243,5 @@ SQL: dict[str, str] = {
     "op2_chat_formatting": OP2_SQL,
     "op8_positional_index": OP8_SQL,
     "op10_hnsw_embeddings": OP10_SQL,
+    "op11_feistel_shards": OP11_SQL,
 }

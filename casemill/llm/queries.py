@@ -12,6 +12,7 @@ from casemill.llm.common import table
 from casemill.llm.decontaminate import decontaminate
 from casemill.llm.embeddings import near_duplicate_vectors
 from casemill.llm.minhash import near_duplicates
+from casemill.llm.negatives import hard_negatives, moved_label
 from casemill.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,6 +223,33 @@ FROM rows JOIN (SELECT r, p FROM walk WHERE p < n) USING (r)
 """
 
 
+def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved_label())
+
+
+OP13_SQL = """
+WITH rows AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(v, lambda x: floor(256 * x)) AS q
+    FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.r AS a, b.r AS b, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(coalesce(list_inner_product(a.q, b.q), 0) AS BIGINT) AS score
+    FROM rows AS a JOIN rows AS b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)
+), positives AS (
+    SELECT a, b, anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM positives AS p JOIN scores AS s
+ON s.a = p.a AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -236,6 +264,7 @@ QUERIES: dict[str, Query] = {
         op9_best_fit_packing,
         op10_hnsw_embeddings,
         op11_feistel_shards,
+        op13_bond_negatives,
     )
 }
 SQL: dict[str, str] = {
@@ -244,4 +273,5 @@ SQL: dict[str, str] = {
     "op8_positional_index": OP8_SQL,
     "op10_hnsw_embeddings": OP10_SQL,
     "op11_feistel_shards": OP11_SQL,
+    "op13_bond_negatives": OP13_SQL,
 }

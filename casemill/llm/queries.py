@@ -14,6 +14,7 @@ from casemill.llm.embeddings import near_duplicate_vectors
 from casemill.llm.minhash import near_duplicates
 from casemill.llm.negatives import hard_negatives, moved_label
 from casemill.llm.packing import pack
+from casemill.llm.trie import prefix_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,6 +224,50 @@ FROM rows JOIN (SELECT r, p FROM walk WHERE p < n) USING (r)
 """
 
 
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = rf"""
+WITH crcs AS (
+    SELECT {_CRC_TABLE_SQL} AS crc_table
+), turns AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS k
+    FROM (SELECT conv_id, turn, md5(length(role) || ':' || role || text) AS id,
+                 len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+          FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+                FROM conversations WHERE conv_id IS NOT NULL))
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {_crc_sql("name", "crc_table")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name, crc_table FROM turns, crcs)
+), rebuilt AS (
+    SELECT conv_id, id, words, row_number() OVER (PARTITION BY conv_id ORDER BY own, k) AS depth FROM (
+        SELECT c.conv_id, id, words, k, 1 AS own FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id AND k > h
+        UNION ALL SELECT c.conv_id, id, words, k, 0 FROM convs AS c JOIN turns AS t ON t.conv_id = base AND k <= h)
+), paths AS (
+    SELECT conv_id, depth, words,
+           string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS MATERIALIZED (
+    SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved FROM paths GROUP BY ALL
+), counted AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n_children, 0) AS n_children FROM nodes AS n
+    LEFT JOIN nodes AS p ON n.depth > 0 AND p.path = left(n.path, 32 * (n.depth - 1))
+    LEFT JOIN (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1) AS c
+    ON c.path = n.path
+), below AS (
+    SELECT left(path, 32 * d) AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY 1
+), ended AS (
+    SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+    FROM (SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id) GROUP BY path
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       coalesce(sha, sha256('')) AS ends_sha256
+FROM counted JOIN below USING (path) LEFT JOIN ended USING (path)
+"""
+
+
 def op13_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), label=moved_label())
 
@@ -264,6 +309,7 @@ QUERIES: dict[str, Query] = {
         op9_best_fit_packing,
         op10_hnsw_embeddings,
         op11_feistel_shards,
+        op12_burst_trie,
         op13_bond_negatives,
     )
 }
@@ -273,5 +319,6 @@ SQL: dict[str, str] = {
     "op8_positional_index": OP8_SQL,
     "op10_hnsw_embeddings": OP10_SQL,
     "op11_feistel_shards": OP11_SQL,
+    "op12_burst_trie": OP12_SQL,
     "op13_bond_negatives": OP13_SQL,
 }

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import numbered, stored
 
 SEGMENT = 256  # turns of a suffix, at most
-LIMIT = 1_024  # suffixes of a container, at least, before it bursts
+LIMIT = 256  # suffixes of a container, at least, before it bursts
 HEADS = 250_000  # containers that burst in a round, at most: they are broadcast
 FAMILY, SHARED = 20, 4
 _ID = 16  # bytes of a turn's hash

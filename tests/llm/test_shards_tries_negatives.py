@@ -232,4 +232,4 @@ def test_a_vertical_scan_leaves_candidates_out_early():
     exact = anchor.astype(np.int64) @ value.astype(np.int64)
     first = np.sort(exact)[-10]
     assert set(np.flatnonzero(exact >= first)) <= set(at.tolist()) and (score == exact[at]).all()
-    assert left[2] < n / 10
+    assert left[3] < n / 10

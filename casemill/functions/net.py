@@ -145,9 +145,13 @@ class Replayer:
                     todo.append(then)
         return frozenset(seen)
 
-    def accepts(self, activities) -> bool:
-        """Is the trace in the language of the net? Follows every reachable marking, with all silent ways."""
-        at = self._closure(frozenset([self.START]))
+    def first(self) -> frozenset[int]:
+        """The markings before any activity."""
+        return self._closure(frozenset([self.START]))
+
+    def follow(self, at: frozenset[int], activities) -> frozenset[int]:
+        """The markings that a trace in the language can be in after more activities, with all silent ways; none is a
+        trace that left the language."""
         for activity in activities:
             then = self._moves.get((at, activity))
             if then is None:
@@ -157,9 +161,13 @@ class Replayer:
                     self._moves.clear()
                 self._moves[at, activity] = then
             if not then:
-                return False
+                return then
             at = then
-        return self.SINK in at
+        return at
+
+    def accepts(self, activities) -> bool:
+        """Is the trace in the language of the net?"""
+        return self.SINK in self.follow(self.first(), activities)
 
     def judge(self, activities) -> tuple[int, int, int, int]:
         """Counts of a whole trace. Replay takes the shortest silent way, which may be the wrong one of several; a

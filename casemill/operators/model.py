@@ -7,23 +7,22 @@ driver looks for a cut in these alphabet-sized graphs, and Spark then assigns ev
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, usable
-from casemill.functions.graphs import groups, reachability
+from casemill.functions.cuts import Graph, find_cut
 from casemill.operators.dfg import alphabet
+from casemill.operators.fallthrough import TRACE, beside_the_rest, cut_rounds, once_per_trace, rounds
 from casemill.operators.joins import balanced_join
 from casemill.operators.ordering import CaseLoad, measure_cases, neighbours, running
 from casemill.operators.variants import variant_steps
 from casemill.session import cut_lineage
 
-MAX_MODEL_ACTIVITIES = 2_000  # default of ``max_activities``: their squared number of counts comes to the driver
 _START, _END = "\x02start", "\x03end"
-_TRACE = ["trace", "node", "seg"]
 
 
 @dataclass(frozen=True)
@@ -95,39 +94,6 @@ def block(kind: str, children: Iterable[ProcessTree]) -> ProcessTree:
     return flat[0] if len(flat) == 1 else ProcessTree(kind, None, tuple(flat))
 
 
-@dataclass
-class _Graph:
-    """Directly-follows counts of one block."""
-
-    edges: dict[tuple[str, str], int] = field(default_factory=dict)
-    starts: dict[str, int] = field(default_factory=dict)
-    ends: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def activities(self) -> list[str]:
-        return sorted({a for e in self.edges for a in e} | set(self.starts) | set(self.ends))
-
-    @property
-    def traces(self) -> int:
-        return sum(self.starts.values())
-
-    def occurrences(self, activity: str) -> int:
-        return self.starts.get(activity, 0) + sum(n for (_, b), n in self.edges.items() if b == activity)
-
-    def without_noise(self, noise: float) -> _Graph:
-        """Without edges much rarer than the strongest way (another activity or the end) out of their source."""
-        best = dict(self.ends)
-        for (a, _), n in self.edges.items():
-            best[a] = max(best.get(a, 0), n)
-
-        def strong(counts: dict[str, int]) -> dict[str, int]:
-            limit = noise * max(counts.values(), default=0)
-            return {a: n for a, n in counts.items() if n >= limit}
-
-        edges = {(a, b): n for (a, b), n in self.edges.items() if n >= noise * best[a]}
-        return _Graph(edges, strong(self.starts), strong(self.ends))
-
-
 @dataclass
 class _Block:
     """An open block: where its traces come from, and what became of it."""
@@ -140,88 +106,15 @@ class _Block:
     children: tuple[int, ...] = ()
 
 
-def exclusive_cut(acts: Sequence[str], g: _Graph) -> list[frozenset]:
-    return groups(acts, g.edges)
-
-
-def sequence_cut(acts: Sequence[str], g: _Graph) -> list[frozenset]:
-    """Groups of activities that only lead forward, in order."""
-    reach = reachability(acts, g.edges)
-    ordered = lambda a, b: (b in reach[a]) != (a in reach[b])
-    parts = groups(acts, [(a, b) for a in acts for b in acts if a < b and not ordered(a, b)])
-    changed = True
-    while changed:  # merged groups may lead to each other in both directions
-        changed = False
-        for i, p in enumerate(parts):
-            for q in parts[i + 1 :]:
-                forth = any(b in reach[a] for a in p for b in q)
-                back = any(a in reach[b] for a in p for b in q)
-                if forth == back:
-                    parts = [x for x in parts if x not in (p, q)] + [p | q]
-                    changed = True
-                    break
-            if changed:
-                break
-    leads = lambda p: sum(any(b in reach[a] for a in p for b in q) for q in parts if q is not p)
-    return sorted(parts, key=lambda p: (-leads(p), min(p)))
-
-
-def parallel_cut(acts: Sequence[str], g: _Graph) -> list[frozenset]:
-    """Groups whose activities follow each other in both directions; each one can start and end the block."""
-    apart = [(a, b) for a in acts for b in acts if a < b and not ((a, b) in g.edges and (b, a) in g.edges)]
-    parts = groups(acts, apart)
-    whole = [p for p in parts if p & g.starts.keys() and p & g.ends.keys()]
-    rest = frozenset().union(*[p for p in parts if p not in whole]) if len(whole) < len(parts) else frozenset()
-    if not whole:
-        return [frozenset(acts)]
-    if rest:
-        whole = [whole[0] | rest, *whole[1:]]
-    return sorted(whole, key=min)
-
-
-def loop_cut(acts: Sequence[str], g: _Graph) -> list[frozenset]:
-    """The body first, then the redo parts: entered from end activities and left to start activities only."""
-    body = set(g.starts) | set(g.ends)
-    inner = [(a, b) for a, b in g.edges if a not in body and b not in body]
-    redo = []
-    for part in groups([a for a in acts if a not in body], inner):
-        enters = all(a in g.ends for a, b in g.edges if b in part and a not in part)
-        leaves = all(b in g.starts for a, b in g.edges if a in part and b not in part)
-        if enters and leaves:
-            redo.append(part)
-        else:
-            body |= part
-    return [frozenset(body), *redo]
-
-
-_CUTS = (
-    ("exclusive", exclusive_cut),
-    ("sequence", sequence_cut),
-    ("parallel", parallel_cut),
-    ("loop", loop_cut),
-)
-
-
-def find_cut(g: _Graph, noise: float) -> tuple[str, list[frozenset], bool] | None:
-    """(kind, parts, was noise removed): the first cut of the whole graph, else of the frequent part of it."""
-    acts = g.activities
-    for graph, filtered in ((g, False), (g.without_noise(noise), True)) if noise > 0 else ((g, False),):
-        for kind, cut in _CUTS:
-            parts = cut(acts, graph)
-            if len(parts) > 1:
-                return kind, parts, filtered
-    return None
-
-
-def _graphs(state: DataFrame, load: CaseLoad) -> dict[int, _Graph]:
+def _graphs(state: DataFrame, load: CaseLoad) -> dict[int, Graph]:
     """Directly-follows counts of all open blocks; at most (alphabet + 1)² rows come to the driver."""
-    steps = neighbours(state, _TRACE, ["pos"], ["act"], load)
+    steps = neighbours(state, TRACE, ["pos"], ["act"], load)
     into = F.struct(F.coalesce("_prev_act", F.lit(_START)).alias("a"), F.col("act").alias("b"))
     out = F.when(F.col("_next_act").isNull(), F.struct(F.col("act").alias("a"), F.lit(_END).alias("b")))
     pairs = steps.select("node", "n", F.explode(F.array(into, out)).alias("p")).where(F.col("p").isNotNull())
-    graphs: dict[int, _Graph] = {}
+    graphs: dict[int, Graph] = {}
     for r in pairs.groupBy("node", "p.a", "p.b").agg(F.sum("n").alias("n")).collect():
-        g = graphs.setdefault(r["node"], _Graph())
+        g = graphs.setdefault(r["node"], Graph())
         if r["a"] == _START:
             g.starts[r["b"]] = r["n"]
         elif r["b"] == _END:
@@ -235,17 +128,21 @@ def discover_model(
     log: DataFrame,
     noise: float = 0.2,
     load: CaseLoad | None = None,
-    max_activities: int = MAX_MODEL_ACTIVITIES,
+    max_activities: int | None = None,
     steps: DataFrame | None = None,
 ) -> ProcessTree:
     """A block-structured model of the log; behaviour rarer than ``noise`` does not stop a cut.
 
-    Runs one small Spark job per level of the model, at call time. The counts of activity pairs come to the driver, so
-    it raises when the log has more than ``max_activities`` activities, by exact count. ``steps`` is the result of ``variant_steps`` where the caller already has it.
+    Runs a few small Spark jobs per level of the model, at call time. A block without a cut is divided by a fall-through: an
+    activity that every trace has once or without which there is a cut runs beside the rest, rounds that begin anew are a loop;
+    only where none applies is it a flower. The counts of the pairs of activities that follow each other come to the driver;
+    with ``max_activities`` a log of more activities raises instead, by exact count. ``steps`` is the result of
+    ``variant_steps`` where the caller already has it.
     """
     events = usable(log)
     load = load or measure_cases(events)
-    alphabet(events, max_activities)
+    if max_activities is not None:
+        alphabet(events, max_activities)
     steps = variant_steps(log, load) if steps is None else steps
     state = steps.select(
         F.lit(0).alias("node"),
@@ -260,9 +157,13 @@ def discover_model(
     open_blocks = [0]
     while open_blocks:
         graphs = _graphs(state, load)
-        splits = []
+        splits, stuck = [], []
         for b in open_blocks:
-            splits += _decide(b, blocks, graphs, noise)
+            decided = _decide(b, blocks, graphs, noise)
+            splits += decided or []
+            stuck += [b] if decided is None else []
+        if stuck:
+            splits += _fall_through(stuck, blocks, graphs, state, noise, load)
         open_blocks = [c for s in splits for c in s.children]
         if splits:
             state = cut_lineage(_split(state, splits, load))
@@ -276,11 +177,13 @@ class _Split:
     parts: list[frozenset]
     filtered: bool
     children: tuple[int, ...]
+    ends: frozenset = frozenset()  # of the rounds of a block that is cut into rounds
+    starts: frozenset = frozenset()
 
 
-def _decide(b: int, blocks: dict[int, _Block], graphs: dict[int, _Graph], noise: float) -> list[_Split]:
-    """Close the block, or open its children."""
-    block_, g = blocks[b], graphs.get(b, _Graph())
+def _decide(b: int, blocks: dict[int, _Block], graphs: dict[int, Graph], noise: float) -> list[_Split] | None:
+    """Close the block, or open its children; None where nothing cuts it."""
+    block_, g = blocks[b], graphs.get(b, Graph())
     if not g.activities:
         block_.done = SILENT
         return []
@@ -295,11 +198,10 @@ def _decide(b: int, blocks: dict[int, _Block], graphs: dict[int, _Graph], noise:
         block_.done = leaf(only) if once else ProcessTree("loop", None, (leaf(only), SILENT))
         return []
     cut = find_cut(g, noise)
-    if cut is None:
-        flower = block("exclusive", [leaf(a) for a in g.activities])
-        block_.done = ProcessTree("loop", None, (SILENT, flower))
-        return []
-    kind, parts, filtered = cut
+    return None if cut is None else [_divide(b, blocks, g, *cut)]
+
+
+def _divide(b: int, blocks: dict[int, _Block], g: Graph, kind: str, parts: list[frozenset], filtered: bool) -> _Split:
     first = max(blocks) + 1
     children = tuple(range(first, first + len(parts)))
     for i, c in enumerate(children):
@@ -307,8 +209,32 @@ def _decide(b: int, blocks: dict[int, _Block], graphs: dict[int, _Graph], noise:
             blocks[c] = _Block(g.traces, children[1:] if kind == "loop" else ())
         else:
             blocks[c] = _Block(None)
-    block_.kind, block_.children = kind, children
-    return [_Split(b, kind, parts, filtered, children)]
+    blocks[b].kind, blocks[b].children = kind, children
+    return _Split(b, kind, parts, filtered, children)
+
+
+def _fall_through(
+    stuck: list[int], blocks: dict[int, _Block], graphs: dict[int, Graph], state: DataFrame, noise: float, load: CaseLoad
+) -> list[_Split]:
+    """Divide the blocks that have no cut, or close them as flowers."""
+    alone = once_per_trace(state, graphs, stuck)
+    rest = [b for b in stuck if b not in alone]
+    if rest:
+        alone |= beside_the_rest(state, graphs, rest, noise, load)
+    splits = []
+    for b in stuck:
+        g = graphs[b]
+        if b in alone:
+            others = frozenset(g.activities) - {alone[b]}
+            splits.append(_divide(b, blocks, g, "parallel", [frozenset([alone[b]]), others], False))
+        elif (borders := rounds(g)) is not None:
+            split = _divide(b, blocks, g, "rounds", [frozenset(g.activities)], False)
+            split.ends, split.starts = borders
+            splits.append(split)
+        else:
+            flower = block("exclusive", [leaf(a) for a in g.activities])
+            blocks[b].done = ProcessTree("loop", None, (SILENT, flower))
+    return splits
 
 
 def _tree(b: int, blocks: dict[int, _Block]) -> ProcessTree:
@@ -318,6 +244,10 @@ def _tree(b: int, blocks: dict[int, _Block]) -> ProcessTree:
     elif me.kind == "loop":
         body, *redo = [_tree(c, blocks) for c in me.children]
         tree = ProcessTree("loop", None, (body, block("exclusive", redo)))
+    elif me.kind == "rounds":
+        (body,) = [_tree(c, blocks) for c in me.children]
+        again = body.kind == "loop" and body.children[1] is SILENT
+        tree = body if again else ProcessTree("loop", None, (body, SILENT))
     else:
         tree = block(me.kind, [_tree(c, blocks) for c in me.children])
     return ProcessTree("exclusive", None, (SILENT, tree)) if me.optional and tree is not SILENT else tree
@@ -326,16 +256,18 @@ def _tree(b: int, blocks: dict[int, _Block]) -> ProcessTree:
 def _split(state: DataFrame, splits: list[_Split], load: CaseLoad) -> DataFrame:
     """Give every step its child block; steps of closed blocks fall away."""
     rows = [
-        (s.node, a, i, s.children[i]) for s in splits for i, part in enumerate(s.parts) for a in sorted(part)
-    ]
-    # One row per activity: bounded by max_activities.
-    where = state.sparkSession.createDataFrame(rows, "node int, act string, part int, child int")
+        (s.node, a, i, s.children[i], a in s.ends, a in s.starts)
+        for s in splits for i, part in enumerate(s.parts) for a in sorted(part)
+    ]
+    # One row per activity and open block.
+    where = state.sparkSession.createDataFrame(rows, "node int, act string, part int, child int, ends boolean, starts boolean")
     placed = state.join(F.broadcast(where), ["node", "act"])
     ways = {
-        "map": [s.node for s in splits if s.kind == "parallel" or (s.kind != "loop" and not s.filtered)],
+        "map": [s.node for s in splits if s.kind == "parallel" or (s.kind not in ("loop", "rounds") and not s.filtered)],
         "exclusive": [s.node for s in splits if s.kind == "exclusive" and s.filtered],
         "sequence": [s.node for s in splits if s.kind == "sequence" and s.filtered],
         "loop": [s.node for s in splits if s.kind == "loop"],
+        "rounds": [s.node for s in splits if s.kind == "rounds"],
     }
     out = None
     for way, nodes in ways.items():
@@ -348,6 +280,8 @@ def _split(state: DataFrame, splits: list[_Split], load: CaseLoad) -> DataFrame:
             steps = _keep_in_order(steps, max(len(s.parts) for s in splits if s.node in nodes), load)
         elif way == "loop":
             steps = _cut_runs(steps, load)
+        elif way == "rounds":
+            steps = cut_rounds(steps, load)
         steps = steps.select(F.col("child").alias("node"), "trace", "seg", "pos", "act", "n")
         out = steps if out is None else out.unionByName(steps)
     return out
@@ -355,9 +289,9 @@ def _split(state: DataFrame, splits: list[_Split], load: CaseLoad) -> DataFrame:
 
 def _keep_main_part(steps: DataFrame) -> DataFrame:
     """Of a trace that mixes alternatives, the one with most steps (the first one on a tie)."""
-    counts = steps.groupBy(*_TRACE, "part").agg(F.count(F.lit(1)).alias("c"))
-    main = counts.groupBy(*_TRACE).agg(F.max_by("part", F.struct("c", -F.col("part"))).alias("main"))
-    return balanced_join(steps, main, [(c, c) for c in _TRACE], "inner").where(F.col("part") == F.col("main"))
+    counts = steps.groupBy(*TRACE, "part").agg(F.count(F.lit(1)).alias("c"))
+    main = counts.groupBy(*TRACE).agg(F.max_by("part", F.struct("c", -F.col("part"))).alias("main"))
+    return balanced_join(steps, main, [(c, c) for c in TRACE], "inner").where(F.col("part") == F.col("main"))
 
 
 def _keep_in_order(steps: DataFrame, parts: int, load: CaseLoad) -> DataFrame:
@@ -368,18 +302,18 @@ def _keep_in_order(steps: DataFrame, parts: int, load: CaseLoad) -> DataFrame:
     """
     cuts = range(1, parts)
     signs = {f"s{i}": F.when(F.col("part") >= i, 1).otherwise(-1) for i in cuts}
-    summed = running(steps, _TRACE, ["pos"], signs, load)
-    best = summed.groupBy(*_TRACE).agg(*[F.min(F.struct(f"s{i}", "pos")).alias(f"m{i}") for i in cuts])
+    summed = running(steps, TRACE, ["pos"], signs, load)
+    best = summed.groupBy(*TRACE).agg(*[F.min(F.struct(f"s{i}", "pos")).alias(f"m{i}") for i in cuts])
     after = [F.when(F.col(f"m{i}")[f"s{i}"] < 0, F.col(f"m{i}")["pos"]).otherwise(F.lit(0)) for i in cuts]
-    bounds = best.select(*_TRACE, F.array(F.lit(0).cast("long"), *after, F.lit(2**62)).alias("cut"))
-    joined = balanced_join(steps, bounds, [(c, c) for c in _TRACE], "inner")
+    bounds = best.select(*TRACE, F.array(F.lit(0).cast("long"), *after, F.lit(2**62)).alias("cut"))
+    joined = balanced_join(steps, bounds, [(c, c) for c in TRACE], "inner")
     low, high = F.get("cut", F.col("part")), F.get("cut", F.col("part") + 1)
     return joined.where((F.col("pos") > low) & (F.col("pos") <= high))
 
 
 def _cut_runs(steps: DataFrame, load: CaseLoad) -> DataFrame:
     """Every run of steps in the same loop part becomes a trace of that part, named by its first position."""
-    seen = neighbours(steps, _TRACE, ["pos"], ["part"], load)
+    seen = neighbours(steps, TRACE, ["pos"], ["part"], load)
     changed = F.when(~F.col("part").eqNullSafe(F.col("_prev_part")), F.col("pos"))
     seen = seen.select(*steps.columns, changed.alias("_from"))
-    return running(seen, _TRACE, ["pos"], {"_run": F.col("_from")}, load, "max").withColumn("seg", F.col("_run"))
+    return running(seen, TRACE, ["pos"], {"_run": F.col("_from")}, load, "max").withColumn("seg", F.col("_run"))

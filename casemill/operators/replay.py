@@ -1,14 +1,17 @@
 """Token-based replay of a log on a process model.
 
-Only the variants are replayed, in Arrow batches. A long variant is cut into chunks that are replayed in
-parallel from every marking that can occur; the chunk results are then chained like functions, so no task
-ever walks through a whole giant case.
+Only the variants are replayed, in Arrow batches. Replay and the exact test whether a trace is in the language are
+machines whose state after a step depends on the state before and the activity alone. A long variant is cut into chunks,
+and every chunk is a link from the state it begins with to the state it ends with. Links are made ahead from likely
+states: the first one of the machine, then what the chunk before ended with. They are chained like functions; where the chain
+of a variant meets a state no link begins with, links from that state are added, to all later chunks at once in the first
+rounds, and along the chain for twice as many chunks as the round before. So rounds grow with the logarithm of the
+chunks for any number of states, and a trace has the same result at any chunk length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -21,36 +24,66 @@ from casemill.functions.net import Net, Replayer, net_of
 from casemill.operators.joins import balanced_join
 from casemill.operators.model import ProcessTree, discover_model
 from casemill.operators.ordering import CaseLoad, measure_cases
-from casemill.operators.variants import case_signatures, case_variants, variant_steps
+from casemill.operators.variants import case_signatures, case_variants, ranked_events, variant_steps
 from casemill.session import cut_lineage
 
 # The replay code travels with the task, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(net_module)
 
 CHUNK = 10_000  # steps of a variant that one row may hold; an Arrow batch has up to 10,000 rows
-MAX_MARKINGS = 2_000  # markings to try per chunk before chunks are taken one after the other
 FAN_IN = 256  # chunk results that are chained in one group
+SPREADS = 6  # rounds in which a state the chain met is tried on all later chunks
+AHEAD = 64  # chunks that are walked along the chain in the first round
 COUNTS = ("produced", "consumed", "missing", "remaining")
 _COUNTS_SCHEMA = ", ".join(f"{c} long" for c in COUNTS)
+_LINK = ["first_case", "chunk", "start", "end", *COUNTS]
+
+
+class _Tokens:
+    """Replay as a machine: the state is a marking, a link carries what was counted."""
+
+    def __init__(self, net: Net):
+        self.player = Replayer(net)
+        self.first = format(Replayer.START, "x")
+
+    def run(self, state: str, names: list[str]) -> tuple[str, tuple]:
+        marking, counts = self.player.run(int(state, 16), names)
+        return format(marking, "x"), counts
+
+
+class _Language:
+    """Membership as a machine: the state is the set of markings a trace in the language can be in."""
+
+    def __init__(self, net: Net):
+        self.player = Replayer(net)
+        self.first = self._text(self.player.first())
+
+    @staticmethod
+    def _text(markings: frozenset[int]) -> str:
+        return ",".join(format(m, "x") for m in sorted(markings))
+
+    def run(self, state: str, names: list[str]) -> tuple[str, tuple]:
+        at = frozenset(int(m, 16) for m in state.split(",")) if state else frozenset()
+        return self._text(self.player.follow(at, names)) if at else "", (0, 0, 0, 0)
 
 
 def replay_variants(
-    steps: DataFrame, model: ProcessTree, longest: int, chunk: int = CHUNK, max_markings: int = MAX_MARKINGS
+    steps: DataFrame, model: ProcessTree, longest: int, chunk: int = CHUNK, ahead: int = AHEAD, fan_in: int = FAN_IN
 ) -> DataFrame:
     """(first_case, length, n, produced, consumed, missing, remaining) per variant.
 
-    ``steps`` is the result of ``variant_steps``; ``longest`` is a bound of the longest variant. Below
-    ``chunk`` everything is one lazy pass, and a trace fits if and only if the model allows it. Longer variants are
-    judged by replay alone, which takes the shortest silent way: where a model has several, a fitting trace can be
-    found at fault.
+    ``steps`` is the result of ``variant_steps``; ``longest`` is a bound of the longest variant. Below ``chunk`` everything
+    is one lazy pass. Replay takes the shortest silent way, which may be the wrong one of several; a trace that it finds at
+    fault but that is in the language has nothing missing or remaining, whatever its length.
     """
     net = net_of(model)
     labels = [*model.labels(), ""]  # an activity the model does not know has number -1 and finds the last entry
-    code = (F.array_position(F.array(*[F.lit(x) for x in labels[:-1]]), F.col(ACTIVITY)) - 1).cast("int").alias("code")
+    names = steps.sparkSession.createDataFrame([(x, i) for i, x in enumerate(labels[:-1])], f"{ACTIVITY} string, code int")
     key_type = steps.schema["first_case"].dataType.simpleString()
     part = F.floor((F.col("position") - 1) / chunk).cast("long")
-    rows = steps.groupBy("first_case", "length", "n", part.alias("chunk")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("position", code))), lambda s: s["code"]).alias("acts")
+    coded = steps.join(F.broadcast(names), ACTIVITY, "left").withColumn("code", F.coalesce("code", F.lit(-1)))  # a row per label
+    rows = coded.groupBy("first_case", "length", "n", part.alias("chunk")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "code"))), lambda s: s["code"]).alias("acts")
     )
     short = rows.where(F.col("length") <= chunk).select("first_case", "length", "n", "acts")
 
@@ -66,24 +99,11 @@ def replay_variants(
     if longest <= chunk or not steps.where(F.col("length") > chunk).limit(1).collect():
         return done
     long = cut_lineage(rows.where(F.col("length") > chunk))
-    return done.unionByName(_replay_long(long, net, labels, key_type, max_markings))
-
-
-def _replay_long(long: DataFrame, net: Net, labels: list[str], key_type: str, max_markings: int) -> DataFrame:
-    known = {Replayer.START}
-    new = [Replayer.START]
-    runs = []
-    while new and len(known) <= max_markings:
-        runs.append(cut_lineage(_run_chunks(long, net, labels, key_type, new)))
-        ends = [int(r["end"], 16) for r in runs[-1].select("end").distinct().limit(max_markings + 1).collect()]
-        new = sorted(set(ends) - known)
-        known |= set(new)
-    if len(known) <= max_markings:
-        chained = _chain(reduce(DataFrame.unionByName, runs), key_type)
-    else:
-        chained = _one_by_one(long, net, labels, key_type)
-    variants = long.select("first_case", "length", "n").distinct()
-    ended = variants.join(chained, "first_case")
+    return done.unionByName(_replay_long(long, net, labels, key_type, ahead, fan_in))
+
+
+def _replay_long(long: DataFrame, net: Net, labels: list[str], key_type: str, ahead: int, fan_in: int) -> DataFrame:
+    ended = _ends(long, _Tokens, net, labels, key_type, ahead, fan_in)
 
     def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         player = Replayer(net)
@@ -92,79 +112,102 @@ def _replay_long(long: DataFrame, net: Net, labels: list[str], key_type: str, ma
             batch[list(COUNTS)] = batch[list(COUNTS)] + last
             yield batch.drop(columns="end")
 
-    return ended.select("first_case", "length", "n", "end", *COUNTS).mapInPandas(
-        close, f"first_case {key_type}, length long, n long, {_COUNTS_SCHEMA}"
-    )
-
-
-def _run_chunks(long: DataFrame, net: Net, labels: list[str], key_type: str, markings: list[int]) -> DataFrame:
-    """(first_case, chunk, start, end, counts): every chunk from every given marking."""
+    variants = long.select("first_case", "length", "n").distinct()
+    counts = variants.join(ended, "first_case").select("first_case", "length", "n", "end", *COUNTS)
+    counts = cut_lineage(counts.mapInPandas(close, f"first_case {key_type}, length long, n long, {_COUNTS_SCHEMA}"))
+    faulty = counts.where((F.col("missing") > 0) | (F.col("remaining") > 0)).select("first_case")
+    doubtful = cut_lineage(long.join(faulty, "first_case", "left_semi"))
+    if doubtful.isEmpty():
+        return counts
+    sink = format(Replayer.SINK, "x")
+    known = _ends(doubtful, _Language, net, labels, key_type, ahead, fan_in)
+    allowed = known.where(F.array_contains(F.split("end", ","), sink)).select("first_case", F.lit(True).alias("allowed"))
+    judged = counts.join(allowed, "first_case", "left")
+    none = {c: F.when(F.col("allowed"), 0).otherwise(F.col(c)) for c in ("missing", "remaining")}
+    return judged.withColumns(none).drop("allowed")
+
+
+def _ends(long: DataFrame, machine: type, net: Net, labels: list[str], key_type: str, ahead: int, fan_in: int) -> DataFrame:
+    """(first_case, end, counts): the last state of every variant of ``long`` (first_case, chunk, acts)."""
+    schema = f"first_case {key_type}, chunk long, start string, end string, {_COUNTS_SCHEMA}"
+    first = machine(net).first
+    chunks = long.select("first_case", "chunk", "acts")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        player = Replayer(net)
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links from the given states."""
+        at = machine(net)
         for batch in batches:
             rows = []
-            for case, chunk, acts in zip(batch["first_case"], batch["chunk"], batch["acts"]):
-                names = [labels[i] for i in acts]
-                for marking in markings:
-                    end, counts = player.run(marking, names)
-                    rows.append((case, chunk, format(marking, "x"), format(end, "x"), *counts))
-            yield pd.DataFrame(rows, columns=["first_case", "chunk", "start", "end", *COUNTS])
-
-    schema = f"first_case {key_type}, chunk long, start string, end string, {_COUNTS_SCHEMA}"
-    return long.select("first_case", "chunk", "acts").mapInPandas(run, schema)
-
-
-def _chain(runs: DataFrame, key_type: str) -> DataFrame:
-    """(first_case, end, counts) from the first marking, chaining FAN_IN neighbouring chunks per round."""
-    schema = f"first_case {key_type}, chunk long, start string, end string, {_COUNTS_SCHEMA}"
+            for case, chunk, acts, start in zip(batch["first_case"], batch["chunk"], batch["acts"], batch["start"]):
+                end, counts = at.run(start, [labels[i] for i in acts])
+                rows.append((case, chunk, start, end, *counts))
+            yield pd.DataFrame(rows, columns=_LINK)
+
+    def along(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links along the chain, from the given state of the first chunk of each variant; rows come in order."""
+        at, case, state = machine(net), None, None
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                if r.first_case != case:
+                    case, state = r.first_case, r.start
+                end, counts = at.run(state, [labels[i] for i in r.acts])
+                rows.append((case, r.chunk, state, end, *counts))
+                state = end
+            yield pd.DataFrame(rows, columns=_LINK)
+
+    links = cut_lineage(chunks.withColumn("start", F.lit(first)).mapInPandas(each, schema))
+    guesses = links.select("first_case", (F.col("chunk") + 1).alias("chunk"), F.col("end").alias("start"))
+    guesses = chunks.join(guesses.where(F.col("start") != first), ["first_case", "chunk"])
+    links = cut_lineage(links.unionByName(guesses.select("first_case", "chunk", "acts", "start").mapInPandas(each, schema)))
+    turn = 0
+    while True:
+        chained = cut_lineage(_chain(links, key_type, first, fan_in))
+        met = chained.where("met is not null").select("first_case", F.col("met").alias("from"), F.col("end").alias("start"))
+        if met.isEmpty():
+            return chained.select("first_case", "end", *COUNTS)
+        later = chunks.join(met, "first_case").where(F.col("chunk") >= F.col("from"))
+        walked = later.where(F.col("chunk") < F.col("from") + ahead * 2**turn).select("first_case", "chunk", "acts", "start")
+        walked = walked.repartition("first_case").sortWithinPartitions("first_case", "chunk").mapInPandas(along, schema)
+        new = walked
+        if turn < SPREADS:
+            new = new.unionByName(later.select("first_case", "chunk", "acts", "start").mapInPandas(each, schema))
+        new = new.join(links, ["first_case", "chunk", "start"], "left_anti").dropDuplicates(["first_case", "chunk", "start"])
+        links = cut_lineage(links.unionByName(new))
+        turn += 1
+
+
+def _chain(links: DataFrame, key_type: str, first: str, fan_in: int = FAN_IN) -> DataFrame:
+    """(first_case, end, met, counts) from the first state, chaining ``fan_in`` neighbouring chunks per round. Where the chain
+    meets a state that no link of the next chunk begins with, ``met`` is that chunk and ``end`` the state."""
+    schema = f"first_case {key_type}, chunk long, start string, end string, met long, {_COUNTS_SCHEMA}"
 
     def together(group: pd.DataFrame) -> pd.DataFrame:
-        at = {}
-        for chunk, part in group.sort_values("chunk").groupby("chunk", sort=True):
-            step = {r.start: (r.end, r.produced, r.consumed, r.missing, r.remaining) for r in part.itertuples()}
+        at, scale = {}, int(group["scale"].iloc[0])
+        for chunk, part in group.groupby("chunk", sort=True):
+            step = {r.start: (r.end, r.met, r.produced, r.consumed, r.missing, r.remaining) for r in part.itertuples()}
             if not at:
                 at = step
-            else:
-                at = {
-                    s: (step[e][0], *(x + y for x, y in zip(counts, step[e][1:])))
-                    for s, (e, *counts) in at.items()
-                    if e in step
-                }
-        case, number = group["first_case"].iloc[0], group["chunk"].iloc[0] // FAN_IN
-        rows = [(case, number, s, *v) for s, v in at.items()]
-        return pd.DataFrame(rows, columns=["first_case", "chunk", "start", "end", *COUNTS])
-
-    while runs.agg(F.max("chunk")).first()[0] > 0:
-        up = runs.withColumn("_g", F.floor(F.col("chunk") / FAN_IN))
-        runs = cut_lineage(up.groupBy("first_case", "_g").applyInPandas(lambda g: together(g.drop(columns="_g")), schema))
-    return runs.where(F.col("start") == format(Replayer.START, "x")).select("first_case", "end", *COUNTS)
-
-
-def _one_by_one(long: DataFrame, net: Net, labels: list[str], key_type: str) -> DataFrame:
-    """The same as ``_chain`` for models with very many markings: one job per chunk number, all cases at once."""
-    state = long.select("first_case").distinct().select(
-        "first_case", F.lit(format(Replayer.START, "x")).alias("end"), *[F.lit(0).cast("long").alias(c) for c in COUNTS]
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        player = Replayer(net)
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples():
-                if r.acts is None:
-                    rows.append((r.first_case, r.end, r.produced, r.consumed, r.missing, r.remaining))
+                continue
+            for s, (end, met, *counts) in at.items():
+                if met >= 0:
+                    continue
+                if end in step:
+                    then, met, *more = step[end]
+                    at[s] = (then, met, *(x + y for x, y in zip(counts, more)))
                 else:
-                    end, counts = player.run(int(r.end, 16), [labels[i] for i in r.acts])
-                    seen = (r.produced, r.consumed, r.missing, r.remaining)
-                    rows.append((r.first_case, format(end, "x"), *net_module.add(seen, counts)))
-            yield pd.DataFrame(rows, columns=["first_case", "end", *COUNTS])
+                    at[s] = (end, chunk * scale, *counts)
+        case, number = group["first_case"].iloc[0], group["chunk"].iloc[0] // fan_in
+        return pd.DataFrame([(case, number, s, *v) for s, v in at.items()], columns=[*_LINK[:4], "met", *COUNTS])
 
-    for number in range(long.agg(F.max("chunk")).first()[0] + 1):
-        part = long.where(F.col("chunk") == number).select("first_case", "acts")
-        joined = state.join(part, "first_case", "left")
-        state = cut_lineage(joined.mapInPandas(run, f"first_case {key_type}, end string, {_COUNTS_SCHEMA}"))
-    return state
+    scale, most = 1, links.agg(F.max("chunk")).first()[0]
+    runs = links.withColumn("met", F.lit(-1).cast("long"))
+    while most > 0:
+        groups = runs.withColumn("scale", F.lit(scale)).groupBy("first_case", F.floor(F.col("chunk") / fan_in))
+        runs = groups.applyInPandas(together, schema)
+        scale, most = scale * fan_in, most // fan_in
+    runs = runs.where(F.col("start") == first)
+    return runs.select("first_case", "end", F.when(F.col("met") >= 0, F.col("met")).alias("met"), *COUNTS)
 
 
 def with_fitness(counts: DataFrame) -> DataFrame:
@@ -188,7 +231,10 @@ def replay(
     already has them.
     """
     load = load or measure_cases(usable(log))
-    signatures = cut_lineage(case_signatures(log, load)) if signatures is None else signatures
+    if signatures is None:
+        ranked = ranked_events(log, load)
+        signatures = cut_lineage(case_signatures(log, load, ranked))
+        steps = variant_steps(log, load, signatures, ranked) if steps is None else steps
     steps = variant_steps(log, load, signatures) if steps is None else steps
     results = cut_lineage(with_fitness(replay_variants(steps, model, load.events)).drop("length", "n"))
     joined = balanced_join(case_variants(log, load, signatures), results, [("first_case", "first_case")], "inner")
@@ -204,7 +250,7 @@ def fitness(
     Status is good above an average of 0.8.
     """
     load = load or measure_cases(usable(log))
-    steps = variant_steps(log, load, cut_lineage(case_signatures(log, load)))
+    steps = variant_steps(log, load, ranked=ranked_events(log, load))
     if model is None:
         steps = cut_lineage(steps)
         model = discover_model(log, noise, load, steps=steps)

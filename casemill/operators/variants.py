@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 from casemill.functions.columns import ACTIVITY, CASE, mining_order, usable, variant_label
 from casemill.operators.joins import balanced_join, fits_broadcast
 from casemill.operators.ordering import BROADCAST_KEYS, CaseLoad, measure_cases, sequence, split_hot
-from casemill.session import cut_lineage
+from casemill.session import cut_lineage, written
 
 SIGNATURE = ("length", "h1", "h2")
 
 
-def case_signatures(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
-    """(case_id, length, h1, h2): equal signatures mean equal activity sequences."""
-    return _signatures(sequence(log, [], load))
+def ranked_events(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
+    """(case_id, _rank, activity), written: what signatures, counts and steps of variants are made of, ranked once."""
+    return written(sequence(log, [], load).select(CASE, "_rank", ACTIVITY), "ranked")
+
+
+def case_signatures(log: DataFrame, load: CaseLoad | None = None, ranked: DataFrame | None = None) -> DataFrame:
+    """(case_id, length, h1, h2): equal signatures mean equal activity sequences. ``ranked``: see ``ranked_events``."""
+    return _signatures(sequence(log, [], load) if ranked is None else ranked)
 
 
 def _signatures(ranked: DataFrame) -> DataFrame:
@@ -83,15 +88,21 @@ def _heads(ranked: DataFrame, chosen: DataFrame, few: bool) -> DataFrame:
 
 
 def variant_steps(
-    log: DataFrame, load: CaseLoad | None = None, signatures: DataFrame | None = None
+    log: DataFrame, load: CaseLoad | None = None, signatures: DataFrame | None = None, ranked: DataFrame | None = None
 ) -> DataFrame:
     """(first_case, position, activity, length, n): all variants in long form, positions from 1.
 
-    With the written result of ``case_signatures``, only the variants' first cases are ranked.
+    With the written result of ``case_signatures``, only the variants' first cases are ranked; with that of ``ranked_events``
+    nothing is ranked again.
     """
     events = usable(log)
     load = load or measure_cases(events)
-    if signatures is None:
+    if ranked is not None:
+        counts = cut_lineage(_variant_counts(_signatures(ranked) if signatures is None else signatures))
+        ranked = ranked.select(CASE, F.col("_rank").alias("position"), ACTIVITY)
+        if fits_broadcast(counts.select("first_case")):
+            counts = F.broadcast(counts)
+    elif signatures is None:
         ranked = sequence(log, [], load).select(CASE, F.col("_rank").alias("position"), ACTIVITY)
         counts = _variant_counts(_signatures(ranked.withColumnRenamed("position", "_rank")))
     else:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from casemill.operators import cases, conformance, dfg, variants
 from casemill.operators.model import SILENT, ProcessTree, allowed_pairs, block, discover_model, leaf
-from casemill.operators.ordering import measure_cases
+from casemill.operators.ordering import measure_cases, sequence
 from casemill.operators.replay import fitness, replay
 from casemill.session import cut_lineage
 
@@ -198,25 +198,77 @@ def slowest(spark, sf):
     return dfg.bottlenecks(log, load=load).withColumn("mean_hours", F.round("mean_hours", 4))
 
 
-@check("h15_discover_model")
+# Activities that do not follow each other both ways are one group; groups that can each start and end a case run side by side.
+# Where the same holds for the activities of every group in the cases without the others, all of them run side by side:
+# optional where at least a fifth of the cases are without, repeated where a case has one more than once.
+_SIDE_BY_SIDE_SQL = f"""RECURSIVE {_EDGES_SQL}, acts AS (SELECT DISTINCT activity AS a FROM raw),
+apart AS (SELECT x.a, y.a AS b FROM acts AS x JOIN acts AS y ON x.a <> y.a LEFT JOIN edges AS e ON e.src = x.a AND e.tgt = y.a
+  LEFT JOIN edges AS f ON f.src = y.a AND f.tgt = x.a WHERE e.src IS NULL OR f.src IS NULL),
+near AS (SELECT a, a AS b FROM acts UNION SELECT near.a, apart.b FROM near JOIN apart ON apart.a = near.b),
+grp AS (SELECT a AS activity, min(b) AS g FROM near GROUP BY 1),
+cut AS (SELECT *, lag(activity) OVER w AS before, lead(activity) OVER w AS after, lag(activity) OVER c AS any_before, lead(activity) OVER c AS any_after
+  FROM raw JOIN grp USING (activity) WINDOW w AS (PARTITION BY case_id, g ORDER BY event_timestamp, source_seq, event_id),
+  c AS (PARTITION BY case_id ORDER BY event_timestamp, source_seq, event_id)),
+whole AS (SELECT bool_and(starts AND ends) AND count(*) > 1 AS ok FROM (
+  SELECT g, bool_or(any_before IS NULL) AS starts, bool_or(any_after IS NULL) AS ends FROM cut GROUP BY g)),
+inner_pairs AS (SELECT DISTINCT activity, after FROM cut),
+inner_whole AS (SELECT bool_and(EXISTS (SELECT 1 FROM inner_pairs AS p WHERE p.activity = x.activity AND p.after = y.activity)
+  AND EXISTS (SELECT 1 FROM cut WHERE cut.activity = x.activity AND before IS NULL)
+  AND EXISTS (SELECT 1 FROM inner_pairs AS p WHERE p.activity = x.activity AND p.after IS NULL)) AS ok
+  FROM grp AS x JOIN grp AS y ON x.g = y.g AND x.activity <> y.activity),
+per AS (SELECT activity, case_id, count(*) AS c FROM raw GROUP BY 1, 2), cases AS (SELECT count(DISTINCT case_id) AS n FROM raw),
+parts AS (SELECT g, activity, CASE WHEN max(c) > 1 THEN 'loop(''' || activity || ''', tau)' ELSE '''' || activity || '''' END AS part,
+  any_value(n) > count(*) AND any_value(n) - count(*) >= 0.2 * any_value(n) AS optional
+  FROM per JOIN grp USING (activity) CROSS JOIN cases GROUP BY 1, 2)"""
+
+
+@check(
+    "h15_discover_model",
+    f"""WITH {_SIDE_BY_SIDE_SQL} SELECT CASE WHEN (SELECT ok FROM whole) AND (SELECT ok FROM inner_whole)
+  THEN 'parallel(' || string_agg(CASE WHEN optional THEN 'exclusive(tau, ' || part || ')' ELSE part END, ', ' ORDER BY g, activity) || ')' END AS model,
+  CAST(count(*) AS INTEGER) AS activities FROM parts""",
+)
 def model(spark, sf):
     log, load = o2c(spark, sf)
     tree = discover_model(log, 0.2, load)
     return spark.createDataFrame([(str(tree), len(tree.labels()))], "model string, activities int")
 
 
-@check("h16_replay")
+# Replay on that model by counting: the split makes three tokens of one; an order takes and gives one, items and returns with
+# the silent step before them two; the ways out, the join and the sink follow where orders and items are there.
+_DISCOVERED_SQL = f"""{RAW_SQL}, c AS (SELECT case_id, count(*) FILTER (activity = 'Create Order') AS o, count(*) FILTER (activity = 'Return Item') AS r,
+  count(*) FILTER (activity = 'Ship Item') AS s FROM raw GROUP BY 1),
+counts AS (SELECT case_id, 4 + o + 2 * r + 2 * s + CASE WHEN o > 0 AND s > 0 THEN 3 ELSE 0 END AS produced,
+  2 + o + 2 * r + 2 * s + CASE WHEN o > 0 AND s > 0 THEN 5 ELSE 0 END AS consumed,
+  greatest(o - 1, 0) + CASE WHEN o > 0 AND s > 0 THEN 0 ELSE 1 END AS missing,
+  greatest(o - 1, 0) + CASE WHEN o > 0 AND s > 0 THEN 0 ELSE 3 END AS remaining FROM c),
+judged AS (SELECT *, 1 - (missing / consumed + remaining / produced) / 2 AS fitness, missing = 0 AND remaining = 0 AS fits
+  FROM counts)"""
+
+
+@check(
+    "h16_replay",
+    f"""WITH {_DISCOVERED_SQL} SELECT case_id, produced, consumed, missing, remaining, round(fitness, 6) AS fitness, fits FROM judged""",
+)
 def replayed(spark, sf):
     log, load = o2c(spark, sf)
-    signatures = cut_lineage(variants.case_signatures(log, load))
-    steps = cut_lineage(variants.variant_steps(log, load, signatures))
-    return replay(log, discover_model(log, 0.2, load, steps=steps), load, steps, signatures)
+    ranked = variants.ranked_events(log, load)
+    signatures = cut_lineage(variants.case_signatures(log, load, ranked))
+    steps = cut_lineage(variants.variant_steps(log, load, signatures, ranked))
+    out = replay(log, discover_model(log, 0.2, load, steps=steps), load, steps, signatures)
+    return out.withColumn("fitness", F.round("fitness", 6))
 
 
-@check("h17_fitness")
+@check(
+    "h17_fitness",
+    f"""WITH {_DISCOVERED_SQL} SELECT count(*) AS cases, round(avg(fitness), 6) AS average_trace_fitness,
+  round(count(*) FILTER (fits) * 100.0 / count(*), 4) AS pct_fitting,
+  CASE WHEN avg(fitness) > 0.8 THEN 'good' ELSE 'warning' END AS status FROM judged""",
+)
 def fit(spark, sf):
     log, load = o2c(spark, sf)
-    return fitness(log, noise=0.2, load=load)
+    out = fitness(log, noise=0.2, load=load)
+    return out.withColumns({c: F.round(c, d) for c, d in (("average_trace_fitness", 6), ("pct_fitting", 4))})
 
 
 @check(
@@ -243,6 +295,37 @@ def allows_own_log(spark, sf):
     )
 
 
+_ROUNDS_SQL = f"""{DAYS_SQL}, steps AS (SELECT case_id, event_timestamp, event_id,
+  row_number() OVER (PARTITION BY case_id ORDER BY event_timestamp, event_id) % 3 AS k FROM days),
+named AS (SELECT *, CASE k WHEN 1 THEN 'open' WHEN 2 THEN 'read' ELSE 'close' END AS a, (k + 2) % 3 AS place FROM steps),
+pairs AS (SELECT a AS src, lead(a) OVER (PARTITION BY case_id ORDER BY event_timestamp, event_id) AS tgt FROM named),
+names AS (SELECT DISTINCT a, place FROM named)"""
+
+
+@check(
+    "h15_rounds_of_visits",
+    f"""WITH {_ROUNDS_SQL} SELECT x.a AS src, y.a AS tgt,
+  (SELECT count(*) FROM pairs WHERE src = x.a AND tgt = y.a) AS freq,
+  x.place < y.place OR (y.place = 0 AND EXISTS (SELECT 1 FROM pairs WHERE src = x.a AND tgt IS NULL)) AS allowed,
+  CAST(100 AS DOUBLE) AS pct_fitting FROM names AS x, names AS y""",
+)
+def rounds_of_visits(spark, sf):
+    """The events of a day named in turn open, read and close: their graph is a circle without a cut, and the days can end
+    anywhere in it. The model is a loop of rounds that may stop early: it allows these pairs, those that skip and those that
+    begin a round anew, and no others."""
+    log, _ = clicks_by_day(spark, sf)
+    ranked = sequence(log, [])
+    name = F.element_at(F.array(F.lit("open"), F.lit("read"), F.lit("close")), ((F.col("_rank") - 1) % 3 + 1).cast("int"))
+    log = cut_lineage(ranked.withColumn("activity", name).select(*log.columns))
+    model_ = discover_model(log, 0.0)
+    names = log.select("activity").distinct()
+    pairs = names.withColumnRenamed("activity", "src").join(names.withColumnRenamed("activity", "tgt"))  # nine rows
+    allowed = spark.createDataFrame([(a, b, True) for a, b in sorted(allowed_pairs(model_))], "src string, tgt string, allowed boolean")
+    out = pairs.join(allowed, ["src", "tgt"], "left").join(dfg.dfg(log), ["src", "tgt"], "left")
+    out = out.select("src", "tgt", F.coalesce("freq", F.lit(0)).alias("freq"), F.coalesce("allowed", F.lit(False)).alias("allowed"))
+    return out.join(fitness(log, model_).select("pct_fitting"))
+
+
 _ORDER, _SHIP, _RETURN = leaf("Create Order"), leaf("Ship Item"), leaf("Return Item")
 _IN_ANY_ORDER = ProcessTree(
     "parallel",

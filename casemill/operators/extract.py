@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, as_timestamp, column, event_id, micros, type_of
-from casemill.operators.joins import balanced_join
+from casemill.operators.joins import balanced_join, fits_broadcast
 from casemill.operators.ordering import CaseLoad, measure_cases, neighbours
+from casemill.session import cut_lineage
 from casemill.sources.config import EventSpec, SourceSpec
 
 
@@ -67,7 +68,8 @@ def _attribute_type(df: DataFrame, source: SourceSpec, name: str) -> str:
 
 
 def _row_id(df: DataFrame, source: SourceSpec) -> list[Column]:
-    """What names a row: its key, or else 128 bits of hashes of all its columns (rows that are equal share them)."""
+    """What names a row: its key, or else 128 bits of hashes of all its columns (rows that are equal share them, see
+    ``_with_copies``)."""
     if source.key:
         return [column(df, k) for k in source.key]
     fields = [(f"`{f.name}`", "map" in f.dataType.simpleString()) for f in df.schema.fields]
@@ -75,13 +77,45 @@ def _row_id(df: DataFrame, source: SourceSpec) -> list[Column]:
     return [F.xxhash64(*values), F.xxhash64(F.lit(1), *values)]
 
 
+def _with_copies(df: DataFrame, ids: list[Column]) -> DataFrame:
+    """``df`` with ``_copy``, the number of a row among the rows that are equal to it, from 0.
+
+    Hashes that occur more than once are counted at call time; without any, nothing else is done. Rows that have one are
+    numbered within the partition they are read in, and partitions are told where to begin by their counts, so equal rows
+    are never gathered. They are interchangeable: whichever gets a number, the rows with their numbers are the same.
+    """
+    names = ["_h1", "_h2"]
+    hashed = df.withColumns(dict(zip(names, ids)))
+    repeated = hashed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*names)
+    repeated = cut_lineage(repeated)
+    if repeated.isEmpty():
+        return df.withColumn("_copy", F.lit(0).cast("long"))
+    if fits_broadcast(repeated):
+        repeated = F.broadcast(repeated)
+    placed = hashed.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    copies = cut_lineage(placed.join(repeated, names, "left_semi"))
+    earlier = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = copies.groupBy(*names, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*names, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy(*names, "_part").orderBy("_at")) - 1
+    copies = copies.withColumn("_here", here).join(counts, [*names, "_part"])
+    copies = copies.withColumn("_copy", F.col("_here") + F.col("_before"))
+    single = hashed.join(repeated, names, "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    return single.unionByName(copies.select(*single.columns)).drop(*names)
+
+
 def extract_source(df: DataFrame, source: SourceSpec, keep_null_ts: bool = False) -> DataFrame:
     """All events of a source in one scan: each row is repeated for the events it stands for.
 
     Only the event numbers are exploded and the event columns are chosen by number, so a query that needs
     few of them reads few source columns. Conditions and the null-timestamp guard are applied per event.
-    ``keep_null_ts`` leaves rows without a time in place, which is what the mapping test counts.
+    ``keep_null_ts`` leaves rows without a time in place, which is what the mapping test counts. A source without a key is
+    searched for equal rows at call time, whose events get ids of their own.
     """
+    row_id = _row_id(df, source)
+    if not source.key and not keep_null_ts:
+        df = _with_copies(df, row_id)
+        row_id = [*row_id, F.when(F.col("_copy") > 0, F.concat(F.lit("#"), F.col("_copy")))]
     attributes = list(dict.fromkeys(a for e in source.events for a in e.attributes))
     wanted = []
     for event in source.events:
@@ -95,7 +129,8 @@ def extract_source(df: DataFrame, source: SourceSpec, keep_null_ts: bool = False
         numbers = F.array(*[F.when(holds, F.lit(i)) for i, holds in enumerate(wanted)])
         rows = df.withColumn("_i", F.explode(numbers)).where(F.col("_i").isNotNull())
     fields = _event_fields(df, source, attributes)
-    row_key = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("~")) for p in _row_id(df, source)])
+    named = [F.coalesce(p.cast("string"), F.lit("~")) for p in row_id[: len(source.key) or 2]]
+    row_key = F.concat_ws("|", *named, *row_id[len(named) :])  # only copies have a number after the hashes
     return rows.select(
         column(df, source.case_id).alias(CASE),
         *[value.alias(name) for name, value in fields.items()],

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from casemill.operators import ocel as oc
 from casemill.operators.dfg import dfg, dfg_layers
+from casemill.operators.extract import extract_event
+from casemill.session import written
+from casemill.sources.config import EventSpec
 
 from checks.logs import OBJECTS, OCEL_SQL, RAW_SQL, object_events, ocel, table
 from checks.registry import check
@@ -34,6 +37,21 @@ def event_ids(spark, sf):
     return ocel(spark, sf).events.agg(F.count(F.lit(1)).alias("events"), F.count_distinct(F.col("event_id")).alias("ids"))
 
 
+@check(
+    "g03_ids_of_equal_rows",
+    """SELECT l_orderkey AS case_id, count(*) AS events, count(*) AS ids, count(*) - count(DISTINCT l_shipdate) AS repeats
+FROM lineitem GROUP BY 1""",
+)
+def ids_of_equal_rows(spark, sf):
+    """Orders and dates of the lines without their keys: many rows are equal, their events are not."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
+    log = extract_event(rows, "l_orderkey", EventSpec("Ship Item", "l_shipdate"), "lineitem")
+    return log.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct(F.col("event_id")).alias("ids"),
+        F.count_if(F.col("event_id").rlike(r"\|#[0-9]+$")).alias("repeats"),
+    )
+
+
 @check("g04_ocel_objects", f"WITH {OCEL_SQL} SELECT DISTINCT object_id, object_type FROM e2o")
 def objects(spark, sf):
     return ocel(spark, sf).objects
@@ -80,11 +98,18 @@ def types(spark, sf):
     return oc.object_types(ocel(spark, sf))
 
 
-_FLAT_SQL = f"""{OCEL_SQL}, flat AS (SELECT raw.event_id, activity, event_timestamp, raw.resource, cost, source_system AS source_table,
-  object_id AS case_id FROM raw JOIN e2o USING (event_id) WHERE object_type = 'Supplier')"""
+# Every line has one supplier and one part, so the links of these types are read off the lines.
+_FLAT_SQL = """flat AS MATERIALIZED (
+  SELECT 'lineitem|1|' || k AS event_id, 'Ship Item' AS activity, l_shipdate AS event_timestamp, CAST(l_suppkey AS VARCHAR) AS resource,
+    l_extendedprice AS cost, 'lineitem' AS source_table, 's' || l_suppkey AS case_id, 'p' || l_partkey AS part
+  FROM (SELECT *, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem)
+  UNION ALL
+  SELECT 'lineitem|2|' || concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey), 'Return Item', l_shipdate,
+    CAST(l_suppkey AS VARCHAR), l_extendedprice, 'lineitem', 's' || l_suppkey, 'p' || l_partkey
+  FROM lineitem WHERE l_returnflag = 'R')"""
 
 
-@check("g08_flatten", f"WITH {_FLAT_SQL} SELECT * FROM flat")
+@check("g08_flatten", f"WITH {_FLAT_SQL} SELECT event_id, activity, event_timestamp, resource, cost, source_table, case_id FROM flat")
 def flattened(spark, sf):
     return oc.flatten(ocel(spark, sf), "Supplier")
 
@@ -132,8 +157,7 @@ def total(spark, sf):
 
 @check(
     "g13_object_trace",
-    f"""WITH {OCEL_SQL} SELECT event_id, activity, event_timestamp, raw.resource, cost, source_system AS source_table
-FROM raw JOIN e2o USING (event_id) WHERE object_type = 'Part' AND object_id = 'p7'""",
+    f"""WITH {_FLAT_SQL} SELECT event_id, activity, event_timestamp, resource, cost, source_table FROM flat WHERE part = 'p7'""",
 )
 def trace(spark, sf):
     return oc.object_trace(ocel(spark, sf), "Part", "p7")

@@ -302,11 +302,15 @@ def test_case_key_must_group_or_link(spark):
 
 
 def test_rows_without_a_key(spark):
-    """Ids from all columns, maps too; equal rows share one."""
+    """Ids from all columns, maps too; equal rows have ids of their own, the same ones in every layout."""
     df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (1, {"a": 2})], "id long, m map<string,int>")
     df = df.withColumn("at", F.lit("2024-01-01"))
     ids = [r["event_id"] for r in extract_event(df, "id", EventSpec("Go", "at"), "t", []).collect()]
-    assert len(set(ids)) == 2 and len(ids) == 3
+    assert len(set(ids)) == 3 == len(ids)
+    many = df.crossJoin(spark.range(40).select(F.lit(1).alias("x"))).unionAll(df.where("m['a'] = 2").withColumn("x", F.lit(2)))
+    layouts = [many.repartition(n) for n in (1, 7)]
+    first, second = ([r["event_id"] for r in extract_event(d, "id", EventSpec("Go", "at"), "t", []).collect()] for d in layouts)
+    assert len(set(first)) == 121 == len(first) and sorted(first) == sorted(second)
 
 
 def test_broken_config_and_gates_stop_the_build(spark, tables, cfg):

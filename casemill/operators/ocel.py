@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, share_pct
 from casemill.operators.ordering import CaseLoad, measure_cases
+from casemill.session import written
 
+EVENT_NO = "event_no"
 EVENT_COLUMNS = ("event_id", ACTIVITY, TIMESTAMP, "resource", "cost", "source_table")
 
 
@@ -46,6 +48,12 @@ def _links(objects: Mapping[str, str]) -> Column:
     )
 
 
+def with_event_numbers(events: DataFrame) -> DataFrame:
+    """``events`` with a number of their own, written. Tables built from them are joined by it instead of by long text ids, and
+    can be saved in buckets."""
+    return written(events.withColumn(EVENT_NO, F.monotonically_increasing_id()), "numbered-events")
+
+
 def build_ocel(
     events: DataFrame,
     objects: Mapping[str, str],
@@ -55,20 +63,22 @@ def build_ocel(
     """The three tables from a log with one column per object type.
 
     ``masters`` adds objects of master tables, given as type → (table, key), also those without events. Links
-    of an event are made by exploding an array in one scan; ``distinct`` removes repeated links.
+    of an event are made by exploding an array in one scan; ``distinct`` removes repeated links. Event numbers, where the
+    events have them, go into the events and the links.
     """
+    number = [EVENT_NO] if EVENT_NO in events.columns else []
     source = "source_table" if "source_table" in events.columns else "source_system"
     shaped = events.withColumnRenamed(source, "source_table") if source in events.columns else events
     missing = [c for c in EVENT_COLUMNS if c not in shaped.columns]
     shaped = shaped.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else shaped
-    e2o = events.select("event_id", F.inline(_links(objects))).where(F.col("object_id").isNotNull())
+    e2o = events.select("event_id", *number, F.inline(_links(objects))).where(F.col("object_id").isNotNull())
     objs = e2o.select("object_id", "object_type").distinct()
     if masters:
         for kind, (table, key) in masters.items():
             ids = table.select(F.col(f"`{key}`").cast("string").alias("object_id"), F.lit(kind).alias("object_type"))
             objs = objs.unionByName(ids.where(F.col("object_id").isNotNull()))
         objs = objs.distinct()
-    return Ocel(shaped.select(*EVENT_COLUMNS), objs, e2o.distinct() if distinct else e2o)
+    return Ocel(shaped.select(*EVENT_COLUMNS, *number), objs, e2o.distinct() if distinct else e2o)
 
 
 def ocel_checks(ocel: Ocel) -> DataFrame:
@@ -116,14 +126,21 @@ def default_perspective(ocel: Ocel) -> DataFrame:
     return object_types(ocel).limit(1).select("object_type")
 
 
+def _event_key(ocel: Ocel) -> str:
+    """What links and events are joined by: the event number where both have it."""
+    return EVENT_NO if EVENT_NO in ocel.events.columns and EVENT_NO in ocel.e2o.columns else "event_id"
+
+
 def flatten(ocel: Ocel, object_type: str | None = None) -> DataFrame:
     """A traditional log seen from one object type, whose ids become the case; default: the most linked type.
 
-    An event linked to n objects of the type appears n times, so its id is only unique within a case.
+    An event linked to n objects of the type appears n times, so its id is only unique within a case. Tables that were
+    saved in buckets are joined where they lie.
     """
     kind = F.lit(object_type) if object_type is not None else default_perspective(ocel).scalar()
-    cases = ocel.e2o.where(F.col("object_type") == kind).select("event_id", F.col("object_id").alias(CASE))
-    return ocel.events.join(cases, "event_id")
+    key = _event_key(ocel)
+    cases = ocel.e2o.where(F.col("object_type") == kind).select(key, F.col("object_id").alias(CASE))
+    return ocel.events.join(cases, key).select(*[c for c in ocel.events.columns if c != EVENT_NO], CASE)
 
 
 def perspective_load(ocel: Ocel, object_type: str | None = None) -> CaseLoad:
@@ -153,7 +170,8 @@ def total_links(ocel: Ocel) -> DataFrame:
 def object_trace(ocel: Ocel, object_type: str, object_id: str) -> DataFrame:
     """The events of one object in order."""
     mine = ocel.e2o.where((F.col("object_type") == object_type) & (F.col("object_id") == object_id))
-    return ocel.events.join(mine.select("event_id"), "event_id", "left_semi").orderBy(TIMESTAMP, "event_id")
+    key = _event_key(ocel)
+    return ocel.events.join(mine.select(key), key, "left_semi").drop(EVENT_NO).orderBy(TIMESTAMP, "event_id")
 
 
 EVENTS_SUFFIX, OBJECTS_SUFFIX, LINKS_SUFFIX = "_ocel_events", "_ocel_objects", "_ocel_e2o"
@@ -179,9 +197,21 @@ def load_ocel(spark: SparkSession, events_table: str) -> Ocel:
     return Ocel(spark.table(events_table), spark.table(objects), e2o.select(*first, *[c for c in e2o.columns if c not in first]))
 
 
-def save_ocel(ocel: Ocel, base: str) -> None:
-    """Write the three tables under ``base`` plus their suffixes, links in a folder per object type."""
-    for df, suffix in ((ocel.events, EVENTS_SUFFIX), (ocel.objects, OBJECTS_SUFFIX)):
-        df.write.mode("overwrite").format("parquet").saveAsTable(base + suffix)
-    links = ocel.e2o.write.mode("overwrite").format("parquet").partitionBy("object_type")
-    links.saveAsTable(base + LINKS_SUFFIX)
+def save_ocel(ocel: Ocel, base: str, buckets: int | None = None) -> None:
+    """Write the three tables under ``base`` plus their suffixes, links in a folder per object type.
+
+    With ``buckets``, events and links are dealt to so many buckets by the event number (see ``with_event_numbers``), a file
+    for each, so that no later flattening shuffles them. An event has at most as many links as there are object columns,
+    so buckets are even.
+    """
+    if buckets is not None and _event_key(ocel) != EVENT_NO:
+        raise ValueError("buckets need event numbers")
+
+    def writer(df: DataFrame):
+        dealt = df if buckets is None else df.repartition(buckets, EVENT_NO)
+        out = dealt.write.mode("overwrite").format("parquet")
+        return out if buckets is None else out.bucketBy(buckets, EVENT_NO).sortBy(EVENT_NO)
+
+    writer(ocel.events).saveAsTable(base + EVENTS_SUFFIX)
+    ocel.objects.write.mode("overwrite").format("parquet").saveAsTable(base + OBJECTS_SUFFIX)
+    writer(ocel.e2o).partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)

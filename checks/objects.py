@@ -12,6 +12,7 @@ from casemill.sources.config import EventSpec
 
 from checks.logs import OBJECTS, OCEL_SQL, RAW_SQL, object_events, ocel, table
 from checks.registry import check
+from checks.sources import scratch_schema
 
 
 @check(
@@ -114,6 +115,18 @@ def flattened(spark, sf):
     return oc.flatten(ocel(spark, sf), "Supplier")
 
 
+@check(
+    "g08_flatten_buckets",
+    f"WITH {_FLAT_SQL} SELECT event_id, activity, event_timestamp, resource, cost, source_table, case_id FROM flat",
+)
+def flattened_in_buckets(spark, sf):
+    """The same from tables that are saved in buckets."""
+    log = oc.build_ocel(oc.with_event_numbers(object_events(spark, sf)), OBJECTS)
+    with scratch_schema(spark) as schema:
+        oc.save_ocel(log, f"{schema}.o2c", buckets=8)
+        return written(oc.flatten(oc.load_ocel(spark, f"{schema}.o2c_ocel_events"), "Supplier"), "flat")
+
+
 @check(
     "g08_flatten_dfg",
     f"""WITH {_FLAT_SQL}, p AS (SELECT activity AS src,

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill.operators import ocel as oc
+from checks.sources import scratch_schema
 
 from tests.fixtures import day
 
@@ -71,3 +72,24 @@ def test_sibling_names(spark):
         oc.sibling_tables("db.x")
     with pytest.raises(ValueError, match="missing tables"):
         oc.load_ocel(spark, "nope_ocel_events")
+
+
+def test_buckets_are_joined_where_they_lie(spark, events):
+    with pytest.raises(ValueError, match="event numbers"):
+        oc.save_ocel(oc.build_ocel(events, OBJECTS), "nowhere.x", buckets=4)
+    plain = oc.build_ocel(events, OBJECTS)
+    with scratch_schema(spark) as schema:
+        oc.save_ocel(oc.build_ocel(oc.with_event_numbers(events), OBJECTS), f"{schema}.x", buckets=4)
+        saved = oc.load_ocel(spark, f"{schema}.x_ocel_events")
+        rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            for kind in OBJECTS:
+                flat = oc.flatten(saved, kind)
+                assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
+                assert rows(flat) == rows(oc.flatten(plain, kind))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert rows(oc.object_trace(saved, "Part", "p1")) == rows(oc.object_trace(plain, "Part", "p1"))
+        assert {r["violations"] for r in oc.ocel_checks(saved).collect()} == {r["violations"] for r in oc.ocel_checks(plain).collect()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import CASE, normalise_key, share_pct
@@ -112,6 +112,42 @@ def match_rate(log: DataFrame, ref: DataFrame, on: On) -> DataFrame:
     )
 
 
+def match_rates(log: DataFrame, refs: Sequence[tuple[str, DataFrame, On]]) -> DataFrame:
+    """(table, rows, matched, pct, keys, matched_keys) for several reference tables (name, table, keys) from one scan of the log.
+
+    Keys are compared as text, those of the log in the type they have in the reference table. The log is counted per table and
+    key before anything is joined.
+    """
+
+    def key(texts: Sequence[Column]) -> Column:
+        whole = F.lit(True)
+        for t in texts:
+            whole = whole & t.isNotNull()
+        return F.when(whole, F.array(*texts))
+
+    cells, known = [], None
+    for i, (_, ref, on) in enumerate(refs):
+        pairs = key_pairs(on)
+        kinds = [ref.schema[r].dataType.simpleString() for _, r in pairs]
+        mine = [F.col(f"`{l}`") for l, _ in pairs]
+        mine = [c if log.schema[l].dataType.simpleString() == kind else c.try_cast(kind) for c, kind, (l, _) in zip(mine, kinds, pairs)]
+        cells.append(F.struct(F.lit(i).alias("_i"), key([c.cast("string") for c in mine]).alias("_key")))
+        rows = ref.select(F.lit(i).alias("_i"), key([F.col(f"`{r}`").cast("string") for _, r in pairs]).alias("_key"))
+        rows = rows.where(F.col("_key").isNotNull()).distinct()
+        known = rows if known is None else known.unionByName(rows)
+    per_key = log.select(F.inline(F.array(*cells))).groupBy("_i", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    joined = balanced_join(per_key, known.withColumn("_hit", F.lit(1)), [("_i", "_i"), ("_key", "_key")])
+    hit = F.col("_hit").isNotNull()
+    counts = joined.groupBy("_i").agg(
+        F.sum("_n").alias("rows"), F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).alias("matched"),
+        F.count("_key").alias("keys"), F.count_if(hit).alias("matched_keys"),
+    )
+    names = log.sparkSession.createDataFrame([(i, name) for i, (name, _, _) in enumerate(refs)], "_i int, table string")
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "matched", "keys", "matched_keys")]
+    out = names.join(counts, "_i", "left").select("table", *numbers)
+    return out.select("table", "rows", "matched", share_pct(F.col("matched"), F.col("rows")).alias("pct"), "keys", "matched_keys")
+
+
 def coverage(log: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, total_rows, enriched, pct) for enrichment columns, in one pass."""
     counts = [F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(columns)]

@@ -33,7 +33,7 @@ def log_load(spark: SparkSession, cfg: EventLogConfig, tables: Tables = None) ->
     return measure_cases(raw_events(spark, cfg, tables), activities=len(names))
 
 
-def _with_enrichment_keys(spark: SparkSession, cfg: EventLogConfig, tables: Tables) -> list[SourceSpec]:
+def sources_with_keys(spark: SparkSession, cfg: EventLogConfig, tables: Tables) -> list[SourceSpec]:
     """Sources that also bring along the keys which enrichments need and the log does not have."""
     sources = []
     for source in number_events(cfg).sources:
@@ -50,7 +50,7 @@ def _with_enrichment_keys(spark: SparkSession, cfg: EventLogConfig, tables: Tabl
 
 def raw_events(spark: SparkSession, cfg: EventLogConfig, tables: Tables = None) -> DataFrame:
     """All events of all sources, with canonical activity names, before enrichment and metrics."""
-    sources = _with_enrichment_keys(spark, cfg, tables)
+    sources = sources_with_keys(spark, cfg, tables)
     events = union_events([extract_source(table_of(spark, tables, s.table), s) for s in sources])
     return standardise_activities(events, cfg.activity_overrides)
 

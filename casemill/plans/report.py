@@ -8,17 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, MANDATORY, METRICS
-from casemill.operators.enrich import coverage
+from casemill.operators.enrich import coverage, match_rates
 from casemill.operators.quality import quality_gates
+from casemill.plans.build import Tables
 from casemill.session import cut_lineage
-from casemill.sources.config import EventLogConfig
+from casemill.sources.config import EventLogConfig, table_of
 
 
-def report(spark: SparkSession, cfg: EventLogConfig, log: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """(position, item, value): process, output, counts, columns, coverage, gates and the tables used or left out.
+def report(
+    spark: SparkSession, cfg: EventLogConfig, log: DataFrame, classes: DataFrame | None = None, tables: Tables = None
+) -> DataFrame:
+    """(position, item, value): process, output, counts, columns, coverage, match rates, gates and the tables used or left out.
 
-    All activities are listed by name. The log is read three times: for its counts per case and activity, which are
-    written at call time, for the gates, and for the coverage.
+    All activities are listed by name. The log is read four times: for its counts per case and activity, which are
+    written at call time, for the gates, for the coverage, and for the match rates of all enrichments whose keys it has
+    (``tables`` replaces catalog tables by name).
     """
     counts = cut_lineage(log.groupBy(CASE, ACTIVITY).agg(F.count(F.lit(1)).alias("n")))
     per_case = counts.groupBy(CASE).agg(F.sum("n").alias("n"))
@@ -62,6 +66,15 @@ def report(spark: SparkSession, cfg: EventLogConfig, log: DataFrame, classes: Da
         parts.append(
             rates.select(F.lit(10).alias("position"), F.concat(F.lit("coverage: "), "column").alias("item"), F.col("pct").cast("string").alias("value"))
         )
+    joined = [e for e in cfg.enrichment if e.join_key in log.columns]
+    if joined:
+        refs = [(e.table, table_of(spark, tables, e.table), {e.join_key: e.ref_key or e.join_key}) for e in joined]
+        text = F.format_string(
+            "%d of %d events (%s %%), %d of %d keys", "matched", "rows", F.coalesce(F.col("pct").cast("string"), F.lit("-")),
+            "matched_keys", "keys",
+        )
+        found = match_rates(log, refs)
+        parts.append(found.select(F.lit(10).alias("position"), F.concat(F.lit("match rate: "), "table").alias("item"), text.alias("value")))
     if classes is not None:
         skipped = classes.where(~F.col("table").isin(used))
         parts.append(

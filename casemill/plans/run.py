@@ -40,7 +40,7 @@ def build_and_save(
     log = cut_lineage(build_event_log(spark, cfg, tables, log_load(spark, cfg, tables)))
     name = table or cfg.output_table
     save_log(require_gates(log), name, path)
-    return report(spark, cfg, spark.table(name), classes)
+    return report(spark, cfg, spark.table(name), classes, tables)
 
 
 def complete_log(

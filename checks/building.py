@@ -24,6 +24,8 @@ from casemill.operators.extract import (
 from casemill.operators.metrics import add_metrics, rework_flag
 from casemill.operators.ordering import sequence
 from casemill.plans.build import build_event_log, propose_enrichments, propose_events
+from casemill.plans.report import report
+from casemill.plans.script import build_script
 from casemill.sources.config import EnrichmentSpec, EventSpec, SourceSpec
 
 from checks.logs import (
@@ -289,6 +291,40 @@ def built(spark, sf):
     return log.select(*EVENT, *METRICS, "supplier_s_nationkey", "supplier_n_name", "supplier_n_regionkey")
 
 
+@check(
+    "c17_build_script",
+    f"""WITH {LOG_SQL}, {_ENRICHED_SQL} SELECT {_EVENT_SQL}, event_rank, time_since_prev_seconds, case_event_count,
+  supplier_s_nationkey, supplier_n_name, supplier_n_regionkey FROM enriched""",
+)
+def scripted(spark, sf):
+    """The same log from the SQL text of the build, run on views of the tables."""
+    t = tables(spark, sf, "orders", "lineitem", "supplier", "nation")
+    text = build_script(spark, _ENRICHED, t)
+    for name, df in t.items():
+        df.createOrReplaceTempView(name)
+    log = spark.sql(text)
+    for name in t:
+        spark.catalog.dropTempView(name)
+    return log.select(*EVENT, *METRICS, "supplier_s_nationkey", "supplier_n_name", "supplier_n_regionkey")
+
+
+@check(
+    "f19_match_rates",
+    f"""WITH {RAW_SQL}, known AS (SELECT CAST(s_suppkey AS VARCHAR) AS k, s_nationkey FROM supplier WHERE s_suppkey % 3 > 0),
+rows AS (SELECT resource, k, s_nationkey, n_nationkey FROM raw LEFT JOIN known ON k = resource LEFT JOIN nation ON n_nationkey = s_nationkey),
+rates AS (SELECT 'supplier' AS t, count(*) AS n, count(k) AS m, count(DISTINCT resource) AS keys, count(DISTINCT k) AS matched_keys FROM rows
+  UNION ALL SELECT 'nation', count(*), count(n_nationkey), count(DISTINCT s_nationkey), count(DISTINCT n_nationkey) FROM rows)
+SELECT 'match rate: ' || t AS item, m || ' of ' || n || ' events (' || round(m * 100.0 / n, 1) || ' %), ' || matched_keys || ' of ' || keys
+  || ' keys' AS value FROM rates""",
+)
+def reported_rates(spark, sf):
+    """The lines of the report, with a third of the suppliers missing."""
+    t = tables(spark, sf, "orders", "lineitem", "supplier", "nation")
+    t["supplier"] = t["supplier"].where("s_suppkey % 3 > 0")
+    out = report(spark, _ENRICHED, build_event_log(spark, _ENRICHED, t), tables=t)
+    return out.where("item like 'match rate%'").select("item", "value")
+
+
 @check(
     "d01_enrich",
     f"""WITH {LOG_SQL} SELECT event_id, o_custkey, o_orderpriority FROM log LEFT JOIN orders ON o_orderkey = case_id

@@ -322,3 +322,32 @@ def test_broken_config_and_gates_stop_the_build(spark, tables, cfg):
         build_and_save(spark, bad, tables)
     with pytest.raises(GateFailure):
         complete_log(spark, spark.createDataFrame([("c", "a", "2024-01-01")], "case_id string, activity string, event_timestamp string"))
+
+
+def test_script_builds_the_same_log(spark):
+    """Text and texts with quotes, time zones, text timestamps, conditions, sources without a key, two enrichments."""
+    from casemill.plans.build import build_event_log
+    from casemill.plans.script import build_script
+    from casemill.sources.config import EnrichmentSpec
+
+    a = spark.createDataFrame([(1, "2024-01-01 10:00:00", "x", 5), (1, "2024-01-01 10:00:00", "x", 5), (2, "bad", "y", None), (None, "2024-01-02", "it's", 7)],
+                              "id int, at string, who string, amount int")
+    b = spark.createDataFrame([("1", day(3), 10, "x"), ("2", day(1), 11, "z"), ("3", None, 12, "x")], "case string, day timestamp_ntz, k int, who string")
+    ref = spark.createDataFrame([("x", 1.5, 7), ("y", None, 8), (None, 9.0, 9)], "who string, rate double, nr int")
+    more = spark.createDataFrame([(7, "seven")], "nr int, name string")
+    t = {"a": a, "dbb": b, "ref": ref, "more": more}
+    cfg = EventLogConfig("l", "out.l", (
+        SourceSpec("a", "id", (EventSpec("Go 'n", "at", resource="who", cost="amount", attributes={"who": "who"}),
+                               EventSpec("Big", "at", condition="amount > 5", attributes={"who": "upper(who)"}))),
+        SourceSpec("dbb", "`case`", (EventSpec("Late", "day", cost="k * 2"),), "America/New_York", ("k",)),
+    ), {"Late": "Over"}, (EnrichmentSpec("ref", "who", ("rate", "nr"), prefix="r_"), EnrichmentSpec("more", "r_nr", ("name",), "nr")))
+    want = build_event_log(spark, cfg, t)
+    text = build_script(spark, cfg, t, rates=True)
+    for name, df in t.items():
+        df.createOrReplaceTempView(name)
+    got = spark.sql(text)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 6
+    assert "of 6 events match ref" in text and build_script(spark, cfg, t, create=True).startswith("CREATE OR REPLACE TABLE `out`.`l` AS")
+    for name in t:
+        spark.catalog.dropTempView(name)

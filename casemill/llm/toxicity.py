@@ -101,7 +101,15 @@ def _hits(folded: str, automaton) -> list[tuple[int, float]]:
             spans.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    return [(a, w) for a, w in best.items() if not any(s <= a < e for s, e in spans)]
+    spans.sort()
+    outside, at, reached = [], 0, -1  # reached: where the phrases so far end
+    for a, w in sorted(best.items()):
+        while at < len(spans) and spans[at][0] <= a:
+            reached = max(reached, spans[at][1])
+            at += 1
+        if a >= reached:
+            outside.append((a, w))
+    return outside
 
 
 def _evidence(texts: pa.Array, weights: dict[str, float], phrases: tuple[str, ...]) -> np.ndarray:
@@ -170,9 +178,10 @@ def _exceptions(texts: DataFrame, weights: dict[str, float]) -> tuple[str, ...]:
             for y, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 folded = fold(value.as_py() or "")
                 for start, _ in _hits(folded, automaton):
-                    here = folded[start + 1 : folded.index(" ", start + 1)]
-                    after = folded[start + len(here) + 2 :].split(" ", 1)[0]
-                    before = folded[:start].rsplit(" ", 1)[-1]
+                    end = folded.index(" ", start + 1)
+                    here = folded[start + 1 : end]
+                    after = folded[end + 1 : max(folded.find(" ", end + 1), end + 1)]
+                    before = folded[folded.rfind(" ", 0, start) + 1 : start]
                     found += [(f"{here} {after}", y)] * bool(after) + [(f"{before} {here}", y)] * bool(before)
             phrases, labels = zip(*found) if found else ((), ())
             yield pa.record_batch([pa.array(phrases, pa.string()), pa.array(labels, pa.int32())], names=["phrase", "y"])

@@ -2,21 +2,22 @@
 
 The index is sharded by document: a shard holds some four megabytes of text, and for each term the ascending
 positions of its words. Building it moves no text between executors; the shards are written as a table. A search
-takes every window of every test item to every shard: the rarest of its terms in that shard gives candidate
-places, its list is moved by the term's offset, and the lists of the other terms are intersected in order of
-rarity. What is left are exact phrases. On request the same lists answer proximity: all terms of a window within some
+looks up every distinct term of the test items once per shard and goes on with the windows whose terms are all there: the
+rarest of a window's terms in that shard gives candidate places, its list is moved by the term's offset, and the other
+terms are met at the places where they have to stand. What is left are exact phrases. On request the same lists answer proximity: all terms of a window within some
 words of its rarest one in the shard. Contamination is a matter of phrases alone.
 
 Words are those of ``words.py``, compared by 64-bit hashes. Null and empty texts have no words, and their documents
 are neither hit nor contaminated. Repeated rows and ids are judged row by row. Empty tables give empty results or
 clean documents. An item id that occurs on several rows counts once. Items without an id hit words and contaminate like
-others, but are left out of ``n_items`` and the list of ids. Extra columns are ignored.
+others; together they count as one item, which has no place in the list of ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -133,7 +134,16 @@ class Shard:
         self.sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.places = np.cumsum(np.frombuffer(row["postings"], np.int32).astype(np.int64))
-        self.keys = (np.repeat(np.arange(len(self.terms)), self.sizes) << 40) | self.places
+
+    @cached_property
+    def keys(self) -> np.ndarray:
+        return (np.repeat(np.arange(len(self.terms)), self.sizes) << 40) | self.places
+
+    def word_at(self) -> np.ndarray:
+        """The number of the term at every place, -1 where none of the index stands."""
+        out = np.full(int(self.first[-1]) + 1, -1, np.int32)
+        out[self.places] = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.sizes)
+        return out
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.terms, hashes)
@@ -152,58 +162,76 @@ class Shard:
 
 
 class Windows:
-    """All windows of some items: a row of ``size`` term hashes each, shorter ones filled up."""
+    """All windows of some items, as places in the list of their words; a word is the number of its term among ``terms``."""
 
     def __init__(self, item_ids: list[int | None], texts: pa.Array, size: int = WINDOW):
         w = words(texts)
         counts = w.counts
         made = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-        first = np.cumsum(made) - made
-        start = np.arange(made.sum()) + np.repeat(w.first[:-1] - first, made)
-        at = start[:, None] + np.arange(size)
-        self.inside = at < np.repeat(w.first[1:], made)[:, None]
-        self.hashes = w.hashes[np.minimum(at, max(0, len(w.hashes) - 1))] if len(start) else at.astype(np.uint64)
-        self.lengths = self.inside.sum(1)
+        self.size = size
+        self.terms, code = np.unique(w.hashes, return_inverse=True)
+        self.code = code.astype(np.int32)
+        self.first = w.first  # where each row's words begin, and the number of all words
         self.ids = [*sorted({i for i in item_ids if i is not None}), None]
         number = {i: n for n, i in enumerate(self.ids)}
-        self.items = np.repeat(np.array([number[i] for i in item_ids], np.int64), made)  # places in ``ids``
-
-
-def _matches(shard: Shard, windows: Windows, near: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(windows that match, where they begin, rarest places of proximity matches, their windows)."""
-    number = shard.numbers(windows.hashes)
-    known = np.flatnonzero(((number >= 0) | ~windows.inside).all(1) & (windows.lengths > 0))
-    if len(known) == 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
-    number, inside = number[known], windows.inside[known]
-    rarity = np.where(inside, shard.sizes[number], np.iinfo(np.int64).max)
-    order = np.argsort(rarity, axis=1, kind="stable")  # offsets in the window, rarest term first
-    terms = np.take_along_axis(number, order, 1)
-    rarest = np.take_along_axis(rarity, order[:, :1], 1)[:, 0]
+        self.made, self.item_of = made, np.array([number[i] for i in item_ids], np.int64)  # of each row
+
+    def spread(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, length, item) of every window."""
+        first = np.cumsum(self.made) - self.made
+        start = np.arange(self.made.sum()) + np.repeat(self.first[:-1] - first, self.made)
+        length = np.minimum(self.size, np.repeat(self.first[1:], self.made) - start)
+        return start, length, np.repeat(self.item_of, self.made)
+
+
+def _matches(shard: Shard, windows: Windows, near: int | None):
+    """(where phrases begin, their lengths and items, rarest places of proximity matches)."""
+    start, length, item = windows.spread()
+    number = shard.numbers(windows.terms)[windows.code]  # one look-up for each distinct term
+    absent = np.concatenate([[0], np.cumsum(number < 0)])
+    known = np.flatnonzero(absent[start + length] == absent[start])
+    start, length, item = start[known], length[known], item[known]
+    out = [(np.zeros(0, np.int64),) * 4]
+    if len(start) == 0:
+        return out[0]
+    size_of = np.append(shard.sizes[np.maximum(number, 0)], 0)
+    rarest, offset = size_of[start], np.zeros(len(start), np.int64)
+    for k in range(1, windows.size):
+        size = np.where(k < length, size_of[np.minimum(start + k, len(number))], np.iinfo(np.int64).max)
+        fewer = size < rarest
+        rarest[fewer], offset[fewer] = size[fewer], k
+    word_at = shard.word_at()
     group = (np.cumsum(rarest) - rarest) // _CANDIDATES  # bounds the candidates at work
-    out: list[tuple] = []
     for g in np.unique(group):
         rows = np.flatnonzero(group == g)
         n = rarest[rows]
         w = np.repeat(rows, n)
-        place = shard.places[np.arange(n.sum()) + np.repeat(shard.starts[terms[rows, 0]] - (np.cumsum(n) - n), n)]
+        begins = shard.starts[number[start[rows] + offset[rows]]]
+        place = shard.places[np.arange(n.sum()) + np.repeat(begins - (np.cumsum(n) - n), n)]
+        at, row = place - offset[w], w
         doc = shard.document(place)
-        low = np.maximum(shard.first[doc], place - (near or 0))
-        high = np.minimum(shard.first[doc + 1], place + (near or 0) + 1)
-        start = place - order[w, 0]
-        exact = (start >= shard.first[doc]) & (start + windows.lengths[known[w]] <= shard.first[doc + 1])
-        for k in range(1, terms.shape[1]):
-            more = k < windows.lengths[known[w]]
-            term = terms[w, k]
-            target = start + order[w, k]
-            exact &= ~more | shard.has(term, np.maximum(target, 0), np.maximum(target, 0) + 1)
-            keep = exact if near is None else exact | ~more | shard.has(term, low, high)
-            w, place, start, exact, low, high = (x[keep] for x in (w, place, start, exact, low, high))
-        out.append((known[w[exact]], start[exact], place, known[w]))
+        exact = (at >= shard.first[doc]) & (at + length[row] <= shard.first[doc + 1])
+        at, row = at[exact], row[exact]
+        for k in range(windows.size):
+            there = np.minimum(k, length[row] - 1)
+            same = word_at[at + there] == number[start[row] + there]
+            at, row = at[same], row[same]
+        close = place[_all_near(shard, number, start[w], length[w], place, doc, near)] if near is not None else place[:0]
+        out.append((at, length[row], item[row], close))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _all_near(shard: Shard, number, start, length, place, doc, near: int) -> np.ndarray:
+    """The candidates around which all terms of their window are within ``near`` words."""
+    left = np.arange(len(place))
+    for k in range(int(length.max(initial=0))):
+        low = np.maximum(shard.first[doc[left]], place[left] - near)
+        high = np.minimum(shard.first[doc[left] + 1], place[left] + near + 1)
+        term = number[start[left] + np.minimum(k, length[left] - 1)]
+        left = left[shard.has(term, low, high)]
+    return left
+
+
 def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | None = NEAR) -> DataFrame:
     """Phrases of ``items`` (item_id, text) in the documents of an index, a row for each document.
 
@@ -246,9 +274,8 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | N
 def _documents(row: dict, windows: Windows, near: int | None) -> pa.RecordBatch:
     shard = Shard(row)
     n = len(row["doc_ids"])
-    which, start, places, _ = _matches(shard, windows, near)
-    places = places if near is not None else places[:0]
-    item, end = windows.items[which], start + windows.lengths[which]
+    start, length, item, places = _matches(shard, windows, near)
+    end = start + length
     order = np.lexsort((end, start, item, shard.document(start)))
     item, start, end = item[order], start[order], end[order]
     doc = shard.document(start)
@@ -282,9 +309,10 @@ def contamination(matches: DataFrame, share: int = SHARE) -> DataFrame:
                 for a, b in sorted((p["from"], p["to"]) for p in phrases):
                     hit += max(0, b - max(a, end))
                     end = max(end, b)
-                ids = sorted({str(p["item_id"]) for p in phrases if p["item_id"] is not None})
+                found = {p["item_id"] for p in phrases}
+                ids = sorted(str(i) for i in found if i is not None)
                 hits.append(hit)
-                counts.append(len(ids))
+                counts.append(len(found))
                 digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
             n_words = batch.column("n_words").to_numpy()
             n_hit = np.array(hits, np.int64)

@@ -52,7 +52,7 @@ def contamination(texts, items, size=13, share=20):
     windows = defaultdict(set)
     for item, text in items:
         w = words(text)
-        for k in range(max(1, len(w) - size + 1) if w and item is not None else 0):
+        for k in range(max(1, len(w) - size + 1) if w else 0):
             windows[tuple(w[k : k + size])].add(item)
     out = []
     for text in texts:
@@ -63,7 +63,7 @@ def contamination(texts, items, size=13, share=20):
                 if ids := windows.get(tuple(w[k : k + n])):
                     found |= ids
                     hit[k : k + n] = [1] * n
-        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        digest = hashlib.sha256(",".join(sorted(str(i) for i in found if i is not None)).encode()).hexdigest()
         out.append((len(w), sum(hit), len(found), digest, sum(hit) > 0 and share * sum(hit) >= len(w)))
     return out
 

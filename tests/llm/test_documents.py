@@ -1,8 +1,17 @@
 """Operators over documents against plain versions, and with odd and empty tables."""
 
+import ast
+import contextlib
 import hashlib
+import random
+import re
+import string
+import sysconfig
+import time
 import zlib
+from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -294,8 +303,14 @@ def test_op8_items_without_ids_contaminate(spark, monkeypatch, block_bytes):
     items = spark.createDataFrame([(None, "a b c"), (None, "x y"), (7, "c d"), (-1, "d e")], "item_id long, text string")
     got = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, items).collect()}
     assert {d: (r["n_hit"], r["n_items"], r["contaminated"]) for d, r in got.items()} == {
-        1: (5, 2, True), 2: (2, 0, True), 3: (0, 0, False),
+        1: (5, 3, True), 2: (2, 1, True), 3: (0, 0, False),
     }
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents AS SELECT * FROM (VALUES (1, 'a b c d e'), (2, 'x y z'), (3, 'a b q')) AS v(doc_id, text)")
+    db.execute("CREATE TABLE benchmark AS SELECT * FROM (VALUES (NULL, 'a b c'), (NULL, 'x y'), (7, 'c d'), (-1, 'd e')) AS v(item_id, text)")
+    names = "doc_id, n_words, n_hit, n_items, items_sha256, contaminated"
+    want = db.sql(queries.OP8_SQL).project(names).fetchall()
+    assert sorted(want) == sorted(tuple(r[c] for c in names.split(", ")) for r in got.values())
     assert got[1]["items_sha256"] == hashlib.sha256(b"-1,7").hexdigest()
     assert got[2]["items_sha256"] == hashlib.sha256(b"").hexdigest()
 
@@ -475,3 +490,79 @@ def test_op4_stretches_are_the_maximal_ones():
     for _ in range(100):
         x = rng.normal(-0.2, 2, int(rng.integers(1, 25)))
         assert secrets.stretches(x, 3.0) == plain(x, 0, len(x))
+
+
+def identifiers():
+    """Names of 16 and more characters that the sources of the standard library give to functions, classes and variables."""
+    found = set()
+    library = Path(sysconfig.get_paths()["stdlib"])
+    for file in sorted([*library.glob("*.py"), *library.glob("*/*.py")]):
+        with contextlib.suppress(SyntaxError, ValueError):  # some files are made to be broken
+            for node in ast.walk(ast.parse(file.read_text(errors="ignore"))):
+                names = (getattr(node, "name", None), getattr(node, "id", None), getattr(node, "attr", None))
+                found |= {x for x in names if isinstance(x, str) and re.fullmatch(r"[A-Za-z0-9_]{16,}", x)}
+    return sorted(x for x in found if re.search("[a-z]", x) and re.search("[A-Z_]", x))
+
+
+def test_op4_leaves_identifiers_alone_and_finds_random_strings(documents):
+    model = secrets.train(documents)
+    names = identifiers()
+    assert len(names) > 3_000
+    names += ["AbstractSingletonProxyFactoryBean", "STARTF_FORCEONFEEDBACK", "framelocalsproxy", "BaseExceptionGroup"]
+    reported = [x for x in names if secrets.all_spans(f"see {x} there", model)]
+    assert len(reported) <= 0.01 * len(names), reported
+    rng = random.Random(3)
+    for letters, share in ((string.ascii_letters + string.digits, 0.99), (string.ascii_letters + string.digits + "+/", 0.99),
+                           (string.ascii_lowercase + string.digits, 0.95)):
+        for size in (20, 28, 40):
+            strings = ["".join(rng.choice(letters) for _ in range(size)) for _ in range(400)]
+            assert sum(bool(secrets.all_spans(f"x {t} y", model)) for t in strings) >= share * len(strings)
+
+
+def plain_hits(folded, weights, phrases):
+    """Every place, entry and phrase against each other."""
+    inside = {k for p in phrases for m in range(len(folded)) if folded.startswith(f" {p} ", m) for k in range(m, m + len(p) + 2 - 1)}
+    out = []
+    for k, c in enumerate(folded):
+        found = [w for e, w in weights.items() if c == " " and folded.startswith(f" {e}", k)]
+        if found and k not in inside:
+            out.append((k, max(found)))
+    return out
+
+
+def test_op6_hits_against_plain():
+    rng = random.Random(5)
+    weights, phrases = {"ab": 1.0, "abc": 2.5, "ca": 2.0}, ("abc a", "a ca", "b abc", "ca ca")
+    automaton = toxicity._automaton(weights, phrases)
+    for _ in range(400):
+        folded = toxicity.fold(" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(0, 12))))
+        assert sorted(toxicity._hits(folded, automaton)) == plain_hits(folded, weights, phrases)
+
+
+def test_op6_long_text_with_a_phrase_per_line():
+    text = "a badword here, badword friend and nothing else on this line\n" * 65_000  # 4 MB
+    start = time.perf_counter()
+    x = toxicity._evidence(pa.array([text]), {"badwor": 3.0}, ("badword friend",))
+    assert x[0][0] == 3.0 and x[0][1] == pytest.approx(np.log1p(3.0 * 65_000))
+    assert time.perf_counter() - start < 5
+
+
+def test_op8_large_benchmark_against_one_shard():
+    """Eight megabytes of items whose terms all occur in the shard: only the copied item is found, in a second or so."""
+    rng = np.random.default_rng(0)
+    known = np.array(["".join(w) for w in rng.choice(list("abcdefghij"), (60_000, 6))])
+    text = lambda n: " ".join(rng.choice(known, n))
+    docs, items = [text(20_000) for _ in range(30)], [text(200) for _ in range(5_900)]
+    docs[3] += f" {items[7]} tail"
+    windows = decontaminate.Windows(list(range(len(items))), pa.array(items))
+    assert windows.code.nbytes + windows.terms.nbytes < 2 * sum(map(len, items))
+    w = words(pa.array(docs))
+    there, number = np.unique(w.hashes, return_inverse=True)
+    places = np.argsort(number, kind="stable")
+    row = {"first": w.first, "terms": there.tobytes(), "sizes": np.bincount(number).astype(np.int32).tobytes(),
+           "postings": np.diff(places, prepend=0).astype(np.int32).tobytes(), "doc_ids": list(range(30)),
+           "text_keys": list(range(30)), "part": 0, "shard": 0}
+    start = time.perf_counter()
+    found = decontaminate._documents(row, windows, None).column("phrases").to_pylist()
+    assert time.perf_counter() - start < 10
+    assert {d: p for d, p in enumerate(found) if p} == {3: [{"item_id": 7, "from": 20_000, "to": 20_200}]}

@@ -1,5 +1,7 @@
 """Conversations, embeddings, components, the pipeline, and queries that SQL can express."""
 
+import tracemalloc
+
 import duckdb
 import numpy as np
 import pytest
@@ -192,8 +194,8 @@ def test_op10_audit_of_queries_with_few_links(spark, monkeypatch):
     graphs = embeddings.build_graphs(classes, 2).cache()
     whole = embeddings.search_all
 
-    def lossy(graphs, shards, queries, blocks, beam, cosine):
-        found = whole(graphs, shards, queries, blocks, beam, cosine)
+    def lossy(graphs, shards, queries, beam, cosine):
+        found = whole(graphs, shards, queries, beam, cosine)
         return found if beam >= least else found.withColumn("n_classes", F.expr("if(class_no < 100, n_classes, 0L)"))
 
     monkeypatch.setattr(embeddings, "search_all", lossy)
@@ -203,13 +205,46 @@ def test_op10_audit_of_queries_with_few_links(spark, monkeypatch):
     assert shares["links"] >= 0.98 > shares["few"] == 0
 
 
-def test_op10_widest_beam_is_an_exact_scan():
-    class Cut:
-        """A graph in which the search finds nothing."""
+def shard_of(units, near=()):
+    n = len(units)
+    return {"classes": np.arange(n).tobytes(), "copies": np.ones(n, np.int64).tobytes(), "units": units.tobytes(),
+            "levels": np.zeros(n, np.int64).tobytes(), "near": near}
 
-        def search(self, queries, beam):
-            return np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0)
 
+def test_op10_widest_beam_is_an_exact_scan():
     units = np.eye(5)[[0, 1, 0, 2, 1]]
-    q, node = embeddings._found(Cut(), units, units[:2], 5, 0.95)
-    assert sorted(zip(q.tolist(), node.tolist())) == [(0, 0), (0, 2), (1, 1), (1, 4)]
+    search = embeddings._Search(shard_of(units), 5, 0.95)
+    links, classes, joined = search.ask(np.arange(5), units)
+    assert links.tolist() == classes.tolist() == [1, 1, 1, 0, 1] and joined.tolist() == [0, 1, 0, 3, 1]
+
+
+@pytest.mark.parametrize("beam", [8, 100_000])
+def test_op10_dense_group_is_folded(beam):
+    """A third of a shard in one group of different vectors, asked in several parts: exact counts, the group in one piece, and
+    memory for a few tiles only."""
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=32)
+    x = np.concatenate([base + 0.05 * rng.normal(size=(1_500, 32)), rng.normal(size=(3_000, 32))])[rng.permutation(4_500)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    level = Graph.levels(mix(np.arange(4_500).astype(np.uint64)))
+    order = np.argsort(-level, kind="stable")
+    graph = Graph.build(x[order], level[order])
+    row = {"classes": order.tobytes(), "copies": np.ones(4_500, np.int64).tobytes(), "units": x[order].tobytes(),
+           "levels": level[order].tobytes(), "near": [n.tobytes() for n in graph.near]}
+    search = embeddings._Search(row, beam, 0.95)
+    tracemalloc.start()
+    found = [search.ask(np.arange(a, a + 900), x[a : a + 900]) for a in range(0, 4_500, 900)]
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    links = np.concatenate([f[0] for f in found])
+    true = (x @ x.T >= 0.95).sum(1) - 1
+    assert (links == true).mean() > 0.99 and (links <= true).all() and true.max() > 1_000
+    union = brute.Union()
+    for part, f in enumerate(found):
+        for a, b in zip(range(900 * part, 900 * part + 900), f[2].tolist()):
+            union.join(a, b)
+    for a, b in zip(*(r.tolist() for r in search.rest())):
+        union.join(a, b)
+    group = np.flatnonzero(true > 1_000)
+    assert {union.find(int(g)) for g in group} == {group.min()}
+    assert {union.find(int(g)) for g in np.flatnonzero(true == 0)} == set(np.flatnonzero(true == 0).tolist())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -22,6 +23,7 @@ from casemill.functions.patterns import (
 )
 
 _TIMES = ("timestamp", "timestamp_ntz", "date")
+SAMPLE_HASHES = 2_000  # row hashes of a table that are compared with another, about
 _KEY_TYPES = ("bigint", "int", "smallint", "string")
 
 LOG, SOURCE, REFERENCE = "existing event log", "event source", "reference"
@@ -99,13 +101,16 @@ def _shared_texts(tables: Mapping[str, DataFrame]) -> set[str]:
 
 
 def classify_tables(
-    tables: Mapping[str, DataFrame], id_share: float = 0.9, max_agg_rows: int = 100, duplicate_tolerance: float = 0.05
+    tables: Mapping[str, DataFrame], id_share: float = 0.9, max_agg_rows: int = 100, duplicate_tolerance: float = 0.05,
+    same_rows: float = 0.5,
 ) -> DataFrame:
     """(table, class, snapshot, case_col, activity_col, ts_col, reason): one row per table.
 
     Rules are tried in a fixed order: existing log, duplicate, change records, event source, reference
     (repeated until nothing changes), aggregate; what remains is not process data. Data is only read for
-    counts; the rules run over column names and numbers.
+    counts; the rules run over column names and numbers. Tables of the same columns and about the same size are duplicates
+    where their names differ by a prefix only, or where ``same_rows`` of their rows are equal (0: not looked at), which a
+    sample of row hashes tells.
     """
     facts = _all_facts(tables)
     found: dict[str, tuple] = {}
@@ -114,7 +119,7 @@ def classify_tables(
         if case and activity and ts and case in f.distinct and not f.unique(case):
             found[t] = (LOG, False, case, activity, ts, "case, activity and time columns, several rows per case")
     for t, f in facts.items():
-        original = _original_of(t, facts, found, duplicate_tolerance)
+        original = _original_of(t, facts, found, duplicate_tolerance, same_rows)
         if t not in found and original:
             found[t] = (DUPLICATE, False, None, None, None, f"same columns and size as {original}")
     for t, f in facts.items():
@@ -139,18 +144,42 @@ def classify_tables(
     return spark.createDataFrame([(t, *found[t]) for t in tables], schema)
 
 
-def _original_of(table: str, facts: Mapping[str, _Facts], found: Mapping[str, tuple], tolerance: float) -> str | None:
+def _row_hashes(df: DataFrame, rows: int, size: int) -> Counter:
+    """How often each row hash of a share of all hashes occurs, about ``size`` of them; the share is a power of two, so samples of
+    tables of about the same size overlap as the tables do, whatever the order of their rows."""
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in sorted(df.columns)]
+    bits = max(0, (rows // size).bit_length() - 1)
+    hashed = df.select(F.xxhash64(*values).alias("h")).where(F.shiftrightunsigned("h", 64 - bits) == 0 if bits else F.lit(True))
+    return Counter({r["h"]: r["n"] for r in hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).collect()})
+
+
+def content_overlap(a: DataFrame, b: DataFrame, rows: int, size: int = SAMPLE_HASHES) -> float:
+    """The share of rows that two tables of the same columns have in common as multisets, from a sample of about ``size`` of
+    ``rows`` row hashes of each: one scan of either table, in any order and layout. Two empty tables are equal."""
+    left, right = _row_hashes(a, rows, size), _row_hashes(b, rows, size)
+    whole = max(sum(left.values()), sum(right.values()))
+    return sum((left & right).values()) / whole if whole else 1.0
+
+
+def _original_of(
+    table: str, facts: Mapping[str, _Facts], found: Mapping[str, tuple], tolerance: float, same_rows: float
+) -> str | None:
     """The table this one repeats: a prefixed name repeats an unprefixed one, else the later name the earlier."""
 
     def rank(name: str) -> tuple:
         return (name.startswith(TABLE_PREFIXES), name)
 
+    def bare(name: str) -> str:
+        return next((name.removeprefix(p) for p in TABLE_PREFIXES if name.startswith(p)), name)
+
     mine = facts[table]
     for other, theirs in facts.items():
         same = other != table and set(mine.types) == set(theirs.types)
         close = abs(mine.rows - theirs.rows) <= tolerance * max(mine.rows, theirs.rows)
         if same and close and rank(other) < rank(table) and table not in found:
-            return other
+            named = bare(table) == bare(other)
+            if named or not same_rows or content_overlap(mine.df, theirs.df, max(mine.rows, theirs.rows)) >= same_rows:
+                return other
     return None
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, column, mining_order, normalise_key, usable
+from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, column, normalise_key, usable
+from casemill.operators.dfg import case_ends
 from casemill.operators.joins import balanced_join
 from casemill.operators.ordering import CaseLoad, measure_cases, over_case
 
@@ -119,8 +120,7 @@ def early_children(
 
 def missing_start(log: DataFrame, allowed: Sequence[str]) -> DataFrame:
     """(case_id, first_activity): cases that begin with an activity outside the allowed set."""
-    at = F.struct(*mining_order(log))
-    firsts = usable(log).groupBy(CASE).agg(F.min_by(ACTIVITY, at).alias("first_activity"))
+    firsts = case_ends(log).select(CASE, F.col("start").alias("first_activity"))
     return firsts.where(~F.col("first_activity").isin(list(allowed)))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, micros, mining_order, usable
+from casemill.operators.joins import fits_broadcast
 from casemill.operators.medians import exact_median
 from casemill.operators.ordering import MAX_ACTIVITIES, CaseLoad, measure_cases, sequence
 from casemill.session import cut_lineage
@@ -19,18 +20,45 @@ def dfg(log: DataFrame, load: CaseLoad | None = None) -> DataFrame:
     )
 
 
+_SEQ, _NAMES = 10**10, 10**7  # of an order number: places for the source order, and for the number of an activity
+
+
+def case_ends(log: DataFrame) -> DataFrame:
+    """(case_id, start, end): the first and last activity of every case.
+
+    Time, source order and the place of the activity in the alphabet make one decimal number per event, of which a hash
+    aggregate keeps the least and the largest; the activities are read back from these. Where event ids order the
+    events (logs without a source order), or the alphabet has more than 10^7 names, the columns themselves are compared.
+    """
+    events, order = usable(log), mining_order(log)
+    names = events.select(ACTIVITY).distinct()
+    by_number = "event_id" not in order and dict(log.dtypes).get("source_seq", "int") in ("int", "smallint", "tinyint")
+    if by_number:  # one task numbers the distinct activities
+        names = cut_lineage(names.withColumn("_no", F.row_number().over(Window.orderBy(ACTIVITY)) - 1))
+        by_number = names.count() < _NAMES
+    if not by_number:
+        at = F.struct(*order)
+        return events.groupBy(CASE).agg(F.min_by(ACTIVITY, at).alias("start"), F.max_by(ACTIVITY, at).alias("end"))
+    small = fits_broadcast(names)
+    wide = lambda c: c.cast("decimal(20,0)")
+    seq = F.coalesce(F.col("source_seq").cast("long") + 2**31 + 1, F.lit(0)) if "source_seq" in order else F.lit(0)
+    number = wide(micros(TIMESTAMP)) * F.lit(_SEQ * _NAMES).cast("decimal(18,0)") + wide(seq) * _NAMES + F.col("_no")
+    numbered = events.join(F.broadcast(names) if small else names, ACTIVITY).select(CASE, number.cast("decimal(38,0)").alias("_at"))
+    ends = numbered.groupBy(CASE).agg(F.min("_at").alias("_a"), F.max("_at").alias("_z"))
+    for column, kind in (("_a", "start"), ("_z", "end")):
+        named = names.select(F.col(ACTIVITY).alias(kind), F.col("_no").alias(f"{column}_no"))
+        ends = ends.withColumn(f"{column}_no", F.pmod(F.col(column), F.lit(_NAMES)).cast("int"))
+        ends = ends.join(F.broadcast(named) if small else named, f"{column}_no")
+    return ends.select(CASE, "start", "end")
+
+
 def start_end(log: DataFrame) -> DataFrame:
-    """(activity, kind, n): first and last activities of the cases, from partial minima and maxima per case (a sort aggregate,
-    as the order has text in it)."""
-    at = F.struct(*mining_order(log))
-    ends = usable(log).groupBy(CASE).agg(
-        F.min_by(ACTIVITY, at).alias("start"), F.max_by(ACTIVITY, at).alias("end")
-    )
+    """(activity, kind, n): first and last activities of the cases."""
     rows = F.array(
         F.struct(F.lit("start").alias("kind"), F.col("start").alias(ACTIVITY)),
         F.struct(F.lit("end").alias("kind"), F.col("end").alias(ACTIVITY)),
     )
-    return ends.select(F.inline(rows)).groupBy(ACTIVITY, "kind").agg(F.count(F.lit(1)).alias("n"))
+    return case_ends(log).select(F.inline(rows)).groupBy(ACTIVITY, "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def activity_counts(log: DataFrame) -> DataFrame:

@@ -188,3 +188,26 @@ def test_columns_that_cannot_be_hashed(log, hot):
     a = neighbours(mapped, ["case_id"], order, ["activity"], PLAIN)
     b = neighbours(mapped, ["case_id"], order, ["activity"], hot).select(*a.columns)
     assert rows(a) == rows(b)
+
+
+def test_case_ends_by_number(spark):
+    """The same ends as by comparing columns, ties and years before 1970 included, without a sort in the plan."""
+    import datetime
+    import random
+
+    from casemill.operators.dfg import case_ends, start_end
+
+    rng = random.Random(6)
+    times = [datetime.datetime(1, 1, 2), datetime.datetime(1960, 5, 1, 1, 1, 1, 5), datetime.datetime(2024, 1, 1), datetime.datetime(9999, 12, 31)]
+    rows = [(f"c{rng.randrange(40)}", rng.choice(["a", "b", "ab", "c"]), rng.choice(times), rng.choice([None, -5, 0, 3, 2**31 - 1])) for _ in range(400)]
+    rows += [(None, "a", times[0], 0), ("c1", None, times[0], 0), ("c1", "z", None, 0)]
+    log = spark.createDataFrame(rows, "case_id string, activity string, event_timestamp timestamp_ntz, source_seq int")
+    first = lambda r: (r[2], r[3] is not None, r[3] or 0, r[1])
+    cases = {}
+    for r in rows:
+        if None not in r[:3]:
+            cases.setdefault(r[0], []).append(r)
+    want = {c: (min(v, key=first)[1], max(v, key=first)[1]) for c, v in cases.items()}
+    assert {r["case_id"]: (r["start"], r["end"]) for r in case_ends(log).collect()} == want
+    plan = start_end(log)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "HashAggregate" in plan

@@ -146,3 +146,22 @@ def test_keys_out_of_their_normal_form(spark):
     listed = spark.createDataFrame([("BETA",), ("GAMMA",)], "name string")
     found = {r["normalised"]: r["rows"] for r in dt.key_variants(typed, "k", listed, "name").collect()}
     assert found == {"ACME": 2, "BETA": 1}
+
+
+def test_duplicates_are_told_by_their_rows(spark):
+    from casemill.operators.classify import classify_tables, content_overlap
+
+    rows = [(i, f"n{i}", float(i % 7)) for i in range(9_000)]
+    schema = "item_id long, name string, price double"
+    one = spark.createDataFrame(rows, schema)
+    copy = spark.createDataFrame(rows[::-1], schema).select("price", "item_id", "name").repartition(5)
+    part = spark.createDataFrame(rows[:7_000] + [(i, "new", 0.0) for i in range(2_000)], schema)
+    other = spark.createDataFrame([(i, f"m{i}", 0.5) for i in range(9_000)], schema)
+    assert content_overlap(one, copy, 9_000) == 1.0 and content_overlap(one, other, 9_000) == 0.0
+    assert 0.7 < content_overlap(one, part, 9_000, 4_000) < 0.85
+    twice = one.unionAll(one)
+    assert 0.4 < content_overlap(twice, one, 18_000) < 0.6 and content_overlap(one.limit(0), one.limit(0), 0) == 1.0
+    classes = {r["table"]: r["class"] for r in classify_tables({"a": one, "b": copy, "c": other, "cleaned_c": one}).collect()}
+    assert classes["b"] == "duplicate" and classes["cleaned_c"] == "duplicate" and classes["c"] != "duplicate"
+    old = {r["table"]: r["class"] for r in classify_tables({"a": one, "c": other}, same_rows=0).collect()}
+    assert old["c"] == "duplicate"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import CASE, normalise_key, share_pct
-from casemill.operators.joins import balanced_join
+from casemill.operators.joins import MEASURE, balanced_join
 
 On = str | Mapping[str, str]
 
@@ -33,12 +33,14 @@ def enrich(
     prefix: str = "",
     on_dup: str = "error",
     normalise: bool = False,
+    hot: DataFrame | None | str = MEASURE,
 ) -> DataFrame:
     """Add reference columns to events; events without a match stay, with nulls.
 
     Columns never replace log columns (a clash raises; use ``prefix``). The reference key must be unique:
     ``on_dup="error"`` checks it and raises, ``"first"`` takes the smallest row per key, ``"trust"`` skips
-    the check for keys known to be unique. ``normalise`` compares keys without case and outer blanks.
+    the check for keys known to be unique. ``normalise`` compares keys without case and outer blanks. ``hot`` is what
+    ``measure_hot_keys`` found for the log's key.
     """
     pairs = key_pairs(on)
     names = [prefix + c for c in columns]
@@ -58,7 +60,7 @@ def enrich(
         if twice:
             raise ValueError(f"reference key is not unique, for example {[r.asDict() for r in twice]}")
     if not normalise:
-        return balanced_join(log, table, [(l, k) for (l, _), k in zip(pairs, keys)])
+        return balanced_join(log, table, [(l, k) for (l, _), k in zip(pairs, keys)], hot=hot)
     keyed = log.withColumns({f"_l{i}": normalise_key(l) for i, (l, _) in enumerate(pairs)})
     joined = balanced_join(keyed, table, [(f"_l{i}", k) for i, k in enumerate(keys)])
     return joined.drop(*[f"_l{i}" for i in range(len(pairs))])

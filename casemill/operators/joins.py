@@ -39,6 +39,33 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_E
     return None if hot.isEmpty() else hot
 
 
+MEASURE = "measure"
+
+
+def measure_hot_keys(
+    df: DataFrame, columns: Sequence[str], rows: int, max_task_rows: int = MAX_TASK_EVENTS
+) -> dict[str, DataFrame | None]:
+    """Per column what ``hot_keys`` gives for it, from one scan for all of them and none where ``rows``, a bound of the rows of
+    ``df``, fit a task.
+
+    Sketches of the most frequent values are kept in map-side partials, with so many counters that they are wrong by a small part
+    of ``max_task_rows``; a key that is held for hot by mistake is merely spread. A rather frequent key counts as hot from
+    three quarters of the bound on, as estimates can be too low.
+    """
+    columns = list(dict.fromkeys(columns))
+    if rows <= max_task_rows or not columns:
+        return dict.fromkeys(columns)
+    full = -(-rows // max_task_rows)  # so many keys can be hot at most
+    top, counters = min(100_000, 2 * full + 8), min(1_000_000, 64 * full + 1_000)
+    sketches = df.select(*[F.expr(f"approx_top_k(`{c}`, {min(top, counters)}, {counters})").alias(f"_s{i}") for i, c in enumerate(columns)])
+    found = {}
+    for i, (c, top_values) in enumerate(zip(columns, sketches.first())):
+        kind = df.schema[c].dataType.simpleString()
+        hot = [(v["item"], -(-v["count"] // max_task_rows)) for v in top_values or () if 4 * v["count"] > 3 * max_task_rows]
+        found[c] = df.sparkSession.createDataFrame(hot, f"_h0 {kind}, _parts int") if hot else None
+    return found
+
+
 def balanced_join(
     left: DataFrame,
     right: DataFrame,
@@ -46,10 +73,12 @@ def balanced_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     max_task_rows: int = MAX_TASK_EVENTS,
+    hot: DataFrame | None | str = MEASURE,
 ) -> DataFrame:
     """Join ``left`` and ``right`` on equal keys; the right key columns are dropped.
 
-    Runs a job at call time to measure the sides. A right side of checked size is broadcast. Otherwise the join
+    Runs a job at call time to measure the sides; ``hot`` is what ``measure_hot_keys`` found for the left key, where a caller
+    has measured it. A right side of checked size is broadcast. Otherwise the join
     shuffles, and left rows of hot keys are spread over several partitions, with the right rows of those keys repeated
     for each. Where a hot row goes is drawn once and written down, so equal rows part and a lost executor changes nothing.
     """
@@ -61,7 +90,8 @@ def balanced_join(
     drop = [f"_k{i}" for i in range(len(on))]
     if fits_broadcast(renamed, max_rows):
         return left.join(F.broadcast(renamed), all_of(match), how).drop(*drop)
-    hot = hot_keys(left, [l for l, _ in on], max_task_rows)
+    if isinstance(hot, str):
+        hot = hot_keys(left, [l for l, _ in on], max_task_rows)
     if hot is None:
         return left.join(renamed, all_of(match), how).drop(*drop)
     names = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from casemill.functions.columns import METRICS
 from casemill.operators.enrich import enrich, match_rate
 from casemill.operators.extract import extract_source, mapping_stats, standardise_activities, union_events
+from casemill.operators.joins import MEASURE, measure_hot_keys
 from casemill.operators.metrics import add_metrics
 from casemill.operators.ordering import MAX_TASK_EVENTS, CaseLoad, measure_cases
 from casemill.sources.config import EventLogConfig, SourceSpec, number_events, table_of
@@ -58,12 +59,20 @@ def raw_events(spark: SparkSession, cfg: EventLogConfig, tables: Tables = None)
 def build_event_log(
     spark: SparkSession, cfg: EventLogConfig, tables: Tables = None, load: CaseLoad | None = None
 ) -> DataFrame:
-    """Extract, unite, enrich and add metrics; ``tables`` replaces catalog tables by name."""
+    """Extract, unite, enrich and add metrics; ``tables`` replaces catalog tables by name.
+
+    Where the log is larger than what a task may hold, the hot keys of all enrichments are found in one scan of the events;
+    only keys that an enrichment brings along are measured later.
+    """
     events = raw_events(spark, cfg, tables)
+    load = load or log_load(spark, cfg, tables)
+    keys = [e.join_key for e in cfg.enrichment if e.join_key in events.columns]
+    hot = measure_hot_keys(events, keys, load.events, load.max_task_events)
     for e in cfg.enrichment:
         ref = table_of(spark, tables, e.table)
-        events = enrich(events, ref, {e.join_key: e.ref_key or e.join_key}, e.columns, e.prefix)
-    log = add_metrics(events, load=load or log_load(spark, cfg, tables))
+        known = hot.get(e.join_key, None if load.small else MEASURE)
+        events = enrich(events, ref, {e.join_key: e.ref_key or e.join_key}, e.columns, e.prefix, hot=known)
+    log = add_metrics(events, load=load)
     first = [c for c in log.columns if c not in METRICS and c not in ("source_seq", "event_id")]
     return log.select(*first, *METRICS, "source_seq", "event_id")
 

@@ -351,3 +351,31 @@ def test_script_builds_the_same_log(spark):
     assert "of 6 events match ref" in text and build_script(spark, cfg, t, create=True).startswith("CREATE OR REPLACE TABLE `out`.`l` AS")
     for name in t:
         spark.catalog.dropTempView(name)
+
+
+def test_hot_keys_of_a_build_are_measured_once(spark, monkeypatch):
+    """Three enrichments that are not broadcast: no join reads the events to find its hot keys, and the log is the same."""
+    from casemill.operators import joins
+    from casemill.operators.ordering import measure_cases
+    from casemill.plans.build import build_event_log, raw_events
+    from casemill.sources.config import EnrichmentSpec
+
+    rows = [(i, "hot" if i % 3 else f"k{i}", i % 5, None if i % 2 else i, day(1)) for i in range(600)]
+    src = spark.createDataFrame(rows, "id int, who string, nr int, other int, at timestamp_ntz")
+    refs = {
+        "w": spark.createDataFrame([("hot", 1), ("k0", 2)], "who string, w int"), "n": spark.createDataFrame([(k, k * k) for k in range(4)], "nr int, n int"),
+        "o": spark.createDataFrame([(k, -k) for k in range(0, 600, 3)], "other int, o int"),
+    }
+    t = {"src": src, **refs}
+    cfg = EventLogConfig("l", "l", (SourceSpec("src", "id", (EventSpec("Go", "at"),), key=("id",)),), {}, (
+        EnrichmentSpec("w", "who", ("w",)), EnrichmentSpec("n", "nr", ("n",)), EnrichmentSpec("o", "other", ("o",))))
+    want = sorted(map(str, build_event_log(spark, cfg, t).collect()))
+    load = measure_cases(raw_events(spark, cfg, t), max_task_events=100)
+    found = joins.measure_hot_keys(src, ["who", "nr", "other", "id"], 600, 100)
+    assert {c: sorted((r[0], r[1]) for r in f.collect()) if f is not None else None for c, f in found.items()} == {
+        "who": [("hot", 4)], "nr": [(k, 2) for k in range(5)], "other": [(None, 3)], "id": None,
+    }
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("the events are read once more"))
+    assert sorted(map(str, build_event_log(spark, cfg, t, load).collect())) == want
+    assert joins.measure_hot_keys(src, ["who"], 600, 600) == {"who": None}

@@ -22,7 +22,7 @@ def report(
 
     All activities are listed by name. The log is read four times: for its counts per case and activity, which are
     written at call time, for the gates, for the coverage, and for the match rates of all enrichments whose keys it has
-    (``tables`` replaces catalog tables by name).
+    and whose tables are there (``tables`` replaces catalog tables by name).
     """
     counts = cut_lineage(log.groupBy(CASE, ACTIVITY).agg(F.count(F.lit(1)).alias("n")))
     per_case = counts.groupBy(CASE).agg(F.sum("n").alias("n"))
@@ -66,7 +66,8 @@ def report(
         parts.append(
             rates.select(F.lit(10).alias("position"), F.concat(F.lit("coverage: "), "column").alias("item"), F.col("pct").cast("string").alias("value"))
         )
-    joined = [e for e in cfg.enrichment if e.join_key in log.columns]
+    there = lambda name: name in (tables or {}) or spark.catalog.tableExists(name)
+    joined = [e for e in cfg.enrichment if e.join_key in log.columns and there(e.table)]
     if joined:
         refs = [(e.table, table_of(spark, tables, e.table), {e.join_key: e.ref_key or e.join_key}) for e in joined]
         text = F.format_string(

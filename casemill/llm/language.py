@@ -26,39 +26,29 @@ TRAIN_DOCS = 4_000  # documents of each language that its profile is made from,
 PROFILE = 400  # n-grams of a profile, and of a document that are compared
 SIZES = (1, 2, 3)
 UNKNOWN = "und"
-_LETTERS = 768  # code points with a code of their own; the others share 255
-
-
-def _code_table() -> np.ndarray:
-    points = range(1 << 16)
-    return np.array(
-        [0 if not chr(c).isalpha() else c if c < _LETTERS else _LETTERS + c % 255 for c in points], np.uint32
-    )
-
-
-_CODES = _code_table()
+_BLANK = 1  # no letter has this code point; 0 stands before shorter n-grams
+_CODES = np.array([c if chr(c).isalpha() else _BLANK for c in range(1 << 16)], np.int64)
 
 
 def grams(text: str) -> np.ndarray:
-    """All n-grams of a text, as numbers: the length, then ten bits a character."""
+    """All n-grams of a text, as numbers of three code points with 21 bits each."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     high = points >= 1 << 16
     codes = _CODES[np.where(high, 0, points)]
     if high.any():
-        codes[high] = [_LETTERS + ord(c) % 255 if c.isalpha() else 0 for c in map(chr, points[high].tolist())]
-    keep = codes > 0
-    keep[1:] |= codes[:-1] > 0  # one blank after a word
-    codes = np.concatenate([[np.uint32(0)], codes[keep]]) if keep.any() else codes[:0]
-    if len(codes) == 0 or not codes.any():
-        return np.zeros(0, np.uint32)
-    if codes[-1]:
-        codes = np.append(codes, np.uint32(0))
-    if codes[1] == 0:
+        codes[high] = [ord(c) if c.isalpha() else _BLANK for c in map(chr, points[high].tolist())]
+    keep = codes != _BLANK
+    keep[1:] |= codes[:-1] != _BLANK  # one blank after a word
+    blank = np.array([_BLANK], np.int64)
+    codes = np.concatenate([blank, codes[keep], blank]) if keep.any() else codes[:0]
+    if (codes == _BLANK).all():
+        return np.zeros(0, np.int64)
+    if codes[-2] == _BLANK:
+        codes = codes[:-1]
+    if codes[1] == _BLANK:
         codes = codes[1:]
-    one = codes[codes > 0] | np.uint32(1 << 30)
-    two = (codes[:-1] << np.uint32(10)) | codes[1:] | np.uint32(2 << 30)
-    three = (codes[:-2] << np.uint32(20)) | (codes[1:-1] << np.uint32(10)) | codes[2:] | np.uint32(3 << 30)
-    return np.concatenate([one, two, three]).astype(np.uint32)
+    two = (codes[:-1] << 21) | codes[1:]
+    return np.concatenate([codes[codes != _BLANK], two, (codes[:-2] << 42) | two[1:]])
 
 
 def counted(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,11 +60,10 @@ def counted(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def ranked(found: np.ndarray, most: int = PROFILE) -> np.ndarray:
     """The most frequent n-grams, in order of rank."""
     gram, count = counted(found)
-    key = ((np.int64(1 << 31) - count) << 32) | gram.astype(np.int64)
-    if len(key) > most:
-        key = np.partition(key, most)[:most]
-    key.sort()
-    return (key & 0xFFFFFFFF).astype(np.uint32)
+    if len(gram) > most:
+        enough = count >= np.partition(count, len(count) - most)[len(count) - most]
+        gram, count = gram[enough], count[enough]
+    return gram[np.lexsort((gram, -count))[:most]]
 
 
 @dataclass(frozen=True)
@@ -98,7 +87,7 @@ class Profiles:
 
 
 def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Profiles:
-    """Profiles from at most about ``rows`` documents of each language outside the held-out fold.
+    """Profiles from at most about ``rows`` distinct texts of each language outside the held-out fold.
 
     PROFILE n-grams a language reach the driver.
     """
@@ -112,7 +101,7 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Profiles:
                 all_of = np.concatenate(parts)
                 if len(all_of):
                     gram, n = counted(all_of)
-                    yield pa.record_batch([pa.array([lang] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n)],
+                    yield pa.record_batch([pa.array([lang] * len(gram)), pa.array(gram), pa.array(n)],
                                           names=["lang", "gram", "n"])
 
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
@@ -120,13 +109,14 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Profiles:
     chosen = known.select("doc_id", F.col("lang"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(share), "lang"  # a row for each language
     )
-    part = F.pmod(F.xxhash64("doc_id", "text", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
-    sums = chosen.where(part < F.col("_share")).select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    part = F.pmod(F.xxhash64("text", F.lit("lang")), F.lit(1 << 20)) / (1 << 20)
+    chosen = chosen.where(part < F.col("_share")).select("lang", "text").dropDuplicates()  # copies of a text count once
+    sums = chosen.mapInArrow(count, "lang string, gram long, n long")
     sums = sums.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     rows_read = sums.withColumn("rank", rank - 1).where(F.col("rank") < PROFILE).select("lang", "gram", "rank").collect()
     names = tuple(sorted({r["lang"] for r in rows_read}))
-    gram = np.array(sorted({r["gram"] for r in rows_read}), np.uint32)
+    gram = np.array(sorted({r["gram"] for r in rows_read}), np.int64)
     table = np.full((len(gram), len(names)), PROFILE, np.int64)
     for r in rows_read:
         table[np.searchsorted(gram, r["gram"]), names.index(r["lang"])] = r["rank"]

@@ -9,6 +9,7 @@ import string
 import sysconfig
 import time
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -566,3 +567,47 @@ def test_op8_large_benchmark_against_one_shard():
     found = decontaminate._documents(row, windows, None).column("phrases").to_pylist()
     assert time.perf_counter() - start < 10
     assert {d: p for d, p in enumerate(found) if p} == {3: [{"item_id": 7, "from": 20_000, "to": 20_200}]}
+
+
+def plain_language(text, profiles, most):
+    """(language, distance): n-grams as strings, ranked in dictionaries. Profiles: language -> list of n-grams."""
+    found = Counter()
+    padded = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    for size in (1, 2, 3):
+        found.update(g for g in (padded[k : k + size] for k in range(len(padded) - size + 1)) if g != " ")
+    if not padded.strip():
+        return None
+    order = lambda g: (-found[g], [0] * (3 - len(g)) + [1 if c == " " else ord(c) for c in g])
+    own = sorted(found, key=order)[:most]
+    apart = {}
+    for name, grams in profiles.items():
+        place = {g: k for k, g in enumerate(grams)}
+        apart[name] = sum(abs(place[g] - k) if g in place else most for k, g in enumerate(own))
+    best = min(sorted(apart), key=lambda n: apart[n])
+    return best, 1 - apart[best] / (most * len(own)), own
+
+
+def test_op3_against_plain_profiles(spark):
+    """Four scripts, whose letters are told apart: predictions and scores of a plain version, on texts of every kind."""
+    rng = random.Random(1)
+    alphabets = {"el": "αβγδεζηθικλμνξοπρστυφχψω", "ru": "абвгдежзиклмнопрстуфхцчшщ", "xx": "abcdefghij", "zh": "的一是不了人我在有他这中大来上国", "go": "𐌰𐌱𐌲𐌳𐌴𐌵𐌶𐌷"}
+    word = lambda a: "".join(rng.choice(a[: rng.randrange(3, len(a))]) for _ in range(rng.randrange(1, 7)))
+    rows = [(i, " ".join(word(alphabets[lang]) for _ in range(30)), lang) for i, lang in enumerate(list(alphabets) * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = language.train(docs)
+    assert set(profiles.names) == set(alphabets)
+    learned = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    plain = {}
+    for lang in alphabets:
+        found = Counter()
+        for t in (t for t, x in learned if x == lang):
+            padded = f" {t.lower()} "
+            for size in (1, 2, 3):
+                found.update(g for g in (padded[k : k + size] for k in range(len(padded) - size + 1)) if g != " ")
+        order = lambda g: (-found[g], [0] * (3 - len(g)) + [1 if c == " " else ord(c) for c in g])  # noqa: B023, E731
+        plain[lang] = sorted(found, key=order)[:400]
+    odd = [t for _, t, _ in rows] + ["αβ abc", "Привет, МИР!", "a", "  a  b ", "123 x9y", "...", "", "\U00010330x"]
+    for text in odd:
+        want = plain_language(text, plain, 400)
+        got = profiles.judge(text)
+        assert got == (("und", 0.0) if want is None else (want[0], pytest.approx(want[1]))), text

@@ -30,6 +30,7 @@ PII_PATTERNS = (
     ("phone", r"(\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"),
     ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
     ("card", r"\b[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}\b"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?\b"),
     ("ip", r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"),
 )
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import permutations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import usable
@@ -167,17 +167,62 @@ def key_relationships(
     )
 
 
-def pii_scan(df: DataFrame) -> DataFrame:
+def _digits(found: Column) -> Column:
+    return F.regexp_replace(found, "[^0-9]", "")
+
+
+def luhn(digits: Column) -> Column:
+    """Does the last digit check the others? From the right, every second digit counts double, as the sum of its digits."""
+    def worth(d: Column, i: Column) -> Column:
+        double = d.cast("int") * 2
+        return F.when(i % 2 == 0, d.cast("int")).otherwise(F.when(double > 9, double - 9).otherwise(double))
+
+    return F.aggregate(F.transform(F.split(F.reverse(digits), ""), worth), F.lit(0), lambda a, b: a + b) % 10 == 0
+
+
+def iban(found: Column) -> Column:
+    """Is the number, with its first four characters last and letters as 10 to 35, one more than a multiple of 97?"""
+    plain = F.upper(F.replace(found, F.lit(" "), F.lit("")))
+    turned = F.split(F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4)), "")
+    value = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    step = lambda rest, c: (rest * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c)) % 97
+    return (F.length(plain) >= 15) & (F.aggregate(turned, F.lit(0), step) == 1)
+
+
+def _parts_up_to(found: Column, most: int) -> Column:
+    return F.forall(F.split(found, r"\."), lambda part: part.cast("int") <= most)
+
+
+def _issued(found: Column) -> Column:
+    """Number ranges that are given out: no group of zeros, and no area 666 or from 900 on."""
+    area, group, serial = (F.substring_index(found, "-", 1), F.substring(found, 5, 2), F.substring_index(found, "-", -1))
+    return ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
+
+
+# What a match of a pattern must be to count, where digits alone do not tell.
+PII_CHECKS = {"card": lambda m: luhn(_digits(m)), "iban": iban, "ip": lambda m: _parts_up_to(m, 255), "ssn": _issued}
+
+
+def pii_scan(df: DataFrame, checked: bool = True) -> DataFrame:
     """(column, kind, rows, hits, rate): how many values of each text column contain personal data.
 
-    All patterns are tested in one scan over the whole texts; rows counts the non-null values.
+    All patterns are tested in one scan over the whole texts; rows counts the non-null values. With ``checked``, digit
+    runs that look like a card, an account, an address or a social security number only count if one of them also passes its
+    check digits or ranges.
     """
+
+    def holds(text: Column, kind: str, pattern: str) -> Column:
+        if not checked or kind not in PII_CHECKS:
+            return text.rlike(pattern)
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.when(text.rlike(pattern), F.exists(found, PII_CHECKS[kind])).otherwise(F.lit(False))
+
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     measures = [F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(texts)]
     cells = []
     for i, c in enumerate(texts):
         for j, (kind, pattern) in enumerate(PII_PATTERNS):
-            measures.append(F.count_if(F.col(f"`{c}`").rlike(pattern)).alias(f"_h{i}_{j}"))
+            measures.append(F.count_if(holds(F.col(f"`{c}`"), kind, pattern)).alias(f"_h{i}_{j}"))
             rate = F.when(F.col(f"_n{i}") > 0, F.round(F.col(f"_h{i}_{j}") / F.col(f"_n{i}"), 4))
             cells.append(
                 F.struct(

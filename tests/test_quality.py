@@ -134,6 +134,18 @@ def test_pii(spark):
     assert hits["email"] == (3, 1) and hits["phone"] == (3, 1) and hits["ip"] == (3, 0)
 
 
+def test_pii_numbers_must_pass_their_checks(spark):
+    """Digit runs of the right shape that fail a check digit or a range do not count."""
+    good = ["card 4111 1111 1111 1111.", "4000-0000-0000-0002 and 1234 5678 9012 3456", "ip 10.0.0.255", "ssn 123-45-6789",
+            "GB82 WEST 1234 5698 7654 32", "to DE89370400440532013000 now"]
+    bad = ["4111 1111 1111 1112", "256.1.1.1", "000-45-6789", "666-45-6789, 912-11-1111, 123-00-1111, 123-45-0000", "DE89370400440532013001",
+           "AB12 CDEF GHIJ KL"]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad, None]], "t string")
+    hits = lambda **k: {r["kind"]: r["hits"] for r in pii_scan(df, **k).collect()}
+    assert {k: hits()[k] for k in ("card", "ip", "ssn", "iban")} == {"card": 2, "ip": 1, "ssn": 1, "iban": 2}
+    assert {k: hits(checked=False)[k] for k in ("card", "ip", "ssn", "iban")} == {"card": 3, "ip": 2, "ssn": 3, "iban": 4}
+
+
 def test_templates(p2p_log):
     got = {r["template"]: r["hits"] for r in match_templates(p2p_log).collect()}
     assert got["procure_to_pay"] == max(got.values()) and got["procure_to_pay"] >= 4

@@ -142,7 +142,11 @@ def sweep(runs: dict[int, int], capacity: int) -> np.ndarray:
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = "byte_bpe_50k") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece of a document."""
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece of a document.
+
+    Ids are those of the tokenizer with ``encode_special_tokens``: the string of an added token in a text, ``<|endoftext|>`` in
+    this vocabulary, is ordinary text and cannot forge its id.
+    """
     cut = stored(pieces(docs, capacity, tokenizer), "pieces")
     here = cut.groupBy("part", "length").agg((F.max("rank") + 1).alias("n"))
     here = stored(here, "runs")

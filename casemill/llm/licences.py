@@ -7,10 +7,11 @@ calibrated on lines which hold no notice, and stands only if the lines have enou
 templates of several families are there, each is judged without the words that only the others have, and must have enough of
 what tells it from each of them: two licences of a line are both reported, and a licence whose version is not told is none. The shortest run of lines with a family is one notice; those of a family do not overlap.
 
-The regression learns from the templates, each also with some of its words left out, and from lines of a bounded
-number of documents as ``unknown``; lines like a template are left out of these. Scoring is one pass over the documents
-without a shuffle: lines out of reach of the words that every confirmed run of lines must have one of are passed over, which
-changes no result.
+The regression learns from the templates, each also with some of its words left out, and from the lines of all distinct
+texts as ``unknown``; lines like a template are left out of these. Lines with the same words and pairs of the vocabulary are
+one row weighted by their number, so the texts are read once and only these words of them are shuffled. Scoring is one more
+pass without a shuffle: lines out of reach of the words that every confirmed run of lines must have one of are passed over,
+which changes no result.
 
 Null and empty texts have no paragraphs. Rows are judged one by one, so repeated rows and ids change nothing; an empty
 table gives an empty result. Extra columns are ignored.
@@ -24,10 +25,12 @@ from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRAIN_DOCS = 2_000  # documents whose lines stand for ``unknown``, about
+from casemill.session import written
+
 VARIANTS = 24  # of each template, with words left out
 VOCABULARY = 4_096
 PENALTY = 2e-4
@@ -36,6 +39,8 @@ CONFIRM = 0.7  # share of a template's words and word pairs that a line must hav
 FALSE_ALARMS = 0.001  # of lines without a notice
 LEAST_PROBABILITY = 0.5
 UNKNOWN = "unknown"
+TASK_LINES = 100_000  # different lines that a task of the regression goes over
+STEPS = 1_000  # parts into which a round divides the probabilities that the threshold lies between
 
 # Short notices by which texts name their licence.
 TEMPLATES = {
@@ -141,9 +146,57 @@ def anchors() -> list[str]:
     return sorted(chosen)
 
 
-def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
-    """Fit to the templates and to lines of at most about ``rows`` documents, which all lie in executors; the weights
-    come to the driver, VOCABULARY times classes at most."""
+def _anchored(grams: set[str]) -> list[str]:
+    """Those of ``grams`` that are a word with an anchor in it: a line without any is like no template."""
+    return sorted(g for g in grams if " " not in g and any(a in g for a in anchors()))
+
+
+def _known(text: Column, grams: set[str]) -> Column:
+    """Those of ``grams`` that are words or word pairs, for every line of a text."""
+    inner = sorted({w for g in grams for w in g.split(" ")})
+    marked = F.transform(lines(text), lambda line: F.transform(_words(line), lambda w: F.when(w.isin(inner), w)))
+
+    def found(words: Column) -> Column:
+        pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.sort_array(F.array_distinct(F.filter(F.concat(words, pairs), lambda g: g.isin(sorted(grams)))))
+
+    return F.transform(marked, found)
+
+
+def _line_counts(docs: DataFrame, grams: set[str]) -> DataFrame:
+    """(grams, weight): the lines of all distinct texts by those of ``grams`` they have, and their number.
+
+    Texts are told apart by 128 bits of hashes beside what is known of their lines, so no whole text is shuffled.
+    """
+    text = F.col("text").cast("string")
+    known = F.transform(_known(text, grams), lambda line: F.array_join(line, ","))
+    texts = docs.where(text.isNotNull()).select(F.xxhash64(text), F.xxhash64(F.lit(1), text), known.alias("lines")).distinct()
+    counts = texts.select(F.explode("lines").alias("line")).groupBy("line").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return counts.select(F.filter(F.split("line", ","), lambda g: g != "").alias("grams"), "weight")
+
+
+def _exceeded(scored: DataFrame, share: float) -> float:
+    """The largest p of ``scored`` (p, weight) that rows of more than ``share`` in weight have or exceed, LEAST_PROBABILITY at
+    least. Each round adds the weights of STEPS ranges up and goes on within one of them."""
+    least, most, left = LEAST_PROBABILITY, 1.0, share
+    while True:
+        step = F.floor((F.col("p") - least) / (most - least) * STEPS)
+        within = scored.where((F.col("p") >= least) & (F.col("p") <= most)).groupBy(step.alias("step"))
+        ranges = within.agg(F.sum("weight").alias("weight"), F.min("p").alias("least"), F.max("p").alias("most"))
+        for row in sorted(ranges.collect(), key=lambda r: -r["step"]):  # STEPS + 1 rows at most
+            if left < row["weight"]:
+                break
+            left -= row["weight"]
+        else:
+            return LEAST_PROBABILITY
+        if row["least"] == row["most"]:
+            return float(row["least"])
+        least, most = row["least"], row["most"]
+
+
+def train(docs: DataFrame) -> Model:
+    """Fit to the templates and to the lines of all documents; the weights come to the driver, VOCABULARY times classes at
+    most."""
     spark = docs.sparkSession
     classes = [*sorted(TEMPLATES), UNKNOWN]
     words = F.filter(F.split("line", " "), lambda w: F.pmod(F.xxhash64(w, F.col("variant")), F.lit(6)) != 0)
@@ -151,20 +204,16 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     whole = F.when(F.col("variant") == 0, F.col("line")).otherwise(F.array_join(words, " "))
     number = F.array_position(F.array(*map(F.lit, classes)), F.col("family")) - 1
     positive = variants.select(number.cast("double").alias("label"), features(whole).alias("grams"))
-    share = min(1.0, rows / max(docs.count(), 1))
-    text = F.col("text").cast("string")
-    sample = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    others = sample.select(text.alias("text")).dropDuplicates().select(F.explode(lines(F.col("text"))).alias("line")).select(features(F.col("line")).alias("grams"))
-    others = others.where(_likeness(F.col("grams"), sorted(TEMPLATES)) < CONFIRM)
     counter = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=VOCABULARY, binary=True).fit(positive)
-    known = F.array(*map(F.lit, counter.vocabulary))
-    # Lines are alike to the regression if they have the same known words: one row each, weighted by their number.
-    others = others.select(F.array_sort(F.array_intersect("grams", known)).alias("grams")).groupBy("grams")
-    others = others.agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    own = {" ".join(g) for ts in TEMPLATES.values() for t in ts for g in _grams(t)}
+    others = _line_counts(docs, own.union(counter.vocabulary))
+    like = F.exists("grams", lambda g: g.isin(_anchored(own))) & (_likeness(F.col("grams"), sorted(TEMPLATES)) >= CONFIRM)
+    others = written(others.where(~like), "licence-lines")
+    tasks = 1 + others.count() // TASK_LINES
     none = spark.range(1).select(F.array().cast("array<string>").alias("grams"), F.lit(1.0).alias("weight"))
     others = others.unionByName(none).withColumn("label", F.lit(len(classes) - 1.0))
     data = positive.withColumn("weight", F.lit(1.0)).unionByName(others)
-    data = counter.transform(data).coalesce(1).cache()  # a few hundred rows
+    data = counter.transform(data).repartition(tasks).cache()
     other = F.col("label") == len(classes) - 1.0
     notices, rest = data.agg(F.sum(F.when(~other, F.col("weight"))), F.sum(F.when(other, F.col("weight")))).first()
     scale = F.when(other, UNKNOWN_SHARE * notices / rest).otherwise(1.0)
@@ -176,17 +225,13 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     table = fitted.coefficientMatrix.toArray()
     weights = {g: [float(v) for v in table[:, i]] for i, g in enumerate(counter.vocabulary) if abs(table[:, i]).max() > 0}
     model = Model(classes, [float(v) for v in fitted.interceptVector], weights, LEAST_PROBABILITY)
-    alarm = data.where(other).select("weight", _probabilities(F.col("grams"), model).alias("p"))
-    alarm = alarm.select("weight", F.array_max(F.slice("p", 1, len(classes) - 1)).alias("p"))
-    # The probability that no more than FALSE_ALARMS of the other lines exceed.
-    left, threshold = FALSE_ALARMS * rest, LEAST_PROBABILITY
-    for row in alarm.orderBy(F.desc("p")).limit(int(left) + 1).collect():
-        left -= row["weight"]
-        if left < 0:
-            threshold = max(threshold, row["p"])
-            break
+    family = lambda p: F.array_max(F.slice(p, 1, len(classes) - 1))
+    # The scan's own figures decide; the many lines that are surely below are passed over.
+    alarm = fitted.transform(data.where(other)).where(family(vector_to_array("probability")) > LEAST_PROBABILITY - 0.01)
+    alarm = alarm.select("weight", family(_probabilities(F.col("grams"), model)).alias("p"))
+    threshold = _exceeded(alarm, FALSE_ALARMS * rest)
     data.unpersist()
-    return Model(model.classes, model.intercepts, model.weights, float(threshold))
+    return Model(model.classes, model.intercepts, model.weights, threshold)
 
 
 def _probabilities(grams: Column, model: Model) -> Column:

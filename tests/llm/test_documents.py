@@ -456,6 +456,28 @@ def test_op7_wrapped_and_dual_notices(spark, documents):
         assert got[i]["n_notices"] == len(want) and got[i]["families"] == ",".join(sorted({f for f, _ in want}))
 
 
+def test_op7_learns_from_every_line(spark):
+    """Each line of each distinct text counts once, however many documents there are."""
+    texts = [f"the public work {i}\n\nunder version 3" for i in range(5_000)] + ["the public work 0\n\nunder version 3", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {tuple(r["grams"]): r["weight"] for r in licences._line_counts(docs, {"the", "public", "the public", "version 3"}).collect()}
+    assert got == {("public", "the", "the public"): 5_000, ("version 3",): 5_000}
+
+
+def test_op7_threshold_by_all_weights(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(p), float(w)) for p, w in zip(np.round(rng.random(400), 3), rng.integers(1, 9, 400))]
+    scored = spark.createDataFrame([*rows, (0.9991, 1.0), (0.9991 + 1e-15, 1.0)], "p double, weight double")
+    for share in (0.0, 0.5, 1.0, 7.0, 100.5, 10_000.0):
+        left, want = share, licences.LEAST_PROBABILITY
+        for p, w in sorted([*rows, (0.9991, 1.0), (0.9991 + 1e-15, 1.0)], reverse=True):
+            left -= w
+            if left < 0:
+                want = max(want, p)
+                break
+        assert licences._exceeded(scored, share) == want
+
+
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_op4_model_finds_parts_of_runs(spark, sf_dir):
     """Random strings beside plain spans and within ordinary names, and nothing else of these."""

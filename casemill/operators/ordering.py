@@ -20,6 +20,7 @@ from casemill.session import cut_lineage
 
 MAX_TASK_EVENTS = 5_000_000  # events of one case that a single task may hold
 MAX_ACTIVITIES = 1000  # up to here, a table of activity pairs is small enough to broadcast
+MIN_PARTITION_EVENTS = 200_000  # events of hot cases that are worth a partition of their own
 BROADCAST_KEYS = 500_000  # up to so many hot cases, their names are broadcast
 
 
@@ -116,12 +117,18 @@ def _hashable(df: DataFrame) -> list[str]:
 def _slices(hot: DataFrame, key: Sequence[str], order: Sequence[str], load: CaseLoad) -> tuple[DataFrame, list[str]]:
     """Events of hot cases in slices of their full order, and that order.
 
-    The slice numbers are written down before they are used, so that a lost executor cannot change them.
+    The order is cut into partitions, and these into slices of half of what a task may hold, by the places of the
+    events. So partitions, whose results all go to the driver, are few however small the slices are. The slice
+    numbers are written down before they are used, so that a lost executor cannot change them.
     """
-    count = max(2, 2 * -(-load.hot_events // load.max_task_events))
+    count = max(2, 2 * -(-load.hot_events // max(load.max_task_events, MIN_PARTITION_EVENTS)))
     full_order = [*order, "_tie"]
     events = hot.withColumn("_tie", F.xxhash64(*_hashable(hot))).repartitionByRange(count, *key, *full_order)
-    return cut_lineage(events.withColumn("_slice", F.spark_partition_id())), full_order
+    at = F.monotonically_increasing_id()  # the partition above 33 bits for the place in it
+    events = events.sortWithinPartitions(*key, *full_order).withColumn("_at", at)
+    here = F.col("_at").bitwiseAND((1 << 33) - 1)
+    slice_no = F.col("_at") - here + F.floor(here / max(1, load.max_task_events // 2))
+    return cut_lineage(events.withColumn("_slice", slice_no).drop("_at")), full_order
 
 
 def _with_slice_table(events: DataFrame, table: DataFrame, key: Sequence[str], load: CaseLoad) -> DataFrame:

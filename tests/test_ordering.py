@@ -11,7 +11,7 @@ from casemill.operators.extract import cdc_events
 from casemill.operators.joins import balanced_join, fits_broadcast, hot_keys
 from casemill.operators.medians import exact_median
 from casemill.operators.metrics import add_metrics, rework_flag
-from casemill.operators.ordering import CaseLoad, measure_cases, neighbours, over_case, running
+from casemill.operators.ordering import CaseLoad, _slices, measure_cases, neighbours, over_case, running
 
 from tests.fixtures import day, make_log, skewed_log
 
@@ -211,3 +211,14 @@ def test_case_ends_by_number(spark):
     assert {r["case_id"]: (r["start"], r["end"]) for r in case_ends(log).collect()} == want
     plan = start_end(log)._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "HashAggregate" in plan
+
+
+def test_slices_are_small_and_partitions_few(log, hot):
+    """Slices of half of what a task may hold, in an order of their own, without a partition for each."""
+    events = log.where("case_id = 'hot'")
+    sliced, order = _slices(events, ["case_id"], ["event_timestamp", "event_id"], hot)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == hot.hot_events and max(sizes) <= hot.max_task_events // 2
+    assert len(sizes) > sliced.rdd.getNumPartitions() == 2
+    numbers = [r["_slice"] for r in sliced.orderBy("case_id", *order).collect()]
+    assert numbers == sorted(numbers)

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import CASE, normalise_key, share_pct
-from casemill.operators.joins import MEASURE, balanced_join
+from casemill.operators.joins import MEASURE, balanced_join, dealt
+from casemill.operators.ordering import measure_cases, split_hot
+from casemill.session import written
 
 On = str | Mapping[str, str]
 
@@ -177,8 +179,21 @@ def coverage_reasons(log: DataFrame, ref: DataFrame, on: On) -> DataFrame:
 
 
 def check_case_constant(log: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, case_id, values): cases in which a case-level attribute takes several values (null not counted)."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
-    long = log.where(F.col(CASE).isNotNull()).select(CASE, F.inline(cells)).where(F.col("value").isNotNull())
-    per_case = long.distinct().groupBy("column", CASE).agg(F.count(F.lit(1)).alias("values"))
-    return per_case.where(F.col("values") > 1)
+    """(column, case_id, values): cases in which a case-level attribute takes several values (null not counted).
+
+    The columns are written, so that they can be counted without making the log twice. Ordinary cases are dealt to as many
+    tasks as the log needs, whole; the values of hot cases are spread.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_v{i}").alias("value")) for i, c in enumerate(columns)])
+    texts = [F.col(f"`{c}`").cast("string").alias(f"_v{i}") for i, c in enumerate(columns)]
+    narrow = written(log.where(F.col(CASE).isNotNull()).select(CASE, *texts), "attributes")
+    load = measure_cases(narrow)
+    normal, hot = split_hot(narrow, load)
+
+    def several(rows: DataFrame) -> DataFrame:
+        long = rows.select(CASE, F.inline(cells)).where(F.col("value").isNotNull())
+        per_case = long.distinct().groupBy("column", CASE).agg(F.count(F.lit(1)).alias("values"))
+        return per_case.where(F.col("values") > 1)
+
+    out = several(dealt(normal, [CASE], load.events * len(columns)))
+    return out if hot is None else out.unionByName(several(hot))

@@ -12,6 +12,7 @@ from casemill.session import cut_lineage
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+TASK_ROWS = 1_000_000  # rows that a task of a shuffle should sort or hold
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -19,6 +20,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
     Arrays, maps and structs count as many bytes as their text has.
     """
+    rows, size = _rows_and_bytes(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def _rows_and_bytes(df: DataFrame) -> tuple[int, int]:
     width = F.lit(0)
     for field in df.schema.fields:
         kind, value = field.dataType.typeName(), F.col(f"`{field.name}`")
@@ -26,8 +32,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
             value = value.cast("string")
         wide = kind in ("string", "binary", "array", "map", "struct", "variant")
         width = width + (F.coalesce(F.octet_length(value), F.lit(0)) if wide else F.lit(8))
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first())
+
+
+def dealt(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` partitioned by ``keys`` into as many parts as keep ``rows`` at ``task_rows`` a task; as it is, where the session's
+    number of shuffle partitions is enough for that."""
+    parts = -(-rows // task_rows)
+    few = parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df if few else df.repartition(parts, *[F.col(f"`{k}`") for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> DataFrame | None:
@@ -81,6 +94,7 @@ def balanced_join(
     has measured it. A right side of checked size is broadcast. Otherwise the join
     shuffles, and left rows of hot keys are spread over several partitions, with the right rows of those keys repeated
     for each. Where a hot row goes is drawn once and written down, so equal rows part and a lost executor changes nothing.
+    The number of partitions grows with the rows (those of the left side are counted where its hot keys are).
     """
     renamed = right.select(
         *[F.col(f"`{r}`").alias(f"_k{i}") for i, (_, r) in enumerate(on)],
@@ -88,15 +102,22 @@ def balanced_join(
     )
     match = [F.col(f"`{l}`") == F.col(f"_k{i}") for i, (l, _) in enumerate(on)]
     drop = [f"_k{i}" for i in range(len(on))]
-    if fits_broadcast(renamed, max_rows):
+    rows, size = _rows_and_bytes(renamed)
+    if rows <= max_rows and size <= BROADCAST_BYTES:
         return left.join(F.broadcast(renamed), all_of(match), how).drop(*drop)
     if isinstance(hot, str):
         hot = hot_keys(left, [l for l, _ in on], max_task_rows)
+        rows += left.count()
+
+    def shuffled(left: DataFrame) -> DataFrame:
+        mine, theirs = dealt(left, [l for l, _ in on], rows), dealt(renamed, drop, rows)
+        return mine.join(theirs, all_of(match), how).drop(*drop)
+
     if hot is None:
-        return left.join(renamed, all_of(match), how).drop(*drop)
+        return shuffled(left)
     names = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     is_hot = all_of([F.col(f"`{l}`").eqNullSafe(F.col(f"_h{i}")) for i, (l, _) in enumerate(on)])
-    cold = left.join(names, is_hot, "left_anti").join(renamed, all_of(match), how).drop(*drop)
+    cold = shuffled(left.join(names, is_hot, "left_anti"))
     own = [f"_h{i}" for i in range(len(on))]
     spread = left.join(names, is_hot).withColumn("_salt", F.floor(F.rand() * F.col("_parts")).cast("int"))
     spread = cut_lineage(spread.drop(*own, "_parts"))

@@ -19,7 +19,9 @@ from casemill.operators.extract import (
     union_events,
     unknown_stages,
 )
+from casemill.operators.joins import dealt
 from casemill.operators.metrics import add_metrics
+from casemill.operators.ordering import measure_cases
 from casemill.plans.build import build_event_log, propose_enrichments, propose_events
 from casemill.plans.report import report
 from casemill.sources.config import (
@@ -379,3 +381,21 @@ def test_hot_keys_of_a_build_are_measured_once(spark, monkeypatch):
     monkeypatch.setattr(joins, "hot_keys", lambda *_: pytest.fail("the events are read once more"))
     assert sorted(map(str, build_event_log(spark, cfg, t, load).collect())) == want
     assert joins.measure_hot_keys(src, ["who"], 600, 600) == {"who": None}
+
+
+def test_case_constant_deals_a_large_log(spark, monkeypatch):
+    """The same cases whether rows are dealt to more tasks, cases are hot, or neither; joins have as many tasks as rows need."""
+    monkeypatch.setattr(en, "measure_cases", lambda df: measure_cases(df, max_task_events=20))
+    rows = [(i % 40 if i % 3 else 7, "x" if i % 40 < 20 else str(i), None if i % 2 else 1) for i in range(900)] + [(None, "y", 2)]
+    log = spark.createDataFrame(rows, "case_id long, a string, b int")
+    want = {}
+    for case, a, b in rows:
+        for name, value in (("a", a), ("b", b)):
+            if case is not None and value is not None:
+                want.setdefault((name, case), set()).add(value)
+    got = en.check_case_constant(log, ["a", "b"]).collect()
+    assert {(r["column"], r["case_id"]): r["values"] for r in got} == {k: len(v) for k, v in want.items() if len(v) > 1}
+    assert len(got) == len({(r["column"], r["case_id"]) for r in got})
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt(log, ["case_id"], 10 * parts, 10) is log
+    assert dealt(log, ["case_id"], 10 * parts + 1, 10).rdd.getNumPartitions() == parts + 1

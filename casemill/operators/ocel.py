@@ -13,6 +13,8 @@ from casemill.operators.ordering import CaseLoad, measure_cases
 from casemill.session import written
 
 EVENT_NO = "event_no"
+BUCKET_LINKS = 2_000_000  # links that a bucket should have at most
+FEW_TYPES = 32  # up to so many object types, links are written in one pass for each
 EVENT_COLUMNS = ("event_id", ACTIVITY, TIMESTAMP, "resource", "cost", "source_table")
 
 
@@ -201,17 +203,28 @@ def save_ocel(ocel: Ocel, base: str, buckets: int | None = None) -> None:
     """Write the three tables under ``base`` plus their suffixes, links in a folder per object type.
 
     With ``buckets``, events and links are dealt to so many buckets by the event number (see ``with_event_numbers``), a file
-    for each, so that no later flattening shuffles them. An event has at most as many links as there are object columns,
-    so buckets are even.
+    for each, so that no later flattening shuffles them; to more where these would have more than BUCKET_LINKS links, so
+    that a bucket is sorted and joined in memory. An event has at most as many links as there are object columns,
+    so buckets are even. Without buckets, the links of each type are written on their own, as writing several folders from
+    a task sorts all its links.
     """
     if buckets is not None and _event_key(ocel) != EVENT_NO:
         raise ValueError("buckets need event numbers")
 
-    def writer(df: DataFrame):
+    if buckets is not None:
+        buckets = max(buckets, -(-ocel.e2o.count() // BUCKET_LINKS))
+
+    def writer(df: DataFrame, mode: str = "overwrite"):
         dealt = df if buckets is None else df.repartition(buckets, EVENT_NO)
-        out = dealt.write.mode("overwrite").format("parquet")
+        out = dealt.write.mode(mode).format("parquet")
         return out if buckets is None else out.bucketBy(buckets, EVENT_NO).sortBy(EVENT_NO)
 
     writer(ocel.events).saveAsTable(base + EVENTS_SUFFIX)
     ocel.objects.write.mode("overwrite").format("parquet").saveAsTable(base + OBJECTS_SUFFIX)
-    writer(ocel.e2o).partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)
+    kinds = [] if buckets is not None else ocel.e2o.select("object_type").distinct().limit(FEW_TYPES + 1).collect()
+    if not 0 < len(kinds) <= FEW_TYPES:
+        writer(ocel.e2o).partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)
+    for i, (kind,) in enumerate(kinds if len(kinds) <= FEW_TYPES else ()):
+        kind = F.lit(kind).cast("string")
+        links = ocel.e2o.where(F.col("object_type").eqNullSafe(kind)).withColumn("object_type", kind)
+        writer(links, "append" if i else "overwrite").partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)

@@ -93,3 +93,23 @@ def test_buckets_are_joined_where_they_lie(spark, events):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         assert rows(oc.object_trace(saved, "Part", "p1")) == rows(oc.object_trace(plain, "Part", "p1"))
         assert {r["violations"] for r in oc.ocel_checks(saved).collect()} == {r["violations"] for r in oc.ocel_checks(plain).collect()}
+
+
+def test_saved_links_are_those_given(spark, events, monkeypatch):
+    """Links written type by type or in one pass, null types included, and none at all; buckets grow with the links."""
+    log = oc.build_ocel(oc.with_event_numbers(events), OBJECTS)
+    odd = log.e2o.limit(2).withColumn("object_type", F.lit(None).cast("string"))
+    every = log.e2o.unionByName(odd)
+    listed = lambda df: sorted(map(repr, df.select("event_id", "object_id", "object_type").collect()))
+    for few in (oc.FEW_TYPES, 1):
+        monkeypatch.setattr(oc, "FEW_TYPES", few)
+        for links in (every, every.limit(0), log.e2o.where("object_type = 'Order'")):
+            with scratch_schema(spark) as schema:
+                oc.save_ocel(oc.Ocel(log.events, log.objects, links), f"{schema}.x")
+                assert listed(oc.load_ocel(spark, f"{schema}.x_ocel_events").e2o) == listed(links)
+    monkeypatch.setattr(oc, "BUCKET_LINKS", 2)
+    with scratch_schema(spark) as schema:
+        oc.save_ocel(log, f"{schema}.x", buckets=2)
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {schema}.x_ocel_e2o").collect()}
+        assert int(detail["Num Buckets"]) == max(2, -(-log.e2o.count() // 2)) > 2
+        assert listed(oc.load_ocel(spark, f"{schema}.x_ocel_events").e2o) == listed(log.e2o)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import CASE, normalise_key, share_pct
-from casemill.operators.joins import MEASURE, balanced_join, dealt
-from casemill.operators.ordering import measure_cases, split_hot
+from casemill.operators.joins import MEASURE, balanced_join
+from casemill.operators.ordering import dealt, measure_cases, split_hot
 from casemill.session import written
 
 On = str | Mapping[str, str]

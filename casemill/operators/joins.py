@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.operators.ordering import MAX_TASK_EVENTS, all_of
+from casemill.operators.ordering import MAX_TASK_EVENTS, all_of, dealt
 from casemill.session import cut_lineage
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-TASK_ROWS = 1_000_000  # rows that a task of a shuffle should sort or hold
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -35,14 +34,6 @@ def _rows_and_bytes(df: DataFrame) -> tuple[int, int]:
     return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first())
 
 
-def dealt(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
-    """``df`` partitioned by ``keys`` into as many parts as keep ``rows`` at ``task_rows`` a task; as it is, where the session's
-    number of shuffle partitions is enough for that."""
-    parts = -(-rows // task_rows)
-    few = parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df if few else df.repartition(parts, *[F.col(f"`{k}`") for k in keys])
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], max_task_rows: int = MAX_TASK_EVENTS) -> DataFrame | None:
     """(_h0, _h1, ..., _parts): keys (nulls included) with more rows than one task should hold, and into how many
     parts they should go, as a written table; None if there are none. ``df`` is read once."""

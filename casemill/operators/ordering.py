@@ -21,6 +21,7 @@ from casemill.session import cut_lineage
 MAX_TASK_EVENTS = 5_000_000  # events of one case that a single task may hold
 MAX_ACTIVITIES = 1000  # up to here, a table of activity pairs is small enough to broadcast
 MIN_PARTITION_EVENTS = 200_000  # events of hot cases that are worth a partition of their own
+TASK_ROWS = 1_000_000  # rows that a task of a shuffle should sort or hold
 BROADCAST_KEYS = 500_000  # up to so many hot cases, their names are broadcast
 
 
@@ -82,6 +83,14 @@ def split_hot(df: DataFrame, load: CaseLoad, key: str = CASE) -> tuple[DataFrame
     return df.join(names, same, "left_anti"), df.join(names, same, "left_semi")
 
 
+def dealt(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` partitioned by ``keys`` into as many parts as keep ``rows`` at ``task_rows`` a task; as it is, where the session's
+    number of shuffle partitions is enough for that."""
+    parts = -(-rows // task_rows)
+    few = parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df if few else df.repartition(parts, *[F.col(f"`{k}`") for k in keys])
+
+
 def neighbours(
     df: DataFrame,
     key: Sequence[str],
@@ -93,10 +102,13 @@ def neighbours(
     """Add ``_rank``, ``_size`` and, per carried column c, ``_prev_c`` and ``_next_c``.
 
     Columns that a caller does not use are pruned from the window by the optimizer. With ``null_keys``, rows
-    without a key are spread by their content instead of meeting in one task; callers blank their values.
+    without a key are spread by their content instead of meeting in one task; callers blank their values. The number of
+    tasks grows with the events.
     """
     normal, hot = split_hot(df, load, key[0])
-    parts = [*key, F.when(F.col(key[0]).isNull(), F.xxhash64(*order))] if null_keys else [*key]
+    spread = {"_spread": F.when(F.col(key[0]).isNull(), F.xxhash64(*order))} if null_keys else {}
+    parts = [*key, *spread]
+    normal = dealt(normal.withColumns(spread) if spread else normal, parts, load.events)
     w = Window.partitionBy(*parts).orderBy(*order)
     out = normal.withColumns(
         {
@@ -105,7 +117,7 @@ def neighbours(
             **{f"_prev_{c}": F.lag(c).over(w) for c in carry},
             **{f"_next_{c}": F.lead(c).over(w) for c in carry},
         }
-    )
+    ).drop(*spread)
     return out if hot is None else out.unionByName(_sliced_neighbours(hot, key, order, carry, load))
 
 

@@ -19,9 +19,8 @@ from casemill.operators.extract import (
     union_events,
     unknown_stages,
 )
-from casemill.operators.joins import dealt
 from casemill.operators.metrics import add_metrics
-from casemill.operators.ordering import measure_cases
+from casemill.operators.ordering import dealt, measure_cases
 from casemill.plans.build import build_event_log, propose_enrichments, propose_events
 from casemill.plans.report import report
 from casemill.sources.config import (
@@ -358,7 +357,7 @@ def test_script_builds_the_same_log(spark):
 def test_hot_keys_of_a_build_are_measured_once(spark, monkeypatch):
     """Three enrichments that are not broadcast: no join reads the events to find its hot keys, and the log is the same."""
     from casemill.operators import joins
-    from casemill.operators.ordering import measure_cases
+    from casemill.operators.ordering import dealt, measure_cases
     from casemill.plans.build import build_event_log, raw_events
     from casemill.sources.config import EnrichmentSpec
 

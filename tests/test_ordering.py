@@ -11,7 +11,7 @@ from casemill.operators.extract import cdc_events
 from casemill.operators.joins import balanced_join, fits_broadcast, hot_keys
 from casemill.operators.medians import exact_median
 from casemill.operators.metrics import add_metrics, rework_flag
-from casemill.operators.ordering import CaseLoad, _slices, measure_cases, neighbours, over_case, running
+from casemill.operators.ordering import CaseLoad, _slices, dealt, measure_cases, neighbours, over_case, running
 
 from tests.fixtures import day, make_log, skewed_log
 
@@ -222,3 +222,16 @@ def test_slices_are_small_and_partitions_few(log, hot):
     assert len(sizes) > sliced.rdd.getNumPartitions() == 2
     numbers = [r["_slice"] for r in sliced.orderBy("case_id", *order).collect()]
     assert numbers == sorted(numbers)
+
+
+@pytest.mark.parametrize("null_keys", [False, True])
+def test_neighbours_do_not_depend_on_tasks(log, monkeypatch, null_keys):
+    key, order, carry = ["case_id"], ["event_timestamp", "event_id"], ["activity"]
+    some = log.withColumn("case_id", F.when(F.col("event_id") > "e1", F.col("case_id"))) if null_keys else log
+    known = lambda df: rows(df.where("case_id is not null"))
+    a = known(neighbours(some, key, order, carry, PLAIN, null_keys))
+    monkeypatch.setattr(dealt, "__defaults__", (20,))
+    b = neighbours(some, key, order, carry, PLAIN, null_keys)
+    assert b.rdd.getNumPartitions() == 45 and b.columns == [*some.columns, "_rank", "_size", "_prev_activity", "_next_activity"]
+    assert known(b) == a and b.count() == some.count()
+    assert str(b._jdf.queryExecution().executedPlan()).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1

@@ -228,6 +228,7 @@ def train(docs: DataFrame) -> Model:
     family = lambda p: F.array_max(F.slice(p, 1, len(classes) - 1))
     # The scan's own figures decide; the many lines that are surely below are passed over.
     alarm = fitted.transform(data.where(other)).where(family(vector_to_array("probability")) > LEAST_PROBABILITY - 0.01)
+    alarm = written(alarm.select("weight", "grams"), "licence-alarms")
     alarm = alarm.select("weight", family(_probabilities(F.col("grams"), model)).alias("p"))
     threshold = _exceeded(alarm, FALSE_ALARMS * rest)
     data.unpersist()

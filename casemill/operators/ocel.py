@@ -9,12 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions.columns import ACTIVITY, CASE, TIMESTAMP, share_pct
-from casemill.operators.ordering import CaseLoad, measure_cases
+from casemill.functions.numbers import with_hashed_number
+from casemill.operators.ordering import MAX_TASK_EVENTS, CaseLoad, measure_cases
 from casemill.session import written
 
 EVENT_NO = "event_no"
 BUCKET_LINKS = 2_000_000  # links that a bucket should have at most
+RUN_EVENTS = 100_000  # events in a row that go to the same bucket, at most
+MIN_RUNS = 64  # into so many runs at least, as far as there are events
+FEW_FILES, FILE_ROWS = 256, 50_000  # up to so many files, or with so many rows each, buckets are written from where rows lie
 FEW_TYPES = 32  # up to so many object types, links are written in one pass for each
+COMPACT = {"compression": "zstd"}  # tables of long ids are half as large as by default
 EVENT_COLUMNS = ("event_id", ACTIVITY, TIMESTAMP, "resource", "cost", "source_table")
 
 
@@ -52,8 +57,27 @@ def _links(objects: Mapping[str, str]) -> Column:
 
 def with_event_numbers(events: DataFrame) -> DataFrame:
     """``events`` with a number of their own, written. Tables built from them are joined by it instead of by long text ids, and
-    can be saved in buckets."""
-    return written(events.withColumn(EVENT_NO, F.monotonically_increasing_id()), "numbered-events")
+    can be saved in buckets.
+
+    The upper half of a number is the place of the event among all of them, the lower half makes it hash to the number of its run
+    of events. So the events of a run share a bucket whatever the number of buckets, runs are dealt to the buckets in turn, and
+    what is written together needs no shuffle to get there. Files end where runs do.
+    """
+    task_bits = 33  # below the task in a number that Spark gives
+    at = F.monotonically_increasing_id()
+    events = written(events.withColumn(EVENT_NO, at), "numbered-events", maxRecordsPerFile=str(RUN_EVENTS), **COMPACT)
+    task, at = F.shiftright(EVENT_NO, task_bits), F.col(EVENT_NO).bitwiseAND(F.lit((1 << task_bits) - 1))
+    counts = events.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect()  # a row per task
+    run = max(1, min(RUN_EVENTS, sum(r["n"] for r in counts) // MIN_RUNS))
+    begins, place, run_no = [], 0, 0
+    for r in counts:
+        begins.append((r["task"], place, run_no))
+        place, run_no = place + r["n"], run_no - (-r["n"] // run)
+    begins = F.broadcast(events.sparkSession.createDataFrame(begins, "_task long, _begin long, _first_run long"))
+    placed = events.join(begins, task == F.col("_task")).withColumn("_at", at)
+    upper = (F.col("_begin") + F.col("_at")).bitwiseAND(F.lit(0xFFFFFFFF))
+    wanted = (F.col("_first_run") + F.expr(f"_at div {run}")).bitwiseAND(F.lit(0x7FFFFFFF))
+    return with_hashed_number(placed, EVENT_NO, upper, wanted).drop("_task", "_begin", "_first_run", "_at")
 
 
 def build_ocel(
@@ -202,29 +226,43 @@ def load_ocel(spark: SparkSession, events_table: str) -> Ocel:
 def save_ocel(ocel: Ocel, base: str, buckets: int | None = None) -> None:
     """Write the three tables under ``base`` plus their suffixes, links in a folder per object type.
 
-    With ``buckets``, events and links are dealt to so many buckets by the event number (see ``with_event_numbers``), a file
-    for each, so that no later flattening shuffles them; to more where these would have more than BUCKET_LINKS links, so
-    that a bucket is sorted and joined in memory. An event has at most as many links as there are object columns,
-    so buckets are even. Without buckets, the links of each type are written on their own, as writing several folders from
-    a task sorts all its links.
+    With ``buckets``, events and links are dealt to so many buckets by the event number (see ``with_event_numbers``), so that no
+    later flattening shuffles them; to more where these would have more than BUCKET_LINKS links, so that a bucket is sorted and
+    joined in memory. Rows whose numbers put them into few files as they lie are written from there, by tasks of at most
+    MAX_TASK_EVENTS rows, others are shuffled into a file for each bucket. An event has at most as many links as there are object columns, so buckets are about even. The links
+    of each type are written on their own, as writing several folders from a task sorts all its links (unless shuffled).
     """
     if buckets is not None and _event_key(ocel) != EVENT_NO:
         raise ValueError("buckets need event numbers")
 
+    kinds = ocel.e2o.groupBy("object_type").agg(F.count(F.lit(1)).alias("n")).limit(FEW_TYPES + 1).collect()
+    few = len(kinds) <= FEW_TYPES
     if buckets is not None:
-        buckets = max(buckets, -(-ocel.e2o.count() // BUCKET_LINKS))
-
-    def writer(df: DataFrame, mode: str = "overwrite"):
-        dealt = df if buckets is None else df.repartition(buckets, EVENT_NO)
-        out = dealt.write.mode(mode).format("parquet")
+        links = sum(kind["n"] for kind in kinds) if few else ocel.e2o.count()
+        buckets = max(buckets, -(-links // BUCKET_LINKS))
+
+    def must_shuffle(df: DataFrame, passes: int = 1) -> bool:
+        """Would the rows as they lie go into many small files, or a task sort too many of them in one of the passes?"""
+        if buckets is None:
+            return False
+        bucket = F.pmod(F.hash(EVENT_NO), F.lit(buckets))
+        files = df.groupBy(F.spark_partition_id().alias("task"), bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+        tasks = files.groupBy("task").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"))
+        many, rows, most = tasks.agg(*[F.coalesce(c, F.lit(0)) for c in (F.sum("files"), F.sum("n"), F.max("n"))]).first()
+        return many > max(FEW_FILES, rows // FILE_ROWS) or most > passes * MAX_TASK_EVENTS
+
+    def writer(df: DataFrame, shuffle: bool, mode: str = "overwrite"):
+        dealt = df.repartition(buckets, EVENT_NO) if shuffle else df
+        out = dealt.write.mode(mode).format("parquet").options(**COMPACT)
         return out if buckets is None else out.bucketBy(buckets, EVENT_NO).sortBy(EVENT_NO)
 
-    writer(ocel.events).saveAsTable(base + EVENTS_SUFFIX)
-    ocel.objects.write.mode("overwrite").format("parquet").saveAsTable(base + OBJECTS_SUFFIX)
-    kinds = [] if buckets is not None else ocel.e2o.select("object_type").distinct().limit(FEW_TYPES + 1).collect()
-    if not 0 < len(kinds) <= FEW_TYPES:
-        writer(ocel.e2o).partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)
-    for i, (kind,) in enumerate(kinds if len(kinds) <= FEW_TYPES else ()):
-        kind = F.lit(kind).cast("string")
+    writer(ocel.events, must_shuffle(ocel.events)).saveAsTable(base + EVENTS_SUFFIX)
+    ocel.objects.write.mode("overwrite").format("parquet").options(**COMPACT).saveAsTable(base + OBJECTS_SUFFIX)
+    shuffle = must_shuffle(ocel.e2o, len(kinds) if few else 1)
+    if shuffle or not kinds or not few:
+        writer(ocel.e2o, shuffle).partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)
+        return
+    for i, kind in enumerate(kinds):
+        kind = F.lit(kind["object_type"]).cast("string")
         links = ocel.e2o.where(F.col("object_type").eqNullSafe(kind)).withColumn("object_type", kind)
-        writer(links, "append" if i else "overwrite").partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)
+        writer(links, False, "append" if i else "overwrite").partitionBy("object_type").saveAsTable(base + LINKS_SUFFIX)

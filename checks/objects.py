@@ -127,7 +127,8 @@ def flattened_in_buckets(spark, sf):
     log = oc.build_ocel(oc.with_event_numbers(object_events(spark, sf)), OBJECTS)
     with scratch_schema(spark) as schema:
         oc.save_ocel(log, f"{schema}.o2c", buckets=8)
-        return written(oc.flatten(oc.load_ocel(spark, f"{schema}.o2c_ocel_events"), "Supplier"), "flat")
+        flat = oc.flatten(oc.load_ocel(spark, f"{schema}.o2c_ocel_events"), "Supplier")
+        return written(flat, "flat", **oc.COMPACT)
 
 
 @check(

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from casemill.functions.numbers import with_hashed_number
 from casemill.operators import ocel as oc
 from checks.sources import scratch_schema
 
@@ -113,3 +114,51 @@ def test_saved_links_are_those_given(spark, events, monkeypatch):
         detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {schema}.x_ocel_e2o").collect()}
         assert int(detail["Num Buckets"]) == max(2, -(-log.e2o.count() // 2)) > 2
         assert listed(oc.load_ocel(spark, f"{schema}.x_ocel_events").e2o) == listed(log.e2o)
+
+
+def test_numbers_of_a_wanted_hash(spark):
+    """Whatever the halves are, the number hashes as asked, no number comes twice, and numbers rise with the upper half."""
+    edges = [0, 1, 41, 2**16, 2**31 - 1]
+    rows = [(u, w) for u in [*edges, *range(7, 60_000, 601), 2**31, 2**32 - 1] for w in [*edges, 486, 1_234_567]]
+    got = with_hashed_number(spark.createDataFrame(rows, "u long, w long"), "n", F.col("u"), F.col("w"))
+    assert got.columns == ["u", "w", "n"] and got.where(F.hash("n") != F.col("w")).isEmpty()
+    found = [tuple(r) for r in got.where(f"u < {2**31}").collect()]
+    assert len({n for _, _, n in found}) == len(found) and all(n >> 32 == u for u, _, n in found)
+    assert got.select("n").distinct().count() == len(rows)
+
+
+def test_runs_of_events_share_a_bucket_and_are_saved_without_a_shuffle(spark, events, monkeypatch):
+    many = spark.range(0, 9_000, 1, 5).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("a").alias("activity"), F.lit(day(1)).alias("event_timestamp"),
+        F.concat(F.lit("o"), F.col("id") % 700).alias("o"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("p"), "id")).alias("p"),
+    )
+    monkeypatch.setattr(oc, "RUN_EVENTS", 100)
+    numbered = oc.with_event_numbers(many)
+    assert numbered.columns == [*many.columns, oc.EVENT_NO] and sorted(numbered.drop(oc.EVENT_NO).collect()) == sorted(many.collect())
+    assert numbered.select(oc.EVENT_NO).distinct().count() == 9_000
+    runs = [r["count"] for r in numbered.groupBy(F.hash(oc.EVENT_NO)).count().collect()]
+    assert len(runs) == 90 and set(runs) == {100}
+    per_bucket = [r["count"] for r in numbered.groupBy(F.pmod(F.hash(oc.EVENT_NO), F.lit(7))).count().collect()]
+    assert len(per_bucket) == 7 and max(per_bucket) - min(per_bucket) <= 100
+    assert oc.with_event_numbers(many.limit(0)).count() == 0
+
+    log = oc.build_ocel(numbered, OBJECTS)
+    scattered = {"events": log.events, "e2o": log.e2o}
+    for name, df in scattered.items():
+        scattered[name] = df.withColumn(oc.EVENT_NO, F.xxhash64(oc.EVENT_NO))
+    frame, calls = type(log.events), []
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: calls.append(a) or plain(self, *a))
+    rows = lambda df: sorted(map(repr, df.select("event_id", "case_id").collect()))
+    odd = oc.Ocel(scattered["events"], log.objects, scattered["e2o"])
+    for ocel, few, most, shuffles in ((log, oc.FEW_FILES, 9_000, 0), (odd, 1, 9_000, 2), (log, oc.FEW_FILES, 100, 4)):
+        monkeypatch.setattr(oc, "FEW_FILES", few)
+        monkeypatch.setattr(oc, "MAX_TASK_EVENTS", most)
+        with scratch_schema(spark) as schema:
+            oc.save_ocel(ocel, f"{schema}.x", buckets=7)
+            assert len(calls) == shuffles
+            saved = oc.load_ocel(spark, f"{schema}.x_ocel_events")
+            for table in (saved.events, saved.objects, saved.e2o):
+                assert all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+            for kind in OBJECTS:
+                assert rows(oc.flatten(saved, kind)) == rows(oc.flatten(oc.build_ocel(many, OBJECTS), kind))
